@@ -11,14 +11,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bazaar.schema import (
-    DATE_FORMATS, DEFAULT_DATE_WINDOW, MAX_DELIVERY_DAYS, TRUE_TOKENS,
+    DATE_FORMATS, DATE_SHAPES, DEFAULT_DATE_WINDOW, MAX_DELIVERY_DAYS, TRUE_TOKENS,
     TWO_DIGIT_YEAR_FORMATS,
 )
 from bazaar.functions.text import _col, strip_ws
 
 
 def _try_date(s: Column, fmt: str) -> Column:
+    # The shape test is cheap and keeps the parser away from text that cannot
+    # match (a failed parse costs an exception inside the formatter).
     d = F.try_to_timestamp(s, F.lit(fmt)).cast("date")
+    if fmt in DATE_SHAPES:
+        d = F.when(s.rlike(DATE_SHAPES[fmt]), d)
     if fmt in TWO_DIGIT_YEAR_FORMATS:
         # Two-digit years 69..99 belong to the 1900s (Spark maps yy to 20xx).
         d = F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
@@ -69,11 +73,18 @@ def parse_delivery_days(c: Column | str, negatives: str = "abs",
     decimals=True reads '5.0' as one number.
     """
     s = F.lower(strip_ws(c))
-    pattern = r"([0-9]+(?:\.[0-9]+)?)" if decimals else r"([0-9]+)"
-    nums = F.regexp_extract_all(s, F.lit(pattern), F.lit(1))
+    num = r"([0-9]+(?:\.[0-9]+)?)" if decimals else r"([0-9]+)"
+    gap = r"[^0-9]" if not decimals else r"(?:[^0-9.]|\.(?![0-9]))"
+    # Fast paths without a lambda: one number, or exactly two numbers.
+    one = rf"^{gap}*{num}{gap}*$"
+    two = rf"^{gap}*{num}{gap}+{num}{gap}*$"
+    nums = F.regexp_extract_all(s, F.lit(num), F.lit(1))
     total = F.aggregate(nums, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    mean = F.try_divide(total, F.size(nums).cast("double"))
-    val = F.when(F.size(nums) > 0, mean)
+    general = F.when(F.size(nums) > 0, F.try_divide(total, F.size(nums).cast("double")))
+    val = (F.when(s.rlike(one), F.regexp_extract(s, one, 1).cast("double"))
+            .when(s.rlike(two), (F.regexp_extract(s, two, 1).cast("double")
+                                 + F.regexp_extract(s, two, 2).cast("double")) / 2)
+            .otherwise(general))
     val = F.when(val <= max_days, val)
     if negatives == "null":
         val = F.when(~s.rlike(r"^-\s*[0-9]"), val)

@@ -36,6 +36,8 @@ class Query:
         if self.rounding:
             repl = ", ".join(f"round({c}, {d}) as {c}" for c, d in self.rounding.items())
             body = f"select * replace ({repl}) from (\n{body}\n) q"
+        else:
+            body = f"select * from (\n{body}\n) q"
         return cte_prefix(self.ctes) + body
 
 
