@@ -136,6 +136,9 @@ def drop_invalid(df: DataFrame, subset: tuple[str, ...] = ("order_date", "final_
 # --------------------------------------------------------------------------- #
 # Pipeline and report
 # --------------------------------------------------------------------------- #
+NUMERIC_TEXT_COLUMNS = ("product_rating", "discount_percent", "final_amount_inr", "delivery_charges")
+
+
 @dataclass
 class Cleaned:
     clean: DataFrame
@@ -184,8 +187,13 @@ def cleaning_report(raw: DataFrame, deduped: DataFrame, clean: DataFrame,
 
 def parse_all(raw: DataFrame, window: tuple[str, str] | None = DEFAULT_DATE_WINDOW,
               negatives: str = "abs", decimals: bool = False) -> DataFrame:
-    """Every row-wise step of the pipeline (no aggregates), in one projection."""
-    df = clean_dates(raw, window=window)
+    """Every row-wise step of the pipeline (no aggregates), in one projection.
+    Numeric columns that arrive as text are cast (bad text -> NULL)."""
+    df = raw
+    for c in NUMERIC_TEXT_COLUMNS:
+        if c in df.columns and dict(df.dtypes)[c] == "string":
+            df = df.withColumn(c, F.col(c).try_cast("double"))
+    df = clean_dates(df, window=window)
     df = clean_prices(df)
     df = clean_categories(df)
     df = clean_ratings(df)
