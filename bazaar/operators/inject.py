@@ -2,8 +2,8 @@
 the raw yearly files are dirty (mixed date formats, price text, rating text,
 boolean spellings, delivery text, alias spellings, duplicate rows).
 
-Every choice is driven by an integer hash of the row key, ``(key * a) mod p
-mod 100``, so there is no random state, results do not depend on
+Every choice is driven by an integer hash of the row key, ``((key mod p) * a)
+mod p mod 100``, so there is no random state, results do not depend on
 partitioning, and the oracle SQL can compute the very same values.
 """
 
@@ -29,12 +29,13 @@ CITIES = list(CITY_TIERS)
 
 def hash100(key: Column | str, salt: str) -> Column:
     a, p = SALT[salt]
-    return F.pmod(_col(key).cast("long") * a, F.lit(p)) % 100
+    # reduce first: (k mod p) * a never overflows, and equals (k * a) mod p
+    return F.pmod(F.pmod(_col(key).cast("long"), F.lit(p)) * a, F.lit(p)) % 100
 
 
 def _sql_hash(key: str, salt: str) -> str:
     a, p = SALT[salt]
-    return f"((({key}) * {a}) % {p} % 100)"
+    return f"(((({key}) % {p}) * {a}) % {p} % 100)"
 
 
 # --------------------------------------------------------------------------- #
@@ -133,6 +134,26 @@ def inject_duplicates(df: DataFrame, key: str, pct: int = 3) -> DataFrame:
     return base.unionByName(dups)
 
 
+def dirty(df: DataFrame, key: Column | None = None) -> DataFrame:
+    """G1-G6 on a clean fact with the dictionary's columns: every cleanable
+    column gets its defects, everything else becomes text (as in a CSV).
+    ``key`` defaults to a hash of transaction_id."""
+    k = key if key is not None else F.xxhash64("transaction_id")
+    rules = {
+        "order_date": lambda c: inject_dates(c, k),
+        "original_price_inr": lambda c: inject_prices(c, k),
+        "customer_rating": lambda c: inject_ratings(c, k),
+        "is_prime_member": lambda c: inject_booleans(c, k, "prime"),
+        "is_festival_sale": lambda c: inject_booleans(c, k, "festival"),
+        "delivery_days": lambda c: inject_delivery(c, k),
+        "customer_city": lambda c: inject_aliases(c, k, CITY_VARIANTS, "city"),
+        "category": lambda c: inject_aliases(c, k, CATEGORY_VARIANTS, "category"),
+        "payment_method": lambda c: inject_aliases(c, k, PAYMENT_VARIANTS, "payment"),
+    }
+    return df.select(*[(rules[c](F.col(c)) if c in rules else F.col(c).cast("string")).alias(c)
+                       for c in df.columns])
+
+
 def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
