@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workload is batch only: yearly raw files are cleaned, written, and
+reported on; no watermark, window, state or late-data logic exists in the
+source application, and the driver's ``events`` table is not used by it.
+The batch jobs here are all DataFrame plans, so a Structured Streaming
+front end (``readStream`` of new raw files + ``foreachBatch`` running
+``clean_pipeline``) could reuse them unchanged if that ever becomes needed.
+"""
