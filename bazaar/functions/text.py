@@ -7,8 +7,9 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode-aware trim of all whitespace (Spark's trim removes spaces only).
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Every character Python's str.strip() removes, derived from str.isspace();
+# Spark's trim(str, chars) strips exactly these without a regex.
+_PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # A letter that follows a character which is neither a letter nor a space
 # starts a new word for Python's str.title(); initcap only splits on spaces.
 _WORD_BREAK = r"(?<=[^\p{L} ])(?=\p{L})"
@@ -21,7 +22,7 @@ def _col(c: Column | str) -> Column:
 
 def strip_ws(c: Column | str) -> Column:
     """``str.strip()``: remove leading/trailing whitespace of any kind."""
-    return F.regexp_replace(_col(c).cast("string"), _EDGE_WS, "")
+    return F.trim(_col(c).cast("string"), F.lit(_PY_WHITESPACE))
 
 
 def title_case(c: Column | str) -> Column:

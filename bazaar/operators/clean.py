@@ -239,6 +239,10 @@ def clean_pipeline(raw: DataFrame, window: tuple[str, str] | None = DEFAULT_DATE
     df = df.select(*parsed.columns)
 
     deduped = dedup_keep_first(df, "transaction_id", order or None)
+    if cut_lineage:
+        # second cut: the clean output and the three report counts all read
+        # this instead of re-running the joins and the de-duplication shuffle
+        deduped = materialize(deduped, "deduped")
     clean = drop_invalid(deduped)
     helpers = tuple(c for c in order if c.startswith("_"))
     clean = clean.drop(*helpers)

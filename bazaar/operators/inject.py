@@ -160,8 +160,9 @@ def _pick(values: list[str], idx: Column) -> Column:
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dirty row per order (the raw text every cleaner parses)."""
+    from bazaar.sources.scratch import spread
     from bazaar.sources.tables import table
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     k = F.col("o_orderkey")
     prod = F.col("o_custkey") % 200
     city = _pick(CITIES, F.col("o_custkey") % len(CITIES))

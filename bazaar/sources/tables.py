@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.schema import CLEAN_SCHEMA
+from bazaar.sources.scratch import spread
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -32,7 +33,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     their file statistics, the fact joins shuffle on their keys (AQE splits a
     skewed key partition).
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
