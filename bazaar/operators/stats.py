@@ -49,36 +49,35 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     # 3. per-slice totals -> offsets (groups x slices rows; small).
     tot = vc.groupBy(*gk, "_s").agg(F.sum("_c").alias("_t"))
     w_prev = Window.partitionBy(*gk).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_prev), F.lit(0)))
-               .withColumn("_n", F.sum("_t").over(Window.partitionBy(*gk))))
-    # 4. wanted ranks per group (1-based): floor(h)+1 and its successor.
+    offs = tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_prev), F.lit(0)))
+    # 4. wanted ranks per group (1-based): floor(h)+1 and its successor, with
+    #    the interpolation weight carried along.
     p_arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
                       for i, p in enumerate(probs)])
-    want = (offs.select(*gk, "_n").distinct()
-                .select(*gk, "_n", F.explode(p_arr).alias("_q"))
-                .select(*gk, "_n", F.col("_q.i").alias("_i"),
-                        ((F.col("_n") - 1) * F.col("_q.p")).alias("_h")))
+    want = (tot.groupBy(*gk).agg(F.sum("_t").alias("_n"))
+               .select(*gk, "_n", F.explode(p_arr).alias("_q"))
+               .select(*gk, "_n", F.col("_q.i").alias("_i"),
+                       ((F.col("_n") - 1) * F.col("_q.p")).alias("_h")))
     want = (want.withColumn("_lo", F.floor("_h").cast("long") + 1)
                 .withColumn("_frac", F.col("_h") - F.floor("_h"))
                 .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n"))))
-    ranks = (want.select(*gk, "_i", F.explode(F.array(
+    ranks = (want.select(*gk, "_n", "_i", "_frac", F.explode(F.array(
         F.struct(F.lit(0).alias("w"), F.col("_lo").alias("r")),
         F.struct(F.lit(1).alias("w"), F.col("_hi").alias("r")))).alias("_x"))
-        .select(*gk, "_i", F.col("_x.w").alias("_w"), F.col("_x.r").alias("_r")))
+        .select(*gk, "_n", "_i", "_frac", F.col("_x.w").alias("_w"), F.col("_x.r").alias("_r")))
     # 5. the slice that holds each wanted rank, then the value at that rank
     #    (equi-join on group and slice: balanced, never one task per group).
     located = ranks.join(offs.select(*gk, "_s", "_off", "_t"), gk) \
                    .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t"))) \
-                   .select(*gk, "_i", "_w", "_r", "_s", "_off")
+                   .select(*gk, "_n", "_i", "_frac", "_w", "_r", "_s", "_off")
     hit = located.join(vc.select(*gk, "_s", "_v", "_c", "_run"), gk + ["_s"]) \
                  .where((F.col("_r") > F.col("_off") + F.col("_run") - F.col("_c"))
                         & (F.col("_r") <= F.col("_off") + F.col("_run"))) \
-                 .select(*gk, "_i", "_w", "_v")
-    picked = hit.groupBy(*gk, "_i").agg(
-        F.max(F.when(F.col("_w") == 0, F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("_w") == 1, F.col("_v"))).alias("_b"))
-    interp = picked.join(want.select(*gk, "_i", "_n", "_frac"), gk + ["_i"]) \
-        .withColumn("_qv", F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac"))
+                 .select(*gk, "_n", "_i", "_frac", "_w", "_v")
+    a = F.max(F.when(F.col("_w") == 0, F.col("_v")))
+    b = F.max(F.when(F.col("_w") == 1, F.col("_v")))
+    interp = hit.groupBy(*gk, "_i").agg(
+        F.first("_n").alias("_n"), (a + (b - a) * F.first("_frac")).alias("_qv"))
     wide = interp.groupBy(*gk).agg(
         F.first("_n").alias("n"),
         *[F.max(F.when(F.col("_i") == i, F.col("_qv"))).alias(nm) for i, nm in enumerate(names)])
