@@ -46,30 +46,27 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     w_run = (Window.partitionBy(*gk, "_s").orderBy("_v")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     vc = vc.withColumn("_run", F.sum("_c").over(w_run))
-    # 3. per-slice totals -> offsets (groups x slices rows; small).
+    # 3. per-slice totals -> offsets and group sizes (groups x slices rows).
     tot = vc.groupBy(*gk, "_s").agg(F.sum("_c").alias("_t"))
     w_prev = Window.partitionBy(*gk).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_prev), F.lit(0)))
-    # 4. wanted ranks per group (1-based): floor(h)+1 and its successor, with
-    #    the interpolation weight carried along.
-    p_arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
-                      for i, p in enumerate(probs)])
-    want = (tot.groupBy(*gk).agg(F.sum("_t").alias("_n"))
-               .select(*gk, "_n", F.explode(p_arr).alias("_q"))
-               .select(*gk, "_n", F.col("_q.i").alias("_i"),
-                       ((F.col("_n") - 1) * F.col("_q.p")).alias("_h")))
-    want = (want.withColumn("_lo", F.floor("_h").cast("long") + 1)
-                .withColumn("_frac", F.col("_h") - F.floor("_h"))
-                .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n"))))
-    ranks = (want.select(*gk, "_n", "_i", "_frac", F.explode(F.array(
-        F.struct(F.lit(0).alias("w"), F.col("_lo").alias("r")),
-        F.struct(F.lit(1).alias("w"), F.col("_hi").alias("r")))).alias("_x"))
-        .select(*gk, "_n", "_i", "_frac", F.col("_x.w").alias("_w"), F.col("_x.r").alias("_r")))
-    # 5. the slice that holds each wanted rank, then the value at that rank
-    #    (equi-join on group and slice: balanced, never one task per group).
-    located = ranks.join(offs.select(*gk, "_s", "_off", "_t"), gk) \
-                   .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t"))) \
-                   .select(*gk, "_n", "_i", "_frac", "_w", "_r", "_s", "_off")
+    offs = (tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_prev), F.lit(0)))
+               .withColumn("_n", F.sum("_t").over(Window.partitionBy(*gk))))
+    # 4. each slice keeps the wanted ranks (1-based floor(h)+1 and its
+    #    successor, h = (n-1)p) that fall inside its own count range; no join.
+    wanted = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        lo = F.floor(h).cast("long") + 1
+        for w, r in ((0, lo), (1, F.least(lo + 1, F.col("_n")))):
+            wanted.append(F.struct(F.lit(i).alias("i"), F.lit(w).alias("w"), r.alias("r"),
+                                   (h - F.floor(h)).alias("frac")))
+    inside = F.filter(F.array(*wanted),
+                      lambda x: (x["r"] > F.col("_off")) & (x["r"] <= F.col("_off") + F.col("_t")))
+    located = offs.select(*gk, "_s", "_off", "_n", F.explode(inside).alias("_x")).select(
+        *gk, "_s", "_off", "_n", F.col("_x.i").alias("_i"), F.col("_x.w").alias("_w"),
+        F.col("_x.r").alias("_r"), F.col("_x.frac").alias("_frac"))
+    # 5. the value at each wanted rank: equi-join on (group, slice), balanced,
+    #    never one task per group.
     hit = located.join(vc.select(*gk, "_s", "_v", "_c", "_run"), gk + ["_s"]) \
                  .where((F.col("_r") > F.col("_off") + F.col("_run") - F.col("_c"))
                         & (F.col("_r") <= F.col("_off") + F.col("_run"))) \

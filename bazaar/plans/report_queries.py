@@ -362,3 +362,10 @@ where order_year between 1996 and 1999
   and customer_tier in ('AMERICA', 'ASIA', 'EUROPE')""")(
     lambda s, d: R.global_filters(sales(s, d), FILTER_YEARS, FILTER_CATEGORIES, FILTER_TIERS)
     .select("transaction_id", "order_year", "category", "customer_tier", "final_amount_inr"))
+
+# A9 wide form: one column per category, a missing cell stays NULL (as pandas'
+# pivot_table leaves it missing).
+register("category_lifecycle_wide", oracle="""
+pivot (select order_year, category, count(transaction_id) as n from sales
+       where order_year is not null and category is not null group by order_year, category)
+on category using max(n) group by order_year""")(_on_sales(R.category_lifecycle_wide))
