@@ -7,34 +7,76 @@ coerced parse failure.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bazaar.schema import (
-    DATE_FORMATS, DATE_SHAPES, DEFAULT_DATE_WINDOW, MAX_DELIVERY_DAYS, TRUE_TOKENS,
-    TWO_DIGIT_YEAR_FORMATS,
-)
+from bazaar.schema import DATE_FORMATS, DEFAULT_DATE_WINDOW, MAX_DELIVERY_DAYS, TRUE_TOKENS
 from bazaar.functions.text import _col, strip_ws
 
 
-def _try_date(s: Column, fmt: str) -> Column:
-    # The shape test is cheap and keeps the parser away from text that cannot
-    # match (a failed parse costs an exception inside the formatter).
-    d = F.try_to_timestamp(s, F.lit(fmt)).cast("date")
-    if fmt in DATE_SHAPES:
-        d = F.when(s.rlike(DATE_SHAPES[fmt]), d)
-    if fmt in TWO_DIGIT_YEAR_FORMATS:
-        # Two-digit years 69..99 belong to the 1900s (Spark maps yy to 20xx).
-        d = F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d)
-    return d
+def _shape(fmt: str) -> tuple[str, dict[str, int]]:
+    """Regex with one group per field of ``fmt`` and the group index of each
+    field ('yyyy'/'yy' 4 or 2 digits, 'd'/'M' 1 or 2 digits)."""
+    parts = re.split(r"([-/])", fmt)
+    groups: dict[str, int] = {}
+    rx = ""
+    for part in parts:
+        if part in ("-", "/"):
+            rx += part
+            continue
+        groups[part] = len(groups) + 1
+        rx += {"yyyy": "([0-9]{4})", "yy": "([0-9]{2})"}.get(part, "([0-9]{1,2})")
+    return f"^{rx}$", groups
+
+
+def _to_iso(s: Column, fmt: str) -> Column:
+    """Rewrite text in the shape of ``fmt`` to 'y-M-d' text (other text is
+    left as it is). A two-digit year 69..99 becomes 19xx, 00..68 20xx, as
+    Python's %y does (Spark's yy would give 20xx for all)."""
+    rx, g = _shape(fmt)
+    md = f"-${g['M']}-${g['d']}"
+    if "yyyy" in g:
+        return F.regexp_replace(s, rx, f"${g['yyyy']}{md}")
+    late = rx.replace("([0-9]{2})", "(69|[7-9][0-9])")
+    s = F.regexp_replace(s, late, f"19${g['yy']}{md}")
+    return F.regexp_replace(s, rx, f"20${g['yy']}{md}")
+
+
+_ISO_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
 def parse_date(c: Column | str, window: tuple[str, str] | None = DEFAULT_DATE_WINDOW,
                formats: list[str] | None = None) -> Column:
     """Try each format in order, keep the first success, then blank out dates
-    outside the inclusive ``window`` (no retry with a later format)."""
+    outside the inclusive ``window`` (no retry with a later format).
+
+    Formats with different shapes can never both match, so one pass of
+    rewrites turns the first format of every shape into ISO text and a single
+    guarded formatter call parses it; only a shape shared by two formats
+    (d/M/yyyy, then M/d/yyyy) gets a second candidate. Each parse runs only on
+    text of the right shape, so the formatter never sees junk.
+    """
     s = strip_ws(c)
-    parsed = F.coalesce(*[_try_date(s, f) for f in (formats or DATE_FORMATS)])
+    ranks: list[list[str]] = []
+    for fmt in formats or DATE_FORMATS:
+        shape = _shape(fmt)[0]
+        rank = sum(_shape(f)[0] == shape for r in ranks for f in r)
+        if rank == len(ranks):
+            ranks.append([])
+        ranks[rank].append(fmt)
+    candidates = []
+    for i, rank in enumerate(ranks):
+        text = s
+        for fmt in rank:
+            text = _to_iso(text, fmt)
+        cand = F.when(text.rlike(_ISO_SHAPE), F.try_to_date(text, "yyyy-M-d"))
+        if i:
+            shapes = "|".join(f"(?:{_shape(f)[0]})" for f in rank)
+            cand = F.when(s.rlike(shapes), cand)
+        candidates.append(cand)
+    parsed = F.coalesce(*candidates) if len(candidates) > 1 else candidates[0]
     if window is None:
         return parsed
     lo, hi = window
