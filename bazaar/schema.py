@@ -13,18 +13,10 @@ from pyspark.sql import types as T
 # --------------------------------------------------------------------------- #
 
 # Accepted date formats, tried in this order (first success wins).
-# Spark patterns; one-digit day/month are accepted like the original parser.
+# Spark patterns; one-digit day/month are accepted like the original parser
+# (d, M: 1-2 digits; yyyy: 4 digits; yy: 2 digits).
 DATE_FORMATS: list[str] = ["yyyy-M-d", "d/M/yyyy", "d-M-yy", "M/d/yyyy", "d/M/yy"]
-# Shape of each format (4-digit %Y, 2-digit %y, 1-2 digit day and month).
-DATE_SHAPES: dict[str, str] = {
-    "yyyy-M-d": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
-    "d/M/yyyy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
-    "d-M-yy": r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$",
-    "M/d/yyyy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
-    "d/M/yy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$",
-}
-# Formats that carry a two-digit year (the 69..99 -> 19xx pivot applies).
-TWO_DIGIT_YEAR_FORMATS: set[str] = {"d-M-yy", "d/M/yy"}
+# Two-digit years (yy) pivot like Python's %y: 69..99 -> 19xx, 00..68 -> 20xx.
 DEFAULT_DATE_WINDOW: tuple[str, str] = ("2015-01-01", "2025-12-31")
 
 CITY_CANONICAL: dict[str, str] = {
