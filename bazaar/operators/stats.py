@@ -167,15 +167,23 @@ def pearson(a: str, b: str) -> Column:
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long-form matrix (col_a, col_b, r) of every ordered pair, diagonal
-    included, from one aggregation pass over the fact."""
+    included, from one pass over the fact.
+
+    Each row is unpivoted into one (pair, x, y) row per column pair and the
+    pairs are grouped: every pair keeps a small aggregation buffer, so the
+    aggregate stays inside whole-stage codegen (one wide aggregate over all
+    pairs exceeds the codegen field limit), and partial aggregation leaves at
+    most one row per pair and task before the shuffle."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{i}").alias("r")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"r{i}").alias("r")))
-    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("_a"), F.lit(b).alias("_b"),
+                 F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"))
+        for a, b in pairs])))
+    r = long.groupBy("_a", "_b").agg(pearson("_x", "_y").alias("r"))
+    same = F.array(F.struct(F.col("_a").alias("col_a"), F.col("_b").alias("col_b"), "r"))
+    both = F.array(F.struct(F.col("_a").alias("col_a"), F.col("_b").alias("col_b"), "r"),
+                   F.struct(F.col("_b").alias("col_a"), F.col("_a").alias("col_b"), "r"))
+    return r.select(F.inline(F.when(F.col("_a") == F.col("_b"), same).otherwise(both)))
 
 
 def linear_forecast(points: DataFrame, x: str, y: str, horizon: int = 3,
