@@ -44,7 +44,8 @@ def _to_iso(s: Column, fmt: str) -> Column:
     return F.regexp_replace(s, rx, f"20${g['yy']}{md}")
 
 
-_ISO_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+# Year 0000 is no year for Python's %Y (Spark would read it as 1 BC).
+_ISO_SHAPE = r"^(?!0000-)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
 def parse_date(c: Column | str, window: tuple[str, str] | None = DEFAULT_DATE_WINDOW,

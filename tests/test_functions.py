@@ -1,6 +1,7 @@
 """Literal edge cases for every column expression (FIXTURES.md section 3)."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +135,34 @@ def test_no_python_udf_in_parsers(spark):
                      Fn.parse_delivery_days("v"), Fn.to_bool("v"),
                      Fn.canonical_lookup("v", CITY_CANONICAL))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def _python_parse_date(text):
+    """Reference: formats in order, first success wins, Python %y pivot."""
+    shapes = [(r"\d{4}-\d{1,2}-\d{1,2}", "%Y-%m-%d"), (r"\d{1,2}/\d{1,2}/\d{4}", "%d/%m/%Y"),
+              (r"\d{1,2}-\d{1,2}-\d{2}", "%d-%m-%y"), (r"\d{1,2}/\d{1,2}/\d{4}", "%m/%d/%Y"),
+              (r"\d{1,2}/\d{1,2}/\d{2}", "%d/%m/%y")]
+    s = text.strip()
+    for rx, fmt in shapes:
+        if re.fullmatch(rx, s):
+            try:
+                return dt.datetime.strptime(s, fmt).date()
+            except ValueError:
+                continue
+    return None
+
+
+def test_parse_date_grid_matches_python(spark):
+    days, months = ["0", "1", "05", "12", "13", "29", "30", "31", "32"], ["0", "2", "02", "11", "12", "13"]
+    years4, years2 = ["0000", "1969", "1996", "2000", "2020", "2068"], ["00", "20", "68", "69", "95", "96"]
+    texts = []
+    for d in days:
+        for m in months:
+            for y in years4:
+                texts += [f"{y}-{m}-{d}", f"{d}/{m}/{y}", f"{m}/{d}/{y}", f"{d}-{m}-{y}"]
+            for y in years2:
+                texts += [f"{d}-{m}-{y}", f"{d}/{m}/{y}", f"{d}-{m}/{y}", f"{d}/{m}-{y}"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = {r["v"]: r["d"] for r in df.select("v", Fn.parse_date("v", None).alias("d")).collect()}
+    bad = [(t, got[t], _python_parse_date(t)) for t in texts if got[t] != _python_parse_date(t)]
+    assert not bad, bad[:10]
