@@ -25,6 +25,7 @@ from bazaar.functions import (
     canonical_lookup, parse_date, parse_delivery_days, parse_price, parse_rating, to_bool,
 )
 from bazaar.operators import stats
+from bazaar.operators.joins import lookup_join
 from bazaar.sources.scratch import materialize, spread
 from bazaar.schema import (
     BOOLEAN_COLUMNS, CATEGORY_CANONICAL, CITY_CANONICAL, DEFAULT_DATE_WINDOW, OUTLIER_DIVISOR,
@@ -59,7 +60,7 @@ def impute_ratings(df: DataFrame, col: str = "customer_rating", by: str = "produ
     if by in df.columns:
         med = (df.where(F.col(by).isNotNull()).groupBy(by)
                  .agg(F.median(col).alias("_pmed")))
-        df = df.join(med, by, "left") \
+        df = lookup_join(df, med, by, "left", label="product-median") \
                .withColumn(col, F.coalesce(F.col(col), F.col("_pmed"))).drop("_pmed")
     overall = df.agg(F.median(col)).scalar()
     return df.withColumn(col, F.coalesce(F.col(col), overall))
@@ -105,7 +106,7 @@ def fix_price_outliers(df: DataFrame, price_col: str = "original_price_inr",
     if category_col not in df.columns:
         return df
     med = stats.exact_median(df, [category_col], price_col, "_cmed")
-    j = df.join(med, category_col, "left")
+    j = lookup_join(df, med, category_col, "left", label="category-median")
     m, p = F.col("_cmed"), F.col(price_col)
     bad = m.isNotNull() & (m > 0) & (p > m * OUTLIER_FACTOR)
     return j.withColumn(price_col, F.when(bad, p / OUTLIER_DIVISOR).otherwise(p)).drop("_cmed")
@@ -227,7 +228,8 @@ def clean_pipeline(raw: DataFrame, window: tuple[str, str] | None = DEFAULT_DATE
                       .agg(F.median("customer_rating").alias("_pmed")))
     deliv_med = stats.exact_quantiles(parsed, [], "delivery_days", [0.5], ["m"]).select("m").scalar()
 
-    df = parsed.join(cat_med, "category", "left").join(prod_med, "product_id", "left")
+    df = lookup_join(parsed, cat_med, "category", "left", label="category-median")
+    df = lookup_join(df, prod_med, "product_id", "left", label="product-median")
     m, p = F.col("_cmed"), F.col("original_price_inr")
     bad = m.isNotNull() & (m > 0) & (p > m * OUTLIER_FACTOR)
     df = (df.withColumn("original_price_inr", F.when(bad, p / OUTLIER_DIVISOR).otherwise(p))

@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bazaar.operators.joins import lookup_join
+from bazaar.sources.scratch import materialize
+
 
 def _not_null(cols: list[str]) -> Column:
     cond = F.lit(True)
@@ -140,13 +143,15 @@ def box_summary(df: DataFrame, keys: list[str], value: str, whis: float = 1.5) -
     Columns: keys, n, q1, median, q3, whisker_lo, whisker_hi, outliers.
     """
     q = exact_quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    fences = q.select(*keys, "n", "q1", "median", "q3",
-                      (F.col("q1") - whis * (F.col("q3") - F.col("q1"))).alias("_lf"),
-                      (F.col("q3") + whis * (F.col("q3") - F.col("q1"))).alias("_hf"))
+    # one row per group, written once: read by the fact join and the output
+    fences = materialize(q.select(
+        *keys, "n", "q1", "median", "q3",
+        (F.col("q1") - whis * (F.col("q3") - F.col("q1"))).alias("_lf"),
+        (F.col("q3") + whis * (F.col("q3") - F.col("q1"))).alias("_hf")), "fences")
     v = F.col(value)
     body = df.where(_not_null(keys + [value])).select(*keys, v.alias("_v"))
-    # one row per group: the fence table is small (groups), the fact is not shuffled.
-    joined = body.join(fences.select(*keys, "_lf", "_hf"), keys)
+    # broadcast after a size check, so the fact is not shuffled onto few keys
+    joined = lookup_join(body, fences.select(*keys, "_lf", "_hf"), keys, "inner", written=True)
     inside = (F.col("_v") >= F.col("_lf")) & (F.col("_v") <= F.col("_hf"))
     w = joined.groupBy(*keys).agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
