@@ -98,8 +98,11 @@ def histogram(df: DataFrame, value: str, bins: int, lo: Column | None = None,
     """
     v = F.col(value)
     vals = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).select(v.cast("double").alias("_x"))
-    lo = lo if lo is not None else vals.agg(F.min("_x")).scalar()
-    hi = hi if hi is not None else vals.agg(F.max("_x")).scalar()
+    if lo is None or hi is None:
+        # one scalar subquery (one pass) for both ends of the range
+        rng = vals.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+        lo = rng.getField("lo") if lo is None else lo
+        hi = rng.getField("hi") if hi is None else hi
     # numpy widens a zero range to [lo - 0.5, hi + 0.5]
     lo_ = F.when(lo == hi, lo - 0.5).otherwise(lo)
     hi_ = F.when(lo == hi, hi + 0.5).otherwise(hi)
