@@ -210,8 +210,8 @@ def clean_pipeline(raw: DataFrame, window: tuple[str, str] | None = DEFAULT_DATE
     """CL13: the whole chain with the source semantics, plus the audit report.
 
     The row-wise parses run in one pass and the result is written as Parquet
-    to the shared checkpoint folder (a lineage cut), so the three median jobs (category price,
-    product rating, global delivery) and the apply step read it instead of
+    to the shared checkpoint folder (a lineage cut), so the median jobs (category price with
+    global delivery as one job, product rating) and the apply step read it instead of
     re-running the parse. All medians see every raw row (duplicates and
     undated rows included), exactly as in the sequential original; the
     global rating median is taken over the product-filled column.
@@ -223,12 +223,22 @@ def clean_pipeline(raw: DataFrame, window: tuple[str, str] | None = DEFAULT_DATE
     parsed = parse_all(spread(raw), window, negatives, decimals)
     if cut_lineage:
         parsed = materialize(parsed, "parsed")
-    cat_med = stats.exact_median(parsed, ["category"], "original_price_inr", "_cmed")
+    # The category price medians and the global delivery median are one
+    # exact-quantile job over (measure, key, value) rows; its small result
+    # is written once and split.
+    meds = materialize(stats.exact_median(
+        parsed.select(F.lit("price").alias("_m"), F.col("category").alias("_k"),
+                      F.col("original_price_inr").cast("double").alias("_v"))
+        .unionByName(parsed.select(F.lit("delivery").alias("_m"), F.lit("").alias("_k"),
+                                   F.col("delivery_days").cast("double").alias("_v"))),
+        ["_m", "_k"], "_v", "_med"), "medians")
+    cat_med = meds.where(F.col("_m") == "price").select(
+        F.col("_k").alias("category"), F.col("_med").alias("_cmed"))
+    deliv_med = meds.where(F.col("_m") == "delivery").select("_med").scalar()
     prod_med = (parsed.where(F.col("product_id").isNotNull()).groupBy("product_id")
                       .agg(F.median("customer_rating").alias("_pmed")))
-    deliv_med = stats.exact_quantiles(parsed, [], "delivery_days", [0.5], ["m"]).select("m").scalar()
 
-    df = lookup_join(parsed, cat_med, "category", "left", label="category-median")
+    df = lookup_join(parsed, cat_med, "category", "left", written=True)
     df = lookup_join(df, prod_med, "product_id", "left", label="product-median")
     m, p = F.col("_cmed"), F.col("original_price_inr")
     bad = m.isNotNull() & (m > 0) & (p > m * OUTLIER_FACTOR)
