@@ -379,8 +379,8 @@ def correlation_matrix(df: DataFrame) -> DataFrame:
 
 def price_sample(df: DataFrame, n: int = 5000, seed: int = 1) -> DataFrame:
     """Q10 scatter data: a reproducible sample of at most ``n`` rows."""
-    return stats.sample_rows(df, n, "transaction_id", seed).select(
-        "transaction_id", AMOUNT, "discount_percent")
+    return stats.sample_rows(df.select("transaction_id", AMOUNT, "discount_percent"),
+                             n, "transaction_id", seed)
 
 
 # --------------------------------------------------------------------------- #

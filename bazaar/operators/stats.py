@@ -211,5 +211,11 @@ def linear_forecast(points: DataFrame, x: str, y: str, horizon: int = 3,
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
     """At most ``n`` rows chosen by a seeded hash of ``key``: the same rows
-    on any partitioning (a top-n by hash; each task keeps only n candidates)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    on any partitioning (a top-n by hash; each task keeps only n candidates).
+
+    The hash is the md5 of ``key || '#' || seed``, which SQL engines compute
+    alike, so the sample can be checked against an oracle; rows that tie on
+    the key are ordered by all remaining columns."""
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    rest = [c for c in df.columns if c != key]
+    return df.orderBy(h, F.col(key), *rest).limit(n)

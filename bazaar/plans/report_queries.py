@@ -339,7 +339,10 @@ from (select case when {a} is not null and {b} is not null then cast({a} as doub
 
 register("correlation_matrix", rounding={"r": M6}, oracle=_corr_sql())(_on_sales(R.correlation_matrix))
 
-register("price_sample")(_on_sales(R.price_sample))   # rows-only: a seeded hash sample
+register("price_sample", rounding={"final_amount_inr": M6, "discount_percent": M6}, oracle="""
+select transaction_id, final_amount_inr, discount_percent from sales
+order by md5(concat(transaction_id, '#1')), transaction_id, final_amount_inr, discount_percent
+limit 5000""")(_on_sales(R.price_sample))
 
 # --------------------------------------------------------------------------- #
 # Dashboard filter

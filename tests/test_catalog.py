@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
-ROWS_ONLY = {"price_sample"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
