@@ -48,24 +48,50 @@ def null_tokens(df: DataFrame, tokens: list[str] | None = None,
                        F.when(~F.col(c).isin(*toks), F.col(c)).alias(c) for c in df.columns])
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The header line of one file (a single short read)."""
+    if "://" not in path and not path.startswith("file:"):
+        with open(path, encoding="utf-8", errors="replace") as fh:
+            return fh.readline().rstrip("\r\n")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
 def read_raw(spark: SparkSession, source: str | list[str], pattern: str = RAW_FILE_GLOB,
-             tokens: list[str] | None = None) -> DataFrame:
+             tokens: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """IO1-IO3: read every raw CSV (all columns as strings), union by name,
-    null the NA tokens and keep (_file, _line) as the row order."""
+    null the NA tokens and keep (_file, _line) as the row order.
+
+    Files are grouped by their header line and each group is one multi-path
+    scan, so the plan has one scan per distinct header, not one per file;
+    the groups are then unioned by column name. ``_file`` is the path Spark
+    reports for the row's file (files sort by path, as the source sorts its
+    glob) and ``_line`` increases with the position inside a file.
+
+    ``multi_line=True`` keeps quoted values with line breaks intact but reads
+    each file in one task; with values known to hold no line breaks,
+    ``multi_line=False`` lets large files split across tasks.
+    """
     files = raw_files(spark, source, pattern)
     if not files:
         raise FileNotFoundError(f"No raw transaction files matching {pattern} in {source}")
+    groups: dict[str, list[str]] = {}
+    for path in files:
+        groups.setdefault(_first_line(spark, path), []).append(path)
     frames = []
-    for i, path in enumerate(files):
+    for paths in groups.values():
         df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("quote", '"').option("escape", '"').option("multiLine", True)
-              .option("mode", "PERMISSIVE").csv(path))
-        frames.append(df.withColumn("_file", F.lit(i))
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+              .option("mode", "PERMISSIVE").csv(paths))
+        frames.append(df.withColumn("_file", F.col("_metadata.file_path"))
                         .withColumn("_line", F.monotonically_increasing_id()))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return null_tokens(out, tokens)
+    return null_tokens(union_years(frames), tokens)
 
 
 def union_years(frames: list[DataFrame]) -> DataFrame:
