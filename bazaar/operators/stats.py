@@ -49,8 +49,10 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     w_run = (Window.partitionBy(*gk, "_s").orderBy("_v")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     vc = vc.withColumn("_run", F.sum("_c").over(w_run))
-    # 3. per-slice totals -> offsets and group sizes (groups x slices rows).
-    tot = vc.groupBy(*gk, "_s").agg(F.sum("_c").alias("_t"))
+    # 3. per-slice totals (the last running count; the data is already
+    #    clustered by (group, slice), so no shuffle) -> offsets and group
+    #    sizes (a groups x slices table).
+    tot = vc.groupBy(*gk, "_s").agg(F.max("_run").alias("_t"))
     w_prev = Window.partitionBy(*gk).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     offs = (tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_prev), F.lit(0)))
                .withColumn("_n", F.sum("_t").over(Window.partitionBy(*gk))))
@@ -74,15 +76,19 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
                  .where((F.col("_r") > F.col("_off") + F.col("_run") - F.col("_c"))
                         & (F.col("_r") <= F.col("_off") + F.col("_run"))) \
                  .select(*gk, "_n", "_i", "_frac", "_w", "_v")
-    a = F.max(F.when(F.col("_w") == 0, F.col("_v")))
-    b = F.max(F.when(F.col("_w") == 1, F.col("_v")))
-    interp = hit.groupBy(*gk, "_i").agg(
-        F.first("_n").alias("_n"), (a + (b - a) * F.first("_frac")).alias("_qv"))
-    wide = interp.groupBy(*gk).agg(
-        F.first("_n").alias("n"),
-        *[F.max(F.when(F.col("_i") == i, F.col("_qv"))).alias(nm) for i, nm in enumerate(names)])
+    # 6. one aggregation per group: both neighbours of every wanted rank,
+    #    then the linear interpolation between them.
+    aggs = [F.max("_n").alias("n")]
+    for i in range(len(probs)):
+        this = F.col("_i") == i
+        aggs += [F.max(F.when(this & (F.col("_w") == 0), F.col("_v"))).alias(f"_a{i}"),
+                 F.max(F.when(this & (F.col("_w") == 1), F.col("_v"))).alias(f"_b{i}"),
+                 F.max(F.when(this, F.col("_frac"))).alias(f"_f{i}")]
+    wide = hit.groupBy(*gk).agg(*aggs)
+    qs = [(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(nm)
+          for i, nm in enumerate(names)]
     return wide.select(*[F.col(g).alias(k) for g, k in zip(gk, keys)],
-                       F.col("n").cast("long").alias("n"), *names)
+                       F.col("n").cast("long").alias("n"), *qs)
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
