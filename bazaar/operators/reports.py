@@ -194,34 +194,36 @@ def purchase_frequency_20(df: DataFrame) -> DataFrame:
 def cohort_counts(df: DataFrame) -> DataFrame:
     """Q14: distinct customers per (acquisition year, order year).
 
-    The fact is first reduced to its distinct (customer, year) pairs (a
-    partial aggregation, map-side), and the acquisition year and the counts
-    are computed on that much smaller table; the fact itself is shuffled
-    once, already deduplicated per task."""
-    cy = _nn(df, "customer_id", "order_year").select("customer_id", "order_year").distinct()
-    first = cy.groupBy("customer_id").agg(F.min("order_year").alias("cohort"))
-    return cy.join(first, "customer_id").groupBy("cohort", "order_year") \
-        .agg(F.count(F.lit(1)).alias("customers"))
+    One aggregation per customer collects the set of years they ordered in
+    (bounded by the calendar, a handful of values, and combined map-side, so
+    a customer holding a third of all rows is reduced in every task); the
+    cohort is the smallest year of the set. The fact is shuffled once and
+    no join is needed."""
+    years = _nn(df, "customer_id", "order_year").groupBy("customer_id") \
+        .agg(F.collect_set("order_year").alias("_years"))
+    return years.select(F.array_min("_years").alias("cohort"), F.explode("_years").alias("order_year")) \
+        .groupBy("cohort", "order_year").agg(F.count(F.lit(1)).alias("customers"))
+
+
+def _retention(c: DataFrame, base_year: Column) -> DataFrame:
+    # windows over the cohort x year table (bounded by years squared)
+    base = F.max(F.when(F.col("order_year") == base_year, F.col("customers"))) \
+        .over(Window.partitionBy("cohort"))
+    return c.select("cohort", "order_year", "customers",
+                    F.try_divide(F.col("customers").cast("double"), base.cast("double")).alias("retention"))
 
 
 def cohort_retention(df: DataFrame) -> DataFrame:
     """Share of a cohort still buying, over the cohort's own first-year size."""
-    c = cohort_counts(df)
-    base = c.where(F.col("cohort") == F.col("order_year")).select("cohort", F.col("customers").alias("_base"))
-    return c.join(base, "cohort", "left").select(
-        "cohort", "order_year", "customers",
-        F.try_divide(F.col("customers").cast("double"), F.col("_base").cast("double")).alias("retention"))
+    return _retention(cohort_counts(df), F.col("cohort"))
 
 
 def cohort_retention_first_year_base(df: DataFrame) -> DataFrame:
     """Parity variant: every cohort divided by its count in the earliest
     calendar year present (so only the earliest cohort gets values)."""
     c = cohort_counts(df)
-    first_year = c.agg(F.min("order_year")).scalar()
-    base = c.where(F.col("order_year") == first_year).select("cohort", F.col("customers").alias("_base"))
-    return c.join(base, "cohort", "left").select(
-        "cohort", "order_year", "customers",
-        F.try_divide(F.col("customers").cast("double"), F.col("_base").cast("double")).alias("retention"))
+    first_year = F.min("order_year").over(Window.partitionBy())  # years x years rows
+    return _retention(c.withColumn("_first", first_year), F.col("_first"))
 
 
 # --------------------------------------------------------------------------- #
