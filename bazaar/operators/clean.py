@@ -97,15 +97,16 @@ def impute_delivery_days(df: DataFrame, col: str = "delivery_days") -> DataFrame
 
 
 def fix_price_outliers(df: DataFrame, price_col: str = "original_price_inr",
-                       category_col: str = "category") -> DataFrame:
+                       category_col: str = "category", approx: bool = False) -> DataFrame:
     """CL9: a price above 50 x its category's median is a decimal-point error
     and is divided by 100 (NULL category or a median <= 0: untouched).
 
     The exact median per category comes from the range-sliced quantile job,
-    so a category holding most rows is still split across many tasks."""
+    so a category holding most rows is still split across many tasks;
+    ``approx=True`` takes the bounded-memory sketch median instead."""
     if category_col not in df.columns:
         return df
-    med = stats.exact_median(df, [category_col], price_col, "_cmed")
+    med = stats.median_by(df, [category_col], price_col, "_cmed", approx=approx)
     j = lookup_join(df, med, category_col, "left", label="category-median")
     m, p = F.col("_cmed"), F.col(price_col)
     bad = m.isNotNull() & (m > 0) & (p > m * OUTLIER_FACTOR)

@@ -97,26 +97,26 @@ def orders_by_year(df: DataFrame) -> DataFrame:
     return _count_by(df, ["order_year"])
 
 
-def active_customers(df: DataFrame) -> DataFrame:
+def active_customers(df: DataFrame, approx: bool = False) -> DataFrame:
     return _nn(df, "order_year").groupBy("order_year") \
-        .agg(F.count_distinct("customer_id").alias("customers"))
+        .agg(stats.distinct_count("customer_id", approx).alias("customers"))
 
 
-def business_health(df: DataFrame) -> DataFrame:
+def business_health(df: DataFrame, approx: bool = False) -> DataFrame:
     """Q20: one pass per year: revenue (crore), active customers, AOV, return %."""
     returned = (F.col("return_status") == "Returned").cast("double")
     return _nn(df, "order_year").groupBy("order_year").agg(
         (_revenue() / 1e7).alias("revenue_cr"),
-        F.count_distinct("customer_id").alias("active_customers"),
+        stats.distinct_count("customer_id", approx).alias("active_customers"),
         F.avg(AMOUNT).alias("aov"),
         (F.avg(F.coalesce(returned, F.lit(0.0))) * 100).alias("return_rate_pct"))
 
 
-def headline_metrics(df: DataFrame) -> DataFrame:
+def headline_metrics(df: DataFrame, approx: bool = False) -> DataFrame:
     """M1-M5 plus the row count in view: one aggregation pass for the totals
     and one over the (small) yearly table for the last growth rate."""
     totals = df.agg(_revenue().alias("total_revenue"),
-                    F.count_distinct("customer_id").alias("active_customers"),
+                    stats.distinct_count("customer_id", approx).alias("active_customers"),
                     F.avg(AMOUNT).alias("aov"),
                     F.count(F.lit(1)).alias("total_orders"))
     g = yoy_growth(df)
@@ -371,8 +371,9 @@ def price_box_by_category(df: DataFrame) -> DataFrame:
     return box.withColumn("median_rank", F.row_number().over(w))
 
 
-def category_median_price(df: DataFrame, price_col: str = "original_price_inr") -> DataFrame:
-    return stats.exact_median(df, ["category"], price_col, "median_price")
+def category_median_price(df: DataFrame, price_col: str = "original_price_inr",
+                          approx: bool = False) -> DataFrame:
+    return stats.median_by(df, ["category"], price_col, "median_price", approx=approx)
 
 
 def correlation_matrix(df: DataFrame) -> DataFrame:

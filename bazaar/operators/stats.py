@@ -95,6 +95,23 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     return exact_quantiles(df, keys, value, [0.5], [name]).drop("n")
 
 
+def median_by(df: DataFrame, keys: list[str], value: str, name: str = "median",
+              approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """Median per group: exact (``exact_median``) by default; with
+    ``approx=True`` the bounded-memory ``percentile_approx`` sketch (an actual
+    value of the group, rank error about 1/accuracy), one aggregation pass."""
+    if not approx:
+        return exact_median(df, keys, value, name)
+    return df.where(_not_null(keys + [value])).groupBy(*keys).agg(
+        F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).alias(name))
+
+
+def distinct_count(c: str, approx: bool = False, rsd: float = 0.05) -> Column:
+    """Exact ``count_distinct`` by default; ``approx=True`` uses the
+    HyperLogLog++ sketch (relative standard deviation ``rsd``)."""
+    return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+
+
 def histogram(df: DataFrame, value: str, bins: int, lo: Column | None = None,
               hi: Column | None = None) -> DataFrame:
     """Equal-width histogram over [min, max] with ``bins`` bins, the last one

@@ -101,3 +101,19 @@ def test_sample_is_partitioning_independent(spark):
     a = sorted(r.k for r in stats.sample_rows(df.repartition(3), 100, "k").collect())
     b = sorted(r.k for r in stats.sample_rows(df.repartition(11), 100, "k").collect())
     assert a == b and len(a) == 100
+
+
+def test_approx_options_are_close_to_exact(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 4, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 3).cast("string")))
+         .alias("k"),
+        ((F.col("id") * 7919) % 10007).cast("double").alias("v"),
+        (F.col("id") % 5000).cast("string").alias("c"))
+    exact = {r.k: r.m for r in stats.median_by(df, ["k"], "v", "m").collect()}
+    approx = {r.k: r.m for r in stats.median_by(df, ["k"], "v", "m", approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    # rank error ~1/accuracy: the values span 0..10006
+    assert all(abs(exact[k] - approx[k]) <= 0.01 * 10007 for k in exact)
+    row = df.agg(stats.distinct_count("c").alias("e"), stats.distinct_count("c", approx=True).alias("a")).first()
+    assert row.e == 5000 and abs(row.a - 5000) <= 0.15 * 5000
