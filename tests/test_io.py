@@ -113,3 +113,15 @@ def test_load_clean_builds_once(spark, scratch):
     b = IO.load_clean(spark, path, build)
     assert a.count() == b.count() == 1 and len(calls) == 1
     assert os.path.isdir(os.path.join(path, "order_year=2020"))
+
+
+def test_dashboard_filters_prune_and_push_down(spark, scratch):
+    from bazaar.operators import reports as R
+    path = os.path.join(scratch, "fact")
+    IO.write_clean(sales(spark, SF_SMALL), path)
+    fact = spark.read.parquet(path)
+    df = R.category_revenue(R.global_filters(fact, (1996, 1999), ["LARGE"], ["ASIA"]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_year" in plan and "(order_year#" in plan
+    assert "In(category, [LARGE])" in plan or "EqualTo(category,LARGE)" in plan
+    assert "ReadSchema: struct<category:string,final_amount_inr:double,customer_tier:string>" in plan
