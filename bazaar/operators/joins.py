@@ -56,15 +56,39 @@ def measured_bytes(df: DataFrame) -> int:
     return (row["n"] * fixed + int(row["v"])) * _RELATION_FACTOR
 
 
+def _skew_join_on(spark) -> bool:
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
+def salted_join(fact: DataFrame, lookup: DataFrame, on: list[str], how: str, salt: int) -> DataFrame:
+    """Equi-join that spreads every key over ``salt`` partitions: each fact
+    row gets a salt from a hash of its own values (deterministic under task
+    retries) and the lookup is replicated once per salt value, so a key
+    holding a third of the fact is split ``salt`` ways. Every fact row meets
+    exactly one copy of its lookup row, so inner and left joins are exact."""
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt)))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+    return salted.join(copies, on + ["_salt"], how).drop("_salt")
+
+
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: list[str] | str, how: str = "left",
                 max_bytes: int | None = None, label: str = "lookup",
-                written: bool = False) -> DataFrame:
+                written: bool = False, salt: int | None = None) -> DataFrame:
     """``fact.join(lookup, on, how)`` with a size-checked broadcast of ``lookup``.
 
-    ``written=True`` says ``lookup`` already reads a written table, so it is
-    not written again."""
+    Beyond the bound it is a shuffle join: AQE splits a skewed key partition
+    when skew joins are enabled; otherwise (or when ``salt`` is given) the
+    key is salted explicitly. ``written=True`` says ``lookup`` already reads
+    a written table, so it is not written again."""
+    if how not in ("left", "inner"):
+        raise ValueError("lookup_join supports 'left' and 'inner' joins")
+    keys = [on] if isinstance(on, str) else list(on)
     small = lookup if written else materialize(lookup, label)
     bound = broadcast_threshold(fact.sparkSession) if max_bytes is None else max_bytes
     if bound >= 0 and measured_bytes(small) <= bound:
-        return fact.join(F.broadcast(small), on, how)
-    return fact.join(small, on, how)
+        return fact.join(F.broadcast(small), keys, how)
+    if salt is None and _skew_join_on(fact.sparkSession):
+        return fact.join(small, keys, how)
+    return salted_join(fact, small, keys, how, salt or 16)

@@ -57,3 +57,24 @@ def test_measured_bytes_grows_with_strings(spark):
     a = spark.createDataFrame([("x", 1.0)] * 10, "k string, v double")
     b = spark.createDataFrame([("x" * 100, 1.0)] * 10, "k string, v double")
     assert measured_bytes(b) > measured_bytes(a) > 0
+
+
+def test_salted_join_without_aqe_skew_is_exact(spark):
+    fact = _fact(spark)
+    med = fact.where(F.col("key").isNotNull()).groupBy("key").agg(F.median("v").alias("m"))
+    expected = sorted(lookup_join(fact, med, "key", "left").collect(), key=lambda r: r.v)
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.skewJoin.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        out = lookup_join(fact, med, "key", "left")
+        plan = _plan(out)
+        got = sorted(out.collect(), key=lambda r: r.v)
+        inner = lookup_join(fact, med, "key", "inner").count()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert "_salt" in plan and "SortMergeJoin" in plan
+    assert got == expected and len(got) == 5000
+    assert inner == fact.where(F.col("key").isNotNull()).count()
