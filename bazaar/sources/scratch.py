@@ -28,6 +28,10 @@ def spread(df: DataFrame) -> DataFrame:
     Only when the input has fewer partitions than the default parallelism
     (a few small files) is it redistributed; a large input already has many
     splits and passes through untouched, with no extra shuffle.
+
+    Meant for freshly read inputs (scans, filters, projections, unions): on
+    a plan that already shuffles, counting its partitions would run the
+    shuffle stages once before the real job (AQE plans them eagerly).
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
