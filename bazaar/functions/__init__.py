@@ -5,10 +5,12 @@ from bazaar.functions.text import strip_ws, title_case, canonical_lookup
 from bazaar.functions.parse import (
     parse_date, parse_price, parse_rating, parse_delivery_days, to_bool,
 )
-from bazaar.functions.fmt import discount_band, format_inr, flag_label, period_label
+from bazaar.functions.fmt import (
+    discount_band, format_inr, flag_label, period_label, money_sum, money_sum_sql,
+)
 
 __all__ = [
     "strip_ws", "title_case", "canonical_lookup",
     "parse_date", "parse_price", "parse_rating", "parse_delivery_days", "to_bool",
-    "discount_band", "format_inr", "flag_label", "period_label",
+    "discount_band", "format_inr", "flag_label", "period_label", "money_sum", "money_sum_sql",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bazaar.schema import DISCOUNT_BANDS
+from bazaar.schema import DISCOUNT_BANDS, MONEY_DECIMAL
 from bazaar.functions.text import _col
 
 
@@ -45,3 +45,16 @@ def period_label(year: Column | str, quarter: Column | str) -> Column:
     """'2019-Q3' from integer year and quarter."""
     return F.concat_ws("-Q", _col(year).cast("int").cast("string"),
                        _col(quarter).cast("int").cast("string"))
+
+
+def money_sum(c: Column | str) -> Column:
+    """Exact sum of amounts: each value (a 4-decimal number by construction)
+    is cast to DECIMAL and summed without rounding error, so the total does
+    not depend on partitioning, merge order or task retries; returned as
+    DOUBLE like the amounts themselves."""
+    return F.sum(_col(c).cast(MONEY_DECIMAL)).cast("double")
+
+
+def money_sum_sql(x: str) -> str:
+    """The same expression as SQL text (Spark SQL and DuckDB)."""
+    return f"cast(sum(cast({x} as {MONEY_DECIMAL})) as double)"

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.functions import money_sum
 from bazaar.schema import CITY_TIERS, FOREIGN_KEYS, PRIMARY_KEYS
 
 PRODUCT_COLUMNS = ["product_id", "product_name", "category", "subcategory", "brand", "product_rating"]
@@ -40,7 +41,7 @@ def customer_dim(df: DataFrame, order: list[str] | None = None) -> DataFrame:
           for c in ("customer_city", "customer_state", "customer_tier", "age_group")],
         F.bool_or("is_prime_member").alias("is_prime_member"),
         F.count("transaction_id").alias("total_orders"),
-        F.coalesce(F.sum("final_amount_inr"), F.lit(0.0)).alias("total_spend"))
+        F.coalesce(money_sum("final_amount_inr"), F.lit(0.0)).alias("total_spend"))
 
 
 def time_dim(df: DataFrame, date_col: str = "order_date") -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.functions import discount_band, flag_label, format_inr, period_label
+from bazaar.functions import discount_band, flag_label, format_inr, money_sum, period_label
 from bazaar.operators import stats
 from bazaar.schema import DISCOUNT_BANDS
 
@@ -31,8 +31,9 @@ def _nn(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _revenue(col: str = AMOUNT) -> Column:
-    # pandas sums an all-missing group to 0
-    return F.coalesce(F.sum(col), F.lit(0.0))
+    # exact decimal sum (no dependence on merge order); pandas sums an
+    # all-missing group to 0
+    return F.coalesce(money_sum(col), F.lit(0.0))
 
 
 def _sum_by(df: DataFrame, keys: list[str], name: str = "revenue") -> DataFrame:
@@ -391,14 +392,14 @@ def price_sample(df: DataFrame, n: int = 5000, seed: int = 1) -> DataFrame:
 # --------------------------------------------------------------------------- #
 KPI_SQL: dict[str, str] = {
     "yearly_revenue": """
-        SELECT order_year AS year, SUM(final_amount_inr) AS revenue,
+        SELECT order_year AS year, CAST(SUM(CAST(final_amount_inr AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
                COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS customers
         FROM {t} GROUP BY order_year ORDER BY order_year""",
     "category_revenue": """
-        SELECT category, SUM(final_amount_inr) AS revenue, COUNT(*) AS orders
+        SELECT category, CAST(SUM(CAST(final_amount_inr AS DECIMAL(18,4))) AS DOUBLE) AS revenue, COUNT(*) AS orders
         FROM {t} GROUP BY category ORDER BY revenue DESC""",
     "top_cities": """
-        SELECT customer_city AS city, SUM(final_amount_inr) AS revenue
+        SELECT customer_city AS city, CAST(SUM(CAST(final_amount_inr AS DECIMAL(18,4))) AS DOUBLE) AS revenue
         FROM {t} GROUP BY customer_city
         ORDER BY revenue DESC, city LIMIT 10""",
 }

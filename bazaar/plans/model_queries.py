@@ -28,7 +28,7 @@ select customer_id,
        arg_min(customer_tier, transaction_id) filter (where customer_tier is not null) as customer_tier,
        arg_min(age_group, transaction_id) filter (where age_group is not null) as age_group,
        bool_or(is_prime_member) as is_prime_member, count(transaction_id) as total_orders,
-       coalesce(sum(final_amount_inr), 0) as total_spend
+       coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as total_spend
 from sales where customer_id is not null group by customer_id""")(
     lambda s, d: D.customer_dim(sales(s, d)))
 
