@@ -310,12 +310,16 @@ def payment_share(df: DataFrame) -> DataFrame:
     """Q4: each method's share of the year's orders, zero-filled on the grid
     of observed years x observed methods (the categorical behaviour).
 
-    The grid comes from a pivot (bounded by the method vocabulary, checked by
-    spark.sql.pivotMaxValues) and an unpivot, not from a cross join."""
+    The grid keeps the unbounded side distributed: every observed method is
+    one row, and the observed years (bounded by the calendar) come as one
+    small array from a scalar subquery and are exploded per method. No pivot
+    (whose value list is capped) and no cross join."""
     counts = _count_by(df, ["order_year", "payment_method"], "n")
-    wide = counts.groupBy("order_year").pivot("payment_method").agg(F.first("n")).na.fill(0)
-    methods = [c for c in wide.columns if c != "order_year"]
-    long = wide.unpivot(["order_year"], methods, "payment_method", "n") if methods else counts
+    years = counts.agg(F.array_sort(F.collect_set("order_year"))).scalar()
+    grid = counts.select("payment_method").distinct() \
+        .select("payment_method", F.explode(years).alias("order_year"))
+    long = grid.join(counts, ["order_year", "payment_method"], "left") \
+        .select("order_year", "payment_method", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
     w = Window.partitionBy("order_year")
     return long.select("order_year", "payment_method",
                        F.try_divide(F.col("n").cast("double") * 100,

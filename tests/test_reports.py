@@ -72,3 +72,14 @@ def test_yoy_growth_matches_pct_change(frame):
     got = {r.order_year: r.growth_pct for r in R.yoy_growth(sdf).collect()}
     for y, v in exp.items():
         assert (got[int(y)] is None and math.isnan(v)) or got[int(y)] == pytest.approx(v)
+
+
+def test_payment_share_has_no_pivot_cap(spark, frame):
+    _, sdf = frame
+    prev = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "2")   # fewer than the three methods
+    try:
+        rows = R.payment_share(sdf).collect()
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", prev)
+    assert {r.payment_method for r in rows} == {"UPI", "Card", "COD"}
