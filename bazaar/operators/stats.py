@@ -232,13 +232,33 @@ def linear_forecast(points: DataFrame, x: str, y: str, horizon: int = 3,
                       (F.col("intercept") + F.col("slope") * F.col(x)).alias(f"forecast_{y}"))
 
 
-def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1, oversample: int = 8) -> DataFrame:
     """At most ``n`` rows chosen by a seeded hash of ``key``: the same rows
-    on any partitioning (a top-n by hash; each task keeps only n candidates).
+    on any partitioning.
 
     The hash is the md5 of ``key || '#' || seed``, which SQL engines compute
     alike, so the sample can be checked against an oracle; rows that tie on
-    the key are ordered by all remaining columns."""
+    the key are ordered by all remaining columns.
+
+    A plain top-n keeps n candidates per task and merges them all in one
+    place (tasks x n rows). Here, rows are first kept only when the 32-bit
+    prefix of their hash (whose order is the hash order) is below a cut
+    chosen for about ``oversample`` x n rows. When at least n rows pass, the
+    n smallest hashes are all among them, so the result is exact; otherwise
+    the plain top-n over all rows is taken. The small result is written
+    once under the checkpoint folder."""
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
     rest = [c for c in df.columns if c != key]
-    return df.orderBy(h, F.col(key), *rest).limit(n)
+
+    def top(frame: DataFrame) -> DataFrame:
+        return frame.orderBy(h, F.col(key), *rest).limit(n)
+
+    total = df.count()
+    if total <= oversample * n:
+        return materialize(top(df), "sample")
+    cut = int((1 << 32) * oversample * n / total)
+    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+    picked = materialize(top(df.where(prefix < F.lit(cut))), "sample")
+    if picked.count() >= n:
+        return picked
+    return materialize(top(df), "sample")
