@@ -58,3 +58,13 @@ def money_sum(c: Column | str) -> Column:
 def money_sum_sql(x: str) -> str:
     """The same expression as SQL text (Spark SQL and DuckDB)."""
     return f"cast(sum(cast({x} as {MONEY_DECIMAL})) as double)"
+
+
+def money_avg(c: Column | str) -> Column:
+    """Mean amount from the exact sum and the count of non-NULL amounts
+    (NULL for an empty group), so it is as deterministic as ``money_sum``."""
+    return money_sum(c) / F.count(_col(c))
+
+
+def money_avg_sql(x: str) -> str:
+    return f"({money_sum_sql(x)} / count({x}))"

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.functions import discount_band, flag_label, format_inr, money_sum, period_label
+from bazaar.functions import discount_band, flag_label, format_inr, money_avg, money_sum, period_label
 from bazaar.operators import stats
 from bazaar.schema import DISCOUNT_BANDS
 
@@ -45,8 +45,9 @@ def _count_by(df: DataFrame, keys: list[str], name: str = "orders",
     return _nn(df, *keys).groupBy(*keys).agg(F.count(col).alias(name))
 
 
-def _mean_by(df: DataFrame, keys: list[str], col: str, name: str) -> DataFrame:
-    return _nn(df, *keys).groupBy(*keys).agg(F.avg(col).alias(name))
+def _mean_by(df: DataFrame, keys: list[str], col: str, name: str, money: bool = False) -> DataFrame:
+    mean = money_avg(col) if money else F.avg(col)
+    return _nn(df, *keys).groupBy(*keys).agg(mean.alias(name))
 
 
 def _share_of_total(agg: DataFrame, col: str, name: str, scale: float = 100.0) -> DataFrame:
@@ -109,7 +110,7 @@ def business_health(df: DataFrame, approx: bool = False) -> DataFrame:
     return _nn(df, "order_year").groupBy("order_year").agg(
         (_revenue() / 1e7).alias("revenue_cr"),
         stats.distinct_count("customer_id", approx).alias("active_customers"),
-        F.avg(AMOUNT).alias("aov"),
+        money_avg(AMOUNT).alias("aov"),
         (F.avg(F.coalesce(returned, F.lit(0.0))) * 100).alias("return_rate_pct"))
 
 
@@ -118,7 +119,7 @@ def headline_metrics(df: DataFrame, approx: bool = False) -> DataFrame:
     and one over the (small) yearly table for the last growth rate."""
     totals = df.agg(_revenue().alias("total_revenue"),
                     stats.distinct_count("customer_id", approx).alias("active_customers"),
-                    F.avg(AMOUNT).alias("aov"),
+                    money_avg(AMOUNT).alias("aov"),
                     F.count(F.lit(1)).alias("total_orders"))
     g = yoy_growth(df)
     last = g.agg(F.max_by("growth_pct", "order_year").alias("g"),
@@ -153,16 +154,16 @@ def rfm(df: DataFrame) -> DataFrame:
 def prime_impact(df: DataFrame) -> DataFrame:
     """Q6: AOV and order count by Prime flag."""
     return _nn(df, "is_prime_member").groupBy("is_prime_member").agg(
-        F.avg(AMOUNT).alias("aov"), F.count("transaction_id").alias("orders"))
+        money_avg(AMOUNT).alias("aov"), F.count("transaction_id").alias("orders"))
 
 
 def aov_prime(df: DataFrame) -> DataFrame:
-    a = _mean_by(df, ["is_prime_member"], AMOUNT, "aov")
+    a = _mean_by(df, ["is_prime_member"], AMOUNT, "aov", money=True)
     return a.select(flag_label("is_prime_member", "Prime", "Non-Prime").alias("label"), "aov")
 
 
 def aov_festival(df: DataFrame) -> DataFrame:
-    a = _mean_by(df, ["is_festival_sale"], AMOUNT, "aov")
+    a = _mean_by(df, ["is_festival_sale"], AMOUNT, "aov", money=True)
     return a.select(flag_label("is_festival_sale", "Festival", "Regular").alias("label"), "aov")
 
 
@@ -357,7 +358,7 @@ def rating_histogram(df: DataFrame, bins: int = 9) -> DataFrame:
 def aov_by_rating(df: DataFrame) -> DataFrame:
     """Q16: mean order value by rating rounded half-even to a whole star."""
     r = F.bround("customer_rating", 0)
-    return df.where(r.isNotNull()).groupBy(r.alias("rating")).agg(F.avg(AMOUNT).alias("aov"))
+    return df.where(r.isNotNull()).groupBy(r.alias("rating")).agg(money_avg(AMOUNT).alias("aov"))
 
 
 def delivery_histogram(df: DataFrame, bins: int = 16) -> DataFrame:

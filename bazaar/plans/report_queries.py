@@ -74,7 +74,7 @@ from sales where order_year is not null group by order_year""")(_on_sales(R.acti
 
 register("business_health", rounding={"revenue_cr": M6, "aov": M6, "return_rate_pct": M6}, oracle="""
 select order_year, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) / 1e7 as revenue_cr,
-       count(distinct customer_id) as active_customers, avg(final_amount_inr) as aov,
+       count(distinct customer_id) as active_customers, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov,
        avg(coalesce(cast(return_status = 'Returned' as double), 0.0)) * 100 as return_rate_pct
 from sales where order_year is not null group by order_year""")(_on_sales(R.business_health))
 
@@ -90,7 +90,7 @@ with y as (select order_year, revenue,
      g as (select case when count(*) > 1 then max_by(g, order_year) else 0.0 end as g from y),
      t as (select coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as total_revenue,
                   count(distinct customer_id) as active_customers,
-                  avg(final_amount_inr) as aov, count(*) as total_orders from sales)
+                  (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov, count(*) as total_orders from sales)
 select total_revenue, g.g as yoy_growth_pct, active_customers, aov, total_orders,
        {_INR.format(x='total_revenue')} as total_revenue_label,
        {_INR.format(x='aov')} as aov_label
@@ -121,15 +121,15 @@ select customer_id,
 from sales where customer_id is not null group by customer_id""")(_on_sales(R.rfm))
 
 register("prime_impact", rounding={"aov": M6}, oracle="""
-select is_prime_member, avg(final_amount_inr) as aov, count(transaction_id) as orders
+select is_prime_member, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov, count(transaction_id) as orders
 from sales where is_prime_member is not null group by is_prime_member""")(_on_sales(R.prime_impact))
 
 register("aov_prime", rounding={"aov": M6}, oracle="""
-select case when is_prime_member then 'Prime' else 'Non-Prime' end as label, avg(final_amount_inr) as aov
+select case when is_prime_member then 'Prime' else 'Non-Prime' end as label, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov
 from sales where is_prime_member is not null group by is_prime_member""")(_on_sales(R.aov_prime))
 
 register("aov_festival", rounding={"aov": M6}, oracle="""
-select case when is_festival_sale then 'Festival' else 'Regular' end as label, avg(final_amount_inr) as aov
+select case when is_festival_sale then 'Festival' else 'Regular' end as label, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov
 from sales where is_festival_sale is not null group by is_festival_sale""")(_on_sales(R.aov_festival))
 
 register("age_spend", rounding={"revenue": M2}, oracle="""
@@ -316,7 +316,7 @@ register("delivery_histogram", rounding={"bin_lo": M6, "bin_hi": M6},
          oracle=_HIST.format(col="delivery_days", src="sales", bins=16))(_on_sales(R.delivery_histogram))
 
 register("aov_by_rating", rounding={"aov": M6}, oracle="""
-select round_even(customer_rating, 0) as rating, avg(final_amount_inr) as aov
+select round_even(customer_rating, 0) as rating, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov
 from sales where customer_rating is not null group by 1""")(_on_sales(R.aov_by_rating))
 
 register("delivery_by_tier", rounding={"avg_delivery_days": M6}, oracle="""
