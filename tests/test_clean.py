@@ -115,3 +115,14 @@ def test_pipeline_same_answer_with_1_and_8_shuffle_partitions(spark):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert run(1) == run(8)
+
+
+def test_category_median_join_never_shuffles_the_fact_by_category(spark):
+    """The per-category medians are broadcast after a size check, so the
+    fact is not hash-partitioned onto the handful of category keys."""
+    raw = C.parse_all(G.messy(spark, SF_CHECK), WINDOW)
+    out = C.fix_price_outliers(raw)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [category" in plan
+    assert "SortMergeJoin [category" not in plan
