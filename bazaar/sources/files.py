@@ -150,7 +150,16 @@ def load_warehouse(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFra
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = {}
-    (fact.write.mode("overwrite").partitionBy("order_year")
+    # One writer per (bucket, slice): without this every input task writes a
+    # file for each (year, bucket) it holds (tasks x years x buckets files).
+    # Spark's bucket id is pmod(murmur3(customer_id), buckets), the same hash
+    # as F.hash; a hashed slice of the row spreads a hot customer's bucket
+    # over several writers (a bucket may hold several files).
+    slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    bucket = F.pmod(F.hash("customer_id"), F.lit(buckets))
+    slice_ = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(slices))
+    laid = fact.repartition(buckets * slices, bucket, slice_)
+    (laid.write.mode("overwrite").partitionBy("order_year")
          .bucketBy(buckets, "customer_id").sortBy("customer_id")
          .option("path", f"{location.rstrip('/')}/transactions")
          .saveAsTable(f"{prefix}transactions"))

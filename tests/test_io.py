@@ -125,3 +125,26 @@ def test_dashboard_filters_prune_and_push_down(spark, scratch):
     assert "PartitionFilters: [isnotnull(order_year" in plan and "(order_year#" in plan
     assert "In(category, [LARGE])" in plan or "EqualTo(category,LARGE)" in plan
     assert "ReadSchema: struct<category:string,final_amount_inr:double,customer_tier:string>" in plan
+
+
+def test_warehouse_writes_one_file_per_bucket_and_year(spark, scratch):
+    import glob
+    fact = sales(spark, SF_SMALL)
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        IO.load_warehouse(spark, fact, {}, os.path.join(scratch, "wh"), database="bazaar_bucket_test",
+                          buckets=4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    years = glob.glob(os.path.join(scratch, "wh", "transactions", "order_year=*"))
+    assert years
+    for d in years:
+        files = [f for f in os.listdir(d) if f.endswith(".parquet")]
+        assert 0 < len(files) <= 4, (d, files)
+    t = spark.table("bazaar_bucket_test.transactions")
+    assert t.count() == fact.count()
+    # every file holds the customers of exactly one bucket
+    per_file = t.select(F.input_file_name().alias("f"), F.pmod(F.hash("customer_id"), F.lit(4)).alias("b")) \
+        .groupBy("f").agg(F.count_distinct("b").alias("nb"))
+    assert per_file.agg(F.max("nb")).first()[0] == 1
