@@ -11,7 +11,8 @@ fact's shuffle write has started.
 the shared checkpoint folder), measures its in-memory size with one small
 aggregate, and broadcasts it only when that measured size is under
 ``spark.sql.autoBroadcastJoinThreshold``. Beyond the bound it is a shuffle
-join on the key, where AQE splits a skewed key partition.
+join on the key, where AQE splits a skewed key partition; when the session
+has skew joins off, the key is salted explicitly (``salted_join``).
 """
 
 from __future__ import annotations

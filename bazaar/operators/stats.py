@@ -245,8 +245,9 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1, oversample: int
     prefix of their hash (whose order is the hash order) is below a cut
     chosen for about ``oversample`` x n rows. When at least n rows pass, the
     n smallest hashes are all among them, so the result is exact; otherwise
-    the plain top-n over all rows is taken. The small result is written
-    once under the checkpoint folder."""
+    the plain top-n over all rows is taken. The cost is one extra counting
+    pass, fully parallel, instead of a merge of tasks x n rows in one place.
+    The small result is written once under the checkpoint folder."""
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
     rest = [c for c in df.columns if c != key]
 
