@@ -148,3 +148,17 @@ def test_warehouse_writes_one_file_per_bucket_and_year(spark, scratch):
     per_file = t.select(F.input_file_name().alias("f"), F.pmod(F.hash("customer_id"), F.lit(4)).alias("b")) \
         .groupBy("f").agg(F.count_distinct("b").alias("nb"))
     assert per_file.agg(F.max("nb")).first()[0] == 1
+
+
+def test_read_raw_single_line_mode_reads_the_same_rows(spark, scratch):
+    a = spark.createDataFrame([("T1", "2020-01-05", "1"), ("T2", "N/A", "2")],
+                              "transaction_id string, order_date string, final_amount_inr string")
+    b = spark.createDataFrame([("3", "T3", "2021-02-03")],
+                              "final_amount_inr string, transaction_id string, order_date string")
+    _write_year_csv(a, os.path.join(scratch, "amazon_india_2020.csv"))
+    _write_year_csv(b, os.path.join(scratch, "amazon_india_2021.csv"))
+    cols = ["transaction_id", "order_date", "final_amount_inr", "_file"]
+    multi = sorted(tuple(r) for r in IO.read_raw(spark, scratch).select(*cols).collect())
+    single = sorted(tuple(r) for r in IO.read_raw(spark, scratch, multi_line=False).select(*cols).collect())
+    assert multi == single and len(multi) == 3
+    assert ("T2", None, "2") == multi[1][:3]          # 'N/A' is missing in both modes
