@@ -78,3 +78,14 @@ def test_salted_join_without_aqe_skew_is_exact(spark):
     assert "_salt" in plan and "SortMergeJoin" in plan
     assert got == expected and len(got) == 5000
     assert inner == fact.where(F.col("key").isNotNull()).count()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_join_multi_column_key_equals_plain_join(spark, how):
+    from bazaar.operators.joins import salted_join
+    fact = spark.range(2000).select((F.col("id") % 3).alias("a"), (F.col("id") % 2).alias("b"),
+                                    F.col("id").alias("v"))
+    look = spark.createDataFrame([(0, 0, "x"), (1, 1, "y"), (2, 0, "z")], "a long, b long, t string")
+    plain = sorted(tuple(r) for r in fact.join(look, ["a", "b"], how).collect())
+    salted = sorted(tuple(r) for r in salted_join(fact, look, ["a", "b"], how, 7).collect())
+    assert plain == salted
