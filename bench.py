@@ -115,7 +115,8 @@ def main() -> None:
         "first_pass_total": round(sum(passes[0].values()), 3),
         "config": {k: spark.conf.get(k) for k in (
             "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
-            "spark.sql.adaptive.skewJoin.enabled", "spark.sql.files.maxPartitionBytes")},
+            "spark.sql.adaptive.skewJoin.enabled", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.autoBroadcastJoinThreshold")},
     }
     print(json.dumps(result))
     spark.stop()
