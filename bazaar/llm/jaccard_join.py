@@ -10,17 +10,22 @@ order of their 64-bit hashes). The join runs in these steps:
    branch. Linked sets of at most U elements differ in at most D elements, so
    with K > D at least one branch holds the *same whole path* for both. The path
    digests are joined; no link is lost, and a passage that many documents share
-   costs little, as the rest of a path then differs. Empty paths would meet
-   everywhere: K has slack for them, and a set with more empty paths than the
-   slack allows emits those too.
+   costs little, as the rest of a path then differs. Weak paths (empty, or of one
+   element) would meet by chance: K has slack for them, and a set with more
+   weak paths than the slack allows emits those too.
 3. **Candidates.** Sets that share a path are compared by their element counts
    in 128 hash ranges. The counts' L1 distance never exceeds the sets'
-   difference, so this only removes pairs that cannot link. Paths shared by many sets
-   are split into blocks, each pair of blocks a task's unit.
+   difference, so this only removes pairs that cannot link. Paths shared by many
+   sets are split into blocks, each pair of blocks a task's unit.
 4. **Prefix tree.** Per probe set, the candidates are stored in a path-compressed
    trie. A traversal counts each shared run once for all sets below it and cuts a
    subtree when the overlap so far plus what can remain misses the bound.
-5. Components by label propagation over the links between different sets.
+5. **Two rounds.** Round one verifies, per path, only the pairs with the path's
+   first set; a group of near copies is connected by them. Round two verifies the
+   remaining pairs *between different components* of round one. No pair that could
+   join two components is left out, and no group's pairs are all written.
+6. **Link counts.** All links lie inside components; each pair of blocks of a
+   component's sets is multiplied out in one task, which returns sums only.
 
 Sizes: K depends on the size class [L, U] of the larger set (U < 1.4 L); a set
 whose partners can reach the next class emits its paths there too.
@@ -77,13 +82,16 @@ class Branching:
         self._classes: dict[int, tuple[int, int, int]] = {}
 
     def of(self, c: int) -> tuple[int, int, int]:
-        """(L, U, K) of class ``c``."""
+        """(L, U, K) of class ``c``: K exceeds the largest difference by about as
+        many branches as a set of L elements has weak ones."""
         if c not in self._classes:
             low, high = class_bounds(c)
-            k = max_difference(2 * high, self.percent) + 1
-            empty = math.exp(-low / k)
-            slack = 0 if k == 1 else math.ceil(2 * empty * k + 3 * math.sqrt(empty * k))
-            self._classes[c] = (low, high, k + slack)
+            need = k = max_difference(2 * high, self.percent) + 1
+            if need > 1:
+                for _ in range(8):
+                    share = math.exp(-low / k) * (1 + low / k)
+                    k = min(2 * need, math.ceil(need + share * k + 2 * math.sqrt(share * k)))
+            self._classes[c] = (low, high, k)
         return self._classes[c]
 
 
@@ -98,13 +106,17 @@ def path_digests(items: np.ndarray, percent: int, branching: Branching) -> np.nd
             return np.concatenate(out)
         branch = ((items >> U64(32)) * U64(k)) >> U64(32)
         first = np.flatnonzero(np.r_[True, branch[1:] != branch[:-1]])
-        path = np.add.reduceat(mix(items), first)
+        length = np.diff(np.r_[first, n])
         seed = U64((c * 0x9E3779B97F4A7C15 + 0x1234567) & (2**64 - 1))
-        out.append(mix(path + mix(branch[first] + seed)))
+        path = mix(np.add.reduceat(mix(items), first) + mix(branch[first] + seed))
+        strong = length > 1
         worst = max_difference(n + min(high, largest), percent)
-        if k - len(first) > k - 1 - worst:   # too many empty paths: they may be the only equal ones
+        if int(strong.sum()) < k and k - int(strong.sum()) > k - 1 - worst:
+            # too many weak paths: they may be the only equal ones
+            strong[:] = True
             bare = np.setdiff1d(np.arange(k, dtype=U64), branch[first], assume_unique=True)
             out.append(mix(mix(bare + seed) ^ U64(0x5851F42D4C957F2D)))
+        out.append(path[strong])
         c += 1
 
 
@@ -114,30 +126,46 @@ def _digest(items: np.ndarray) -> int:
     return int(h.view(np.int64)[0])
 
 
-def _sets(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
-    """(doc_id, n, dig, paths); a digest that its task has met before has no paths."""
+def _cells(items: np.ndarray) -> bytes:
+    counts = np.bincount((items >> U64(57)).astype(np.int64), minlength=_CELLS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _sets(docs: DataFrame, ngram: int) -> DataFrame:
+    """(doc_id, n, dig, cells)."""
+    def run(batch):
+        ids = batch.column("doc_id")
+        for words in word_chunks(batch.column("text")):
+            size, digs, cells = [], [], []
+            for i in range(len(words)):
+                items = shingle_hashes(words.of(i), ngram)
+                size.append(len(items))
+                digs.append(_digest(items) if len(items) else None)
+                cells.append(_cells(items) if len(items) else None)
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(words.first, len(words)).cast(pa.int64()), pa.array(size, pa.int64()),
+                 pa.array(digs, pa.int64()), pa.array(cells, pa.binary())], ["doc_id", "n", "dig", "cells"])
+    return map_arrow(docs, run, "doc_id long, n long, dig long, cells binary")
+
+
+def _paths(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
+    """(path, dig) of every set; a task writes a digest's paths once."""
     def run(batches):
         branching, met = Branching(percent), set()
         for batch in batches:
-            ids = batch.column("doc_id")
             for words in word_chunks(batch.column("text")):
-                size, digs, paths = [], [], []
+                paths, digs = [], []
                 for i in range(len(words)):
                     items = shingle_hashes(words.of(i), ngram)
-                    size.append(len(items))
-                    if not len(items):
-                        digs.append(None)
-                        paths.append(None)
+                    if not len(items) or (d := _digest(items)) in met:
                         continue
-                    d = _digest(items)
-                    digs.append(d)
-                    paths.append(None if d in met else path_digests(items, percent, branching).view(np.int64))
                     met.add(d)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(words.first, len(words)).cast(pa.int64()), pa.array(size, pa.int64()),
-                     pa.array(digs, pa.int64()), pa.array(paths, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "dig", "paths"])
-    return docs.mapInArrow(run, "doc_id long, n long, dig long, paths array<long>")
+                    paths.append(path_digests(items, percent, branching).view(np.int64))
+                    digs.append(np.full(len(paths[-1]), d))
+                if paths:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(paths)), pa.array(np.concatenate(digs))], ["path", "dig"])
+    return docs.select("text").mapInArrow(run, "path long, dig long")
 
 
 def _shared_paths(rows: DataFrame) -> DataFrame:
@@ -173,7 +201,7 @@ def _shared_paths(rows: DataFrame) -> DataFrame:
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
-    """(dig, n, cells, items) of the wanted (dig, rep): one document's set each."""
+    """(dig, n, items) of the wanted (dig, rep): one document's set each."""
     rows = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.rep)).select("dig", "text")
 
     def run(batch):
@@ -183,75 +211,82 @@ def _contents(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
             for i in range(len(words)):
                 items = shingle_hashes(words.of(i), ngram)
                 if len(items) and _digest(items) == digs[words.first + i]:
-                    cells = np.bincount((items >> U64(57)).astype(np.int64), minlength=_CELLS)
-                    out.append((digs[words.first + i], len(items),
-                                np.minimum(cells, 255).astype(np.uint8).tobytes(), items.tobytes()))
+                    out.append((digs[words.first + i], len(items), items.tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
-                    ["dig", "n", "cells", "items"])
-    return map_arrow(rows, run, "dig long, n long, cells binary, items binary").dropDuplicates(["dig"])
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))],
+                    ["dig", "n", "items"])
+    return map_arrow(rows, run, "dig long, n long, items binary").dropDuplicates(["dig"])
 
 
-def _candidates(shared: DataFrame, sets: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame:
-    """Distinct pairs (a < b) of digests that share a path and pass the size and count bounds."""
+def _units(shared: DataFrame, block: int) -> DataFrame:
+    """The rows of each shared path by unit: one unit per path, or per pair of
+    blocks where more than ``block`` sets share the path."""
     hot = (shared.groupBy("path").count().where(F.col("count") > block)
            .select("path", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    rows = (shared.join(sets.select("dig", "n", "cells"), "dig")
-            .join(hot, "path", "left")
+    return (shared.join(hot, "path", "left")
             .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
             .withColumn("own", F.pmod(F.hash("dig"), F.col("blocks")))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("path", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                    "own", "dig", "n", "cells"))
-    rows = (rows.withColumn("unit", F.xxhash64("path", "lo", "hi"))
-            .select("unit", "own", "lo", "hi", "dig", "n", "cells")
-            .repartition("unit").sortWithinPartitions("unit", "dig"))
-
-    def compare(unit, within, dig, n, cells):
-        n_rows = len(unit)
-        live, k = np.arange(n_rows), 0
-        first, second = [], []
-        while len(live):
-            k += 1
-            live = live[live + k < n_rows]
-            live = live[unit[live] == unit[live + k]]
-            i, j = live, live + k
-            ok = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (within[i] != within[j])
+            .withColumn("unit", F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")))
+            .select("unit", (F.col("own") != F.col("other")).alias("mixed"), "own", "dig", "n", "cells", "part"))
+
+
+def _candidates(shared: DataFrame, percent: int, first_only: bool, block: int = _BLOCK) -> DataFrame:
+    """Distinct pairs (a < b) of digests that share a path and pass the size and count bounds.
+
+    ``shared`` has path, dig, n, cells and part. ``first_only`` takes the pairs
+    with the first set of each unit, else all pairs of different parts.
+    """
+    def compare(unit, mixed, own, dig, n, part, cells):
+        def close(i, j):
+            ok = (part[i] != part[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            ok &= ~mixed[i] | (own[i] != own[j])
             i, j = i[ok], j[ok]
             if len(i):
                 apart = np.abs(cells[i].astype(np.int16) - cells[j]).sum(1)
                 ok = apart <= (100 - percent) * (n[i] + n[j]) // (100 + percent)
                 first.append(dig[i[ok]])
                 second.append(dig[j[ok]])
+        first, second, rows = [], [], len(unit)
+        if first_only:
+            start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+            head = np.repeat(start, np.diff(np.r_[start, rows]))
+            live = np.flatnonzero(head != np.arange(rows))
+            for at in range(0, len(live), 1 << 16):
+                close(head[live[at:at + (1 << 16)]], live[at:at + (1 << 16)])
+        else:
+            live, k = np.arange(rows), 0
+            while len(live):
+                k += 1
+                live = live[live + k < rows]
+                live = live[unit[live] == unit[live + k]]
+                for at in range(0, len(live), 1 << 16):
+                    close(live[at:at + (1 << 16)], live[at:at + (1 << 16)] + k)
         a = np.concatenate(first or [np.empty(0, np.int64)])
         b = np.concatenate(second or [np.empty(0, np.int64)])
-        return np.minimum(a, b), np.maximum(a, b)
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        if len(pairs):
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     def run(batches):
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(c).to_numpy() for c in ("unit", "own", "lo", "hi", "dig", "n")]
-            cells = np.frombuffer(b"".join(batch.column("cells").to_pylist()), np.uint8).reshape(-1, _CELLS)
-            unit, own, lo, hi, dig, n = cols
-            # within one block all pairs count (a tag of its own each); across two, only mixed ones
-            tag = np.where(lo == hi, np.arange(len(unit)) + (1 << 32), own)
-            now = [unit, tag, dig, n, cells]
+            now = [batch.column(c).to_numpy(zero_copy_only=False)
+                   for c in ("unit", "mixed", "own", "dig", "n", "part")]
+            now.append(np.frombuffer(b"".join(batch.column("cells").to_pylist()), np.uint8).reshape(-1, _CELLS))
             if held is not None:
-                held[1] = np.where(held[1] >= (1 << 32), held[1] + (1 << 33), held[1])
                 now = [np.concatenate(x) for x in zip(held, now)]
             done = int(np.searchsorted(now[0], now[0][-1]))  # the last unit may go on
             held = [x[done:] for x in now]
-            a, b = compare(*[x[:done] for x in now])
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            if done:
+                yield from compare(*[x[:done] for x in now])
         if held is not None:
-            a, b = compare(*held)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-    return rows.mapInArrow(run, "a long, b long").distinct()
+            yield from compare(*held)
+    return (_units(shared, block).repartition("unit").sortWithinPartitions("unit", "dig")
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def trie_links(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[int]:
@@ -318,6 +353,43 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int, fan: int = _FAN) ->
     return probes.union(others).groupBy("a", "part").applyInArrow(run, "a long, b long")
 
 
+def _link_counts(members: DataFrame, percent: int, block: int = _FAN) -> DataFrame:
+    """(dig, partners): documents in other sets that link with a set.
+
+    ``members`` has component, dig, copies, n and items. The sets of a component
+    are dealt into blocks; a task multiplies the incidence matrices of two blocks.
+    """
+    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    rows = (members.join(sizes, "component")
+            .withColumn("own", F.pmod(F.hash("dig"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+            .select("component", "lo", "hi", "own", "dig", "copies", "n", "items"))
+
+    def run(table: pa.Table) -> pa.Table:
+        own, dig, copies, n = (table.column(c).to_numpy() for c in ("own", "dig", "copies", "n"))
+        sets = [np.frombuffer(x, U64) for x in table.column("items").to_pylist()]
+        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        universe, at = np.unique(np.concatenate(sets), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), n)
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(at, kind="stable")
+        at, row = at[order], row[order]
+        width = 1 << 13
+        for first in range(0, len(universe), width):
+            i, j = np.searchsorted(at, [first, first + width])
+            part = np.zeros((len(sets), width), np.float32)
+            part[row[i:j], at[i:j] - first] = 1
+            common += part @ part.T
+        linked = common * (100 + percent) >= percent * (n[:, None] + n[None, :])
+        np.fill_diagonal(linked, False)
+        if lo != hi:
+            linked &= own[:, None] != own[None, :]
+        return pa.table({"dig": pa.array(dig), "partners": pa.array((linked * copies[None, :]).sum(1).astype(np.int64))})
+    return (rows.groupBy("component", "lo", "hi").applyInArrow(run, "dig long, partners long")
+            .groupBy("dig").agg(F.sum("partners").alias("partners")))
+
+
 def jaccard_join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, n_links.
 
@@ -333,24 +405,32 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) ->
     compared by 64-bit shingle hashes. An empty table gives an empty result.
     """
     docs = with_defaults(docs, "doc_id", "text")
-    sets = materialize(_sets(docs, ngram, percent), "shingle-sets")
-    nodes = (sets.where("dig is not null").groupBy("dig")
-             .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    paths = sets.where("paths is not null").select(F.explode("paths").alias("path"), "dig")
-    shared = materialize(_shared_paths(paths), "shared-paths")
-    wanted = nodes.join(shared.select("dig").distinct(), "dig", "left_semi").select("dig", "rep")
-    contents = materialize(_contents(docs, wanted, ngram), "shared-sets")
-    pairs = materialize(_candidates(shared, contents, percent), "jaccard-candidates")
-    links = materialize(_verify(pairs, contents, percent), "jaccard-links")
-    nodes = materialize(nodes, "jaccard-nodes")
-    both = links.union(links.select("b", "a"))
-    degree = (both.join(nodes.select(F.col("dig").alias("b"), "copies"), "b")
-              .groupBy(F.col("a").alias("dig")).agg(F.sum("copies").alias("partners")))
+    sets = materialize(_sets(docs, ngram), "shingle-sets")
+    nodes = materialize(
+        sets.where("dig is not null").groupBy("dig").agg(
+            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
+            F.max("cells").alias("cells")), "jaccard-nodes")
+    shared = materialize(_shared_paths(_paths(docs, ngram, percent)), "shared-paths")
+    rows = shared.join(nodes.select("dig", "n", "cells"), "dig")
+
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        pairs = materialize(pairs, f"jaccard-pairs-{label}")
+        wanted = nodes.join(pairs.select(F.col("a").alias("dig")).union(pairs.select("b")).distinct(),
+                            "dig", "left_semi").select("dig", "rep")
+        contents = materialize(_contents(docs, wanted, ngram), f"jaccard-sets-{label}")
+        return materialize(_verify(pairs, contents, percent), f"jaccard-links-{label}")
+
+    links = verified(_candidates(rows.withColumn("part", F.col("dig")), percent, True), "first")
+    labels = components(links)
+    parted = (rows.join(labels.withColumnRenamed("node", "dig"), "dig", "left")
+              .withColumn("part", F.coalesce("component", "dig")).drop("component"))
+    links = links.union(verified(_candidates(parted, percent, False), "rest"))
     labels = components(links)
-    lowest = (labels.join(nodes, labels.node == nodes.dig).groupBy("component")
-              .agg(F.min("rep").alias("lowest")))
-    linked = (labels.join(lowest, "component").select(F.col("node").alias("dig"), "lowest")
-              .join(degree, "dig"))
+    members = labels.withColumnRenamed("node", "dig").join(nodes, "dig")
+    contents = _contents(docs, members.select("dig", "rep"), ngram).select("dig", "items")
+    degree = _link_counts(members.select("component", "dig", "copies", "n").join(contents, "dig"), percent)
+    lowest = members.groupBy("component").agg(F.min("rep").alias("lowest"))
+    linked = members.select("dig", "component").join(lowest, "component").join(degree, "dig")
     known = nodes.join(linked, "dig", "left").select(
         "dig", F.coalesce("lowest", "rep").alias("component_id"),
         (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"))
