@@ -60,3 +60,15 @@ left join (select a as doc_id, count(*) as n from links group by 1) d using (doc
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.jaccard_join import jaccard_join
     return jaccard_join(documents(spark, sf_dir))
+
+
+@_query("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.bpe import encode_digests
+    return encode_digests(documents(spark, sf_dir))
+
+
+@_query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.token_counts import token_counts
+    return token_counts(documents(spark, sf_dir))
