@@ -72,3 +72,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.token_counts import token_counts
     return token_counts(documents(spark, sf_dir))
+
+
+@_query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.packing import pack
+    return pack(documents(spark, sf_dir))
