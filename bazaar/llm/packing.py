@@ -11,8 +11,6 @@ power-of-two lengths, which need no padding either.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 
 import numpy as np
@@ -21,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.bpe import Memo
 from bazaar.llm.common import with_defaults
+from bazaar.llm.word_bpe import loaded
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2                 # closes every document
@@ -31,80 +29,6 @@ SHARD_BYTES = 8 << 20   # text a shard holds on average
 QUERY_TERMS = 16        # a seed's most telling terms are its query
 K1, B = 1.2, 0.75
 
-# One piece to the tokenizer, whose lower case is Python's: Latin letters, perhaps a mark behind.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)")
-_ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python's split, a character to the tokenizer
-
-
-class ChunkEncoder:
-    """Ids of whole texts through a memo of their white-space separated chunks.
-
-    The vocabulary drops white space and no token spans it, so a text's ids are its chunks' ids.
-    """
-
-    def __init__(self, spec: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.many = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)   # ids that end a piece
-        for token, i in self.tokenizer.get_vocab().items():
-            self.closes[i] = token.endswith("</w>")
-        self.memo = Memo(self._learn_one)
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.many(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of plain words, encoded as one text and cut where a piece ends."""
-        ids = np.array(self.many([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words):
-            return self._ids(words)
-        raw = ids.tobytes()
-        at = (4 * ends).tolist()
-        return [raw[i:j] for i, j in zip([0, *at], at)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Adds new chunks to the memo; a plain word is encoded once for all its spellings."""
-        memo, old = self.memo, self.memo.old
-        plain, other = [], []
-        for c in chunks:
-            m = _PLAIN.fullmatch(c)
-            if m:
-                plain.append((c, m[1].lower(), m[2]))
-            else:
-                other.append(c)
-        for known, make in ((plain, self._words), (other, self._ids)):
-            new = list({x[1] if known is plain else x for x in known})
-            new = [w for w in new if w not in memo and w not in old]
-            for at in range(0, len(new), 1024):
-                part = new[at:at + 1024]
-                memo.update(zip(part, make(part)))
-        marks = {m for _, _, m in plain if m}
-        marks = {"": b""} | dict(zip(marks, self._ids(list(marks)) if marks else []))
-        for c, word, mark in plain:
-            memo[c] = (memo[word] if word in memo else old[word]) + marks[mark]
-
-    def _learn_one(self, chunk: str) -> bytes:
-        return self._ids([chunk])[0]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, with END."""
-        end = np.array([END], np.uint32).tobytes()
-        memo = self.memo
-        chunks = [[t] if _ODD_SPACE.search(t) else t.split() for t in texts]
-        fresh = [c for c in set().union(*chunks) if c not in memo and c not in memo.old]
-        self._learn(fresh)
-        out = [np.frombuffer(b"".join([*map(memo.__getitem__, cs), end]), np.uint32) for cs in chunks]
-        if len(memo) > memo.half:
-            memo.old = dict(memo)
-            memo.clear()
-        return out
-
-
 class Bm25:
     """Inverted index over a shard's documents (arrays of term ids)."""
 
@@ -211,8 +135,6 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int,
     return out
 
 
-_LOADED: dict[int, ChunkEncoder] = {}
-
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -235,16 +157,10 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW,
     docs = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
     def run(table: pa.Table) -> pa.Table:
-        key = hash(spec.value)
-        if key not in _LOADED:
-            _LOADED.clear()
-            _LOADED[key] = ChunkEncoder(spec.value)
         texts = table.column("text").to_pylist()
         ids = table.column("doc_id").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
-        tokens = []
-        for at in range(0, len(order), 256):
-            tokens += _LOADED[key].encode([texts[i] for i in order[at:at + 256]])
+        tokens = loaded(spec.value).encode([texts[i] for i in order], END)
         base = table.column("shard")[0].as_py() << 32
         rows = [(ids[order[i]], start, length, zlib.crc32(tokens[i][start:start + length].tobytes()),
                  len(tokens[i]), base + seq, offset)

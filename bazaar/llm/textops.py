@@ -70,6 +70,16 @@ class Words:
         return self.hashes[self.bounds[i]:self.bounds[i + 1]]
 
 
+def span_hashes(codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the spans ``codes[s[i]:e[i]]`` of a sequence of 64-bit codes."""
+    n = len(codes)
+    up, down = _POWERS.get(n + 1)
+    sums = np.empty(n + 1, U64)
+    sums[0] = 0
+    np.cumsum(codes * up[:n], out=sums[1:])
+    return mix((sums[e] - sums[s]) * down[s] + (e - s).astype(U64) * U64(0xA0761D6478BD642F))
+
+
 def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts ``data[offsets[i]:offsets[i+1]]`` and
     the word index at which each text begins."""
@@ -86,12 +96,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     stop = inside.copy()                  # last byte of a word
     stop[:-1] &= ~inside[1:] | cut[1:n]
     s, e = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    up, down = _POWERS.get(n + 1)
-    sums = np.empty(n + 1, U64)
-    sums[0] = 0
-    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-    h = (sums[e] - sums[s]) * down[s]
-    return mix(h + (e - s).astype(U64) * U64(0xA0761D6478BD642F)), np.searchsorted(s, offsets)
+    return span_hashes(_BYTE[data], s, e), np.searchsorted(s, offsets)
 
 
 def hash_text(text: str) -> np.ndarray:
