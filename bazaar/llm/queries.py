@@ -78,3 +78,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.packing import pack
     return pack(documents(spark, sf_dir))
+
+
+@_query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.language_id import language_id
+    return language_id(documents(spark, sf_dir))
