@@ -150,8 +150,8 @@ def build(counts: dict[str, np.ndarray], classes: list, order: int, shared: int
           discount: float = 0.75) -> Model:
     """The model of aggregated counts (columns class, k, gram, context, shorter, n).
 
-    ``class`` holds positions in ``classes``. Orders up to ``shared`` are pooled over the
-    classes: rare n-grams are then smoothed through counts that all classes share.
+    ``class`` holds positions in ``classes``. Orders up to ``shared`` use counts pooled over
+    the classes: what a class has rarely seen is then smoothed alike in all.
     """
     m = len(classes)
     cls, k_of, n_of = counts["class"], counts["k"], counts["n"].astype(np.float64)
@@ -163,34 +163,26 @@ def build(counts: dict[str, np.ndarray], classes: list, order: int, shared: int
         keys, first, inverse = np.unique(gram[here], return_index=True, return_inverse=True)
         # the highest order uses counts, lower ones the number of distinct longer n-grams
         # (the n-grams at a word's start have no longer form and keep their counts)
-        raw = np.zeros((len(keys), m))
-        raw[inverse, cls[here]] = n_of[here]
-        c = raw
+        c = np.zeros((len(keys), m))
+        c[inverse, cls[here]] = n_of[here]
         if k < order and (k_of == k + 1).any():
             longer = k_of == k + 1
-            spot = np.searchsorted(keys, shorter[longer])
             kinds = np.zeros((len(keys), m))
-            np.add.at(kinds, (spot, cls[longer]), 1)
-            c = np.where(kinds > 0, kinds, raw)
+            np.add.at(kinds, (np.searchsorted(keys, shorter[longer]), cls[longer]), 1)
+            c = np.where(kinds > 0, kinds, c)
         if k <= shared:
             c = np.repeat(c.sum(1, keepdims=True), m, 1)
-        ctx = context[here][first]
-        tables, at = np.unique(ctx, return_inverse=True)
-        total, types = np.zeros((len(tables), m)), np.zeros((len(tables), m))
+        tables, at = np.unique(context[here][first], return_inverse=True)
+        total, taken = np.zeros((2, len(tables), m))
         np.add.at(total, at, c)
-        np.add.at(types, at, (c > 0).astype(float))
-        used = np.minimum(c, discount)
-        taken = np.zeros((len(tables), m))
-        np.add.at(taken, at, used)
+        np.add.at(taken, at, np.minimum(c, discount))
         # a class that has never seen the context leaves everything to the lower order
         backoff = np.where(total > 0, taken / np.maximum(total, 1e-300), 1.0)
-        if k == 1:
-            lower = np.full((len(keys), m), UNSEEN)
-        else:
-            table, logp = grams[-1]
-            row = table.find(shorter[here][first])
-            lower = np.where((row >= 0)[:, None], 10 ** logp[np.maximum(row, 0)], UNSEEN)
-        p = (c - used) / np.maximum(total[at], 1e-300) + backoff[at] * lower
+        lower = np.full((len(keys), m), UNSEEN)
+        if k > 1:
+            row = grams[-1][0].find(shorter[here][first])
+            lower[row >= 0] = 10.0 ** grams[-1][1][row[row >= 0]].astype(np.float64)
+        p = (c - np.minimum(c, discount)) / np.maximum(total[at], 1e-300) + backoff[at] * lower
         grams.append((HashTable(keys), np.log10(p).astype(np.float32)))
         contexts.append((HashTable(tables), np.log10(np.maximum(backoff, 1e-12)).astype(np.float32)) if k > 1 else None)
     return Model(list(classes), order, base, grams, contexts)

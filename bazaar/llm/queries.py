@@ -84,3 +84,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.language_id import language_id
     return language_id(documents(spark, sf_dir))
+
+
+@_query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.toxicity import toxicity
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
