@@ -90,3 +90,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.toxicity import toxicity
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@_query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.license_scan import license_scan
+    return license_scan(documents(spark, sf_dir))
