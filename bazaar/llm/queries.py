@@ -96,3 +96,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.license_scan import license_scan
     return license_scan(documents(spark, sf_dir))
+
+
+@_query("op10_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.fingerprints import fingerprints
+    return fingerprints(documents(spark, sf_dir))
