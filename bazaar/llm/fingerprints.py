@@ -1,12 +1,13 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs (lines, cut further at sentence ends) are hashed; the sketch adds
-each distinct digest to three cells (count, xor of digests, xor of check hashes).
-Two versions' cells subtract to the sketch of their differing digests, and
-peeling recovers these from cells that hold one. Where the small sketch cannot
-hold the difference, the pair is sketched again: digests are dealt by hash to as
-many sub-sketches as the sizes call for, and a part that still fails is tried with
-twice the cells, again and again. Only DataFrame expressions are used.
+A text's paragraphs (lines, cut further at some sentence ends) are hashed; the sketch adds
+each distinct digest to three cells. A cell is the XOR of its digests, and a
+digest carries 24 check bits, which tell a cell that holds one digest from any other. Two
+versions' cells subtract (XOR) to the sketch of their differing digests, and peeling
+recovers these. Where the small sketch cannot hold the difference, the pair is
+sketched again: digests are dealt by hash to as many sub-sketches as the sizes call
+for, and a part that still fails is tried with twice the cells, again and again. Only
+DataFrame expressions are used.
 """
 
 from __future__ import annotations
@@ -16,10 +17,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PARAGRAPH = r"\n+|(?<=[.!?]) "
+# a line end, or a sentence end before a capital of the alphabet's first letters: a cut
+# depends on the text around it alone, so it stays where it is when other parts change
+_PARAGRAPH = r"\n+|(?<=[.!?]) (?=[A-F])"
+_CHECK = 0xFFFFFF       # check bits of a digest
 _WIDTH = 8              # cells per hash function of a sketch, a power of two
 _LOAD = 4               # digests of the larger version per sub-sketch, at most
-_ROUNDS = 12            # peeling rounds; a sketch that needs more counts as failed
+_ROUNDS = 8             # peeling rounds; a sketch that needs more counts as failed
 _RETRIES = 4            # doublings of a failed part before its sets are compared directly
 _BUCKET = 2000          # documents per bucket of the order, about
 _MOST_BUCKETS = 10_000
@@ -30,96 +34,81 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def digests(text: Column) -> Column:
-    """Distinct 64-bit digests of a text's paragraphs; none for an empty text."""
-    parts = F.filter(F.split(text, _PARAGRAPH), lambda p: p != "")
-    return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
+def _shift(k: Column, by: int | Column) -> Column:
+    return F.call_function("shiftrightunsigned", k, F.lit(by) if isinstance(by, int) else by)
+
 
+def _checked(k: Column) -> Column:
+    """The check bits of a digest's upper 40 bits."""
+    return F.xxhash64(_shift(k, 24)).bitwiseAND(F.lit(_CHECK))
 
-def _check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit(0x5EED))
+
+def digests(text: Column) -> Column:
+    """Distinct digests of a text's paragraphs (40 hash bits, 24 check bits); none for an empty text."""
+    def digest(p: Column) -> Column:
+        return _let(F.xxhash64(p), lambda d: d.bitwiseAND(F.lit(~_CHECK)).bitwiseOR(_checked(d)))
+    return F.array_distinct(F.transform(F.filter(F.split(text, _PARAGRAPH), lambda p: p != ""), digest))
 
 
 def _items(keys: Column, width: int, seed: int) -> Column:
-    """Each digest with its check hash and its three cells."""
+    """Each digest with its cell in each third of a sketch."""
     def item(k: Column) -> Column:
-        h = F.xxhash64(k, F.lit(seed))
-        cell = lambda shift, i: (F.shiftright(h, shift).bitwiseAND(F.lit(width - 1)) + i * width).cast("int")
-        return F.struct(k.alias("k"), _check(k).alias("h"), cell(0, 0).alias("a"), cell(20, 1).alias("b"), cell(40, 2).alias("e"))
+        cell = lambda h, by: _shift(h, by).bitwiseAND(F.lit(width - 1)).cast("int")
+        return _let(F.xxhash64(k, F.lit(seed)), lambda h: F.struct(
+            k.alias("k"), cell(h, 0).alias("a"), cell(h, 20).alias("b"), cell(h, 40).alias("c")))
     return F.transform(keys, item)
 
 
-def _cell(c: Column, k: Column, h: Column) -> Column:
-    return F.struct(c.cast("int").alias("c"), k.alias("k"), h.alias("h"))
-
+def _added(cells: Column, items: Column, field: str) -> Column:
+    """A third of a sketch with the items' digests added (or taken out: XOR is both)."""
+    return F.transform(cells, lambda cell, j: F.aggregate(
+        items, cell, lambda acc, x: F.when(x[field] == j, acc.bitwiseXOR(x["k"])).otherwise(acc)))
 
-def _zero() -> Column:
-    return _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
 
-
-def _cells(items: Column, width: int) -> Column:
-    """The sketch: cells of the first hash function, then of the second, then of the third."""
-    def third(i: int, field: str) -> Column:
-        def cell(j: Column) -> Column:
-            return F.aggregate(items, _zero(), lambda acc, x: F.when(
-                x[field] == j, _cell(acc["c"] + 1, acc["k"].bitwiseXOR(x["k"]), acc["h"].bitwiseXOR(x["h"]))).otherwise(acc))
-        return F.transform(F.sequence(F.lit(i * width), F.lit(i * width + width - 1)), cell)
-    return F.concat(third(0, "a"), third(1, "b"), third(2, "e"))
+def _thirds(a: Column, b: Column, c: Column) -> Column:
+    return F.struct(a.alias("a"), b.alias("b"), c.alias("c"))
 
 
 def sketch(keys: Column, width: int = _WIDTH, seed: int = 1) -> Column:
-    return _let(_items(keys, width, seed), lambda items: _cells(items, width))
+    """The cells, by hash function: struct<a, b, c: array<bigint>>."""
+    zero = F.array(*[F.lit(0).cast("long")] * width)
+    return _let(_items(keys, width, seed), lambda items: _thirds(*[_added(zero, items, f) for f in "abc"]))
 
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(
-        x["c"] - y["c"], x["k"].bitwiseXOR(y["k"]), x["h"].bitwiseXOR(y["h"])))
+def subtract(x: Column, y: Column) -> Column:
+    return _thirds(*[F.zip_with(x[f], y[f], lambda p, q: p.bitwiseXOR(q)) for f in "abc"])
 
 
 def peel(cells: Column, width: int = _WIDTH, seed: int = 1) -> Column:
     """Number of digests in a difference sketch, or NULL when it cannot be decoded.
 
-    A round takes all pure cells (one digest, confirmed by its check hash) and removes
-    their digests from all cells at once.
+    A round takes all cells with a single digest and removes these digests from all cells at once.
     """
-    def pure(cells: Column) -> Column:
-        alone = F.filter(cells, lambda c: (F.abs(c["c"]) == 1) & (_check(c["k"]) == c["h"]))
-        keys = F.array_distinct(F.transform(alone, lambda c: F.struct(c["c"].alias("s"), c["k"].alias("k"))))
-
-        def item(x: Column) -> Column:
-            h = F.xxhash64(x["k"], F.lit(seed))
-            cell = lambda shift, i: (F.shiftright(h, shift).bitwiseAND(F.lit(width - 1)) + i * width).cast("int")
-            return F.struct(x["s"].alias("s"), x["k"].alias("k"), _check(x["k"]).alias("h"),
-                            cell(0, 0).alias("a"), cell(20, 1).alias("b"), cell(40, 2).alias("e"))
-        return F.transform(keys, item)
+    def single(cells: Column) -> Column:
+        alone = F.filter(F.concat(cells["a"], cells["b"], cells["c"]),
+                         lambda v: (v != 0) & (v.bitwiseAND(F.lit(_CHECK)) == _checked(v)))
+        return _items(F.array_distinct(alone), width, seed)
 
-    def without(cells: Column, found: Column) -> Column:
-        return F.transform(cells, lambda c, j: F.aggregate(found, c, lambda acc, x: F.when(
-            (x["a"] == j) | (x["b"] == j) | (x["e"] == j),
-            _cell(acc["c"] - x["s"], acc["k"].bitwiseXOR(x["k"]), acc["h"].bitwiseXOR(x["h"]))).otherwise(acc)))
-
-    def state(cells: Column, n: Column, more: Column) -> Column:
-        return F.struct(cells.alias("cells"), n.cast("int").alias("n"), more.alias("more"))
+    def state(cells: Column, n: Column, more: bool) -> Column:
+        return F.struct(cells.alias("cells"), n.cast("int").alias("n"), F.lit(more).alias("more"))
 
     def step(acc: Column, _: Column) -> Column:
-        going = _let(pure(acc["cells"]), lambda found: F.when(
-            F.size(found) > 0, state(without(acc["cells"], found), acc["n"] + F.size(found), F.lit(True)))
-            .otherwise(state(acc["cells"], acc["n"], F.lit(False))))
-        return F.when(acc["more"], going).otherwise(acc)
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), state(cells, F.lit(0), F.lit(True)), step)
-    return _let(done, lambda d: F.when(F.forall(d["cells"], lambda c: (c["c"] == 0) & (c["k"] == 0)), d["n"]))
-
+        cells = acc["cells"]
+        return F.when(acc["more"], _let(single(cells), lambda found: F.when(
+            F.size(found) > 0, state(_thirds(*[_added(cells[f], found, f) for f in "abc"]), acc["n"] + F.size(found), True))
+            .otherwise(state(cells, acc["n"], False)))).otherwise(acc)
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), state(cells, F.lit(0), True), step)
+    return _let(done, lambda d: F.when(F.forall(d["cells"]["a"], lambda v: v == 0), d["n"]))
 
-def _parts(keys: Column, bits: Column) -> Column:
-    """Digests dealt to 2^bits parts by their low bits, in two levels (n * 2^(bits/2) steps)."""
-    high = F.floor(bits / 2).cast("int")
-    low = bits - high
-    count = lambda b: F.expr("1L") * F.pow(F.lit(2.0), b).cast("long")
 
-    def split(keys: Column, shift: Column, size: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0).cast("long"), size - 1), lambda p: F.filter(
-            keys, lambda k: F.call_function("shiftrightunsigned", k, shift).bitwiseAND(size - 1) == p))
-    return F.flatten(F.transform(split(keys, low, count(high)), lambda group: split(group, F.lit(0), count(low))))
+def _parts(keys: str, high: str, low_bits: str, low: str) -> Column:
+    """Digests dealt to high * low parts by their hash bits, in two levels
+    (so n digests take n * (high + low) steps)."""
+    bits = lambda k, by, size, p: _shift(k, by).bitwiseAND(F.col(size) - 1) == p
+    groups = F.transform(F.sequence(F.lit(0).cast("long"), F.col(high) - 1), lambda p: F.filter(
+        keys, lambda k: bits(k, F.col(low_bits), high, p)))
+    return F.flatten(F.transform(groups, lambda group: F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col(low) - 1), lambda p: F.filter(group, lambda k: bits(k, 24, low, p)))))
 
 
 def _attempt(width: int, seed: int):
@@ -136,14 +125,17 @@ def difference(rows: DataFrame, a: str, b: str, cells_a: str, cells_b: str, out:
 
     The small sketches ``cells_a`` and ``cells_b`` are tried first, then parts, then larger parts.
     """
-    keep = [c for c in rows.columns]
-    rows = rows.withColumn("_first", peel(subtract(F.col(cells_a), F.col(cells_b))))
+    keep = list(rows.columns)
     larger = F.greatest(F.size(a), F.size(b), F.lit(1))
-    bits = F.greatest(F.ceil(F.log2(larger / F.lit(float(_LOAD)))), F.lit(0)).cast("int")
-    pairs = F.when(F.col("_first").isNull(), F.zip_with(
-        _parts(F.col(a), bits), _parts(F.col(b), bits),
-        lambda x, y: F.struct(x.alias("x"), y.alias("y"), F.lit(None).cast("int").alias("n"))))
-    rows = rows.withColumn("_parts", pairs)
+    bits = F.least(F.greatest(F.ceil(F.log2(larger / F.lit(float(_LOAD)))), F.lit(0)), F.lit(24)).cast("int")
+    rows = rows.select("*", peel(subtract(F.col(cells_a), F.col(cells_b))).alias("_first"), bits.alias("_bits"))
+    power = lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b)
+    half = F.floor(F.col("_bits") / 2).cast("int")
+    rows = rows.select("*", power(half).alias("_high"), (F.lit(24) + F.col("_bits") - half).alias("_low_bits"),
+                       power(F.col("_bits") - half).alias("_low"))
+    rows = rows.withColumn("_parts", F.when(F.col("_first").isNull(), F.zip_with(
+        _parts(a, "_high", "_low_bits", "_low"), _parts(b, "_high", "_low_bits", "_low"),
+        lambda x, y: F.struct(x.alias("x"), y.alias("y"), F.lit(None).cast("int").alias("n")))))
     for attempt in range(_RETRIES):
         rows = rows.withColumn("_parts", F.transform("_parts", _attempt(_WIDTH << attempt, 2 + attempt)))
     total = F.aggregate("_parts", F.lit(0), lambda acc, p: acc + F.coalesce(
@@ -157,9 +149,9 @@ def likeness(n_a: Column, n_b: Column, differ: Column) -> Column:
 
 
 def serialised(n: Column, cells: Column) -> Column:
-    return F.concat(F.hex(n), F.lit(":"), F.array_join(F.transform(cells, lambda c: F.concat(
-        F.hex(c["c"].cast("long")), F.lit("."), F.hex(c["k"]), F.lit("."),
-        F.hex(c["h"].bitwiseAND(F.lit(0xFFFFFFFF))))), ","))
+    """The number of paragraphs and the cells, in hexadecimal."""
+    return F.concat(F.hex(n), F.lit(":"), F.array_join(
+        F.transform(F.concat(cells["a"], cells["b"], cells["c"]), lambda v: F.hex(v)), "."))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
