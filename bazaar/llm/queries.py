@@ -102,3 +102,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.fingerprints import fingerprints
     return fingerprints(documents(spark, sf_dir))
+
+
+@_query("op7_hpy_model")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.hpy_model import score_corpus
+    return score_corpus(documents(spark, sf_dir))
