@@ -108,3 +108,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.hpy_model import score_corpus
     return score_corpus(documents(spark, sf_dir))
+
+
+HAMMING_SQL = """
+with codes as (
+  select vec_id, list_transform(embedding, lambda x: x > 0) as b from embeddings),
+pairs as (
+  select q.vec_id as query_id, c.vec_id as neighbor_id,
+    len(list_filter(list_zip(q.b, c.b), lambda p: p[1] <> p[2]))::int as distance
+  from codes q, codes c where q.vec_id % 50 = 0),
+ranked as (
+  select *, row_number() over (partition by query_id order by distance, neighbor_id)::int as rank from pairs)
+select query_id, rank, neighbor_id, distance from ranked where rank <= 10
+"""
+
+
+@_query("op4_hamming_search", HAMMING_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.hamming_search import embedding_top_k
+    return embedding_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
