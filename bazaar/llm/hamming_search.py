@@ -94,7 +94,8 @@ def top_k(rows: DataFrame, queries: DataFrame, bits: int, k: int = K) -> DataFra
         own = F.array(*[_value(F.col("q"), p) for p in parts])
         probes = (open_.select("q", own.alias("own"), F.inline(_probes(parts, radius)))
                   .select("q", "seg", F.get("own", F.col("seg")).bitwiseXOR(F.col("mask")).alias("value")))
-        found = (probes.join(index, ["seg", "value"])
+        # the optimiser does not see how many rows the probes become: keep it from broadcasting them
+        found = (probes.hint("merge").join(index, ["seg", "value"])
                  .where(_first_hit(F.col("q"), F.col("code"), F.col("seg"), parts, radius)))
         distance = sum((F.bit_count(F.col("q")[w].bitwiseXOR(F.col("code")[w])) for w in range(-(-bits // 64))), F.lit(0))
         new = found.select("q", distance.cast("int").alias("distance"), F.explode("ids").alias("id"))
