@@ -32,43 +32,53 @@ from bazaar.llm.common import map_arrow, materialize, with_defaults
 from bazaar.llm.textops import U64, mix, word_chunks
 
 CLASSES = 16            # hash classes of the previous word; class CLASSES is the document start
-SWEEPS = 4              # Gibbs sweeps; the first BURN_IN are not averaged
+SWEEPS = 3              # Gibbs sweeps; the first BURN_IN are not averaged
 BURN_IN = 1
 INNER = 2               # passes between a word's contexts and its root seating in a sweep
-BLOCK_BYTES = 16 << 20  # text per block, about (one longer text is a block of its own)
+BLOCK_BYTES = 32 << 20  # text per block, about (one longer text is a block of its own)
 STRENGTH = 1.0          # strength of every restaurant
-END = U64(0x9D39247E33776D41)
+_LOW = 5                # low bits of a word hash that are left free for a class
+END = U64(0x9D39247E33776D41) >> U64(_LOW) << U64(_LOW)
 
-_BLOCK_SCHEMA = "block long, docs binary, held binary, bounds binary, tokens binary, vocab binary"
+_BLOCK_SCHEMA = "block long, docs binary, held binary, bounds binary, tokens binary, classes binary, vocab binary"
 
 
 def context_class(words: np.ndarray) -> np.ndarray:
-    return ((words >> U64(40)) % U64(CLASSES)).astype(np.int64)
+    return ((words >> U64(40)) % U64(CLASSES)).astype(np.uint8)
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return pa.compress(a.tobytes(), "zstd", asbytes=True)
+    """Unsigned 32-bit integers by byte planes, compressed."""
+    planes = a.astype(np.uint32).view(np.uint8).reshape(-1, 4).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
 
 
-def _unpack(raw: bytes, dtype, count: int) -> np.ndarray:
-    size = count * np.dtype(dtype).itemsize
-    return np.frombuffer(pa.decompress(raw, size, "zstd", asbytes=True), dtype) if count else np.empty(0, dtype)
+def _unpack(raw: bytes, count: int) -> np.ndarray:
+    if not count:
+        return np.empty(0, np.int64)
+    planes = np.frombuffer(pa.decompress(raw, 4 * count, "zstd", asbytes=True), np.uint8).reshape(4, count)
+    return np.ascontiguousarray(planes.T).view(np.uint32)[:, 0].astype(np.int64)
 
 
 def encode_blocks(docs: DataFrame, modulus: int, held: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of documents: ids, held-out marks, token bounds, tokens as positions in
-    the block's sorted distinct word hashes, and these. The end token closes each document."""
+    """Blocks of documents: ids, held-out marks, token bounds, tokens as positions in the block's
+    distinct words (frequent ones first), these words' context classes and hashes. The end
+    token closes each document."""
     def run(batches):
         ids, marks, tokens, sizes, volume = [], [], [], [], 0
 
         def flush():
-            vocab, at = np.unique(np.concatenate(tokens), return_inverse=True)
+            vocab, at, n = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            vocab, at = vocab[order], place[at]
             bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
             known = [i if i is not None else 0 for i in ids]
             null = np.array([i is None for i in ids])
             docs_raw = np.concatenate([np.array(known, np.int64), null.astype(np.int64)])
             row = (uuid.uuid4().int & (2**63 - 1), docs_raw.tobytes(), np.array(marks, np.uint8).tobytes(),
-                   bounds.tobytes(), _pack(at.astype(np.uint32)), vocab.tobytes())
+                   bounds.tobytes(), _pack(at), context_class(vocab).tobytes(), vocab.tobytes())
             names = [c.split()[0] for c in _BLOCK_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(row)], names)
@@ -79,7 +89,7 @@ def encode_blocks(docs: DataFrame, modulus: int, held: int, block_bytes: int = B
                 out = np.full(len(words.hashes) + len(n), END)
                 keep = np.ones(len(out), bool)
                 keep[words.bounds[1:] + np.arange(len(n))] = False
-                out[keep] = words.hashes
+                out[keep] = words.hashes >> U64(_LOW) << U64(_LOW)
                 here = column[words.first:words.first + len(n)]
                 ids += here
                 marks += [zlib.crc32(b"" if i is None else str(i).encode()) % modulus == held for i in here]
@@ -101,19 +111,19 @@ class Block:
     held: np.ndarray
     bounds: np.ndarray
     tokens: np.ndarray
-    vocab: np.ndarray
+    words: int              # distinct words
     context: np.ndarray     # context class of each token
 
     @staticmethod
     def read(row: dict) -> Block:
         docs = np.frombuffer(row["docs"], np.int64).reshape(2, -1)
         bounds = np.frombuffer(row["bounds"], np.int64)
-        tokens = _unpack(row["tokens"], np.uint32, int(bounds[-1])).astype(np.int64)
-        vocab = np.frombuffer(row["vocab"], U64)
+        tokens = _unpack(row["tokens"], int(bounds[-1]))
+        classes = np.frombuffer(row["classes"], np.uint8)
         context = np.empty(len(tokens), np.int64)
-        context[1:] = context_class(vocab)[tokens[:-1]]
+        context[1:] = classes[tokens[:-1]]
         context[bounds[:-1]] = CLASSES
-        return Block(docs[0], docs[1] > 0, np.frombuffer(row["held"], np.uint8) > 0, bounds, tokens, vocab, context)
+        return Block(docs[0], docs[1] > 0, np.frombuffer(row["held"], np.uint8) > 0, bounds, tokens, len(classes), context)
 
 
 def count_words(blocks: DataFrame) -> DataFrame:
@@ -123,12 +133,17 @@ def count_words(blocks: DataFrame) -> DataFrame:
             b = Block.read(row)
             train = np.repeat(~b.held, np.diff(b.bounds))
             key, n = np.unique(b.tokens[train] * (CLASSES + 1) + b.context[train], return_counts=True)
-            if len(key):
+            vocab = np.frombuffer(row["vocab"], np.int64)
+            for i in range(0, len(key), 1 << 16):
+                part = key[i:i + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.vocab[key // (CLASSES + 1)].view(np.int64)), pa.array((key % (CLASSES + 1)).astype(np.int32)),
-                     pa.array(n.astype(np.int64))], ["word", "cls", "n"])
-    counts = map_arrow(blocks, run, "word long, cls int, n long").groupBy("word", "cls").agg(F.sum("n").alias("n"))
-    return (counts.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("cls", "n"))).alias("e"))
+                    [pa.array(vocab[part // (CLASSES + 1)] | part % (CLASSES + 1)), pa.array(n[i:i + (1 << 16)].astype(np.int64))],
+                    ["key", "n"])
+    low = F.lit((1 << _LOW) - 1).cast("long")
+    counts = map_arrow(blocks, run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return (counts.select((F.col("key") - F.col("key").bitwiseAND(low)).alias("word"),
+                          F.col("key").bitwiseAND(low).cast("int").alias("cls"), "n")
+            .groupBy("word").agg(F.sort_array(F.collect_list(F.struct("cls", "n"))).alias("e"))
             .select("word", F.col("e.cls").alias("cls"), F.col("e.n").alias("n")))
 
 
@@ -285,6 +300,26 @@ def _block_words(blocks: DataFrame) -> DataFrame:
     return map_arrow(blocks.select("block", "vocab"), run, "block long, at int, word long")
 
 
+def _packed(words: DataFrame) -> DataFrame:
+    """(block, at, c, ends, payload): the rows of each block in a batch, packed into one."""
+    def run(batch):
+        block = batch.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        batch, block = batch.take(pa.array(order)), block[order]
+        first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        at = batch.column("at").to_numpy().astype(np.uint32)
+        c = batch.column("c").to_numpy()
+        payload = batch.column("payload").to_pylist()
+        size = np.array([len(p) for p in payload], np.uint16)
+        out = []
+        for i, j in zip(first, np.r_[first[1:], len(block)]):
+            out.append((int(block[i]), at[i:j].tobytes(), c[i:j].tobytes(), size[i:j].tobytes(), b"".join(payload[i:j])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v, pa.int64() if k == 0 else pa.binary()) for k, v in enumerate(zip(*out))],
+            ["block", "at", "c", "size", "payload"])
+    return map_arrow(words, run, "block long, at binary, c binary, size binary, payload binary")
+
+
 _SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                  "base_score double, score double")
 
@@ -297,16 +332,16 @@ def _score_blocks(blocks: DataFrame, words: DataFrame, kept: list, s: Settings)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         b = Block.read(left.to_pylist()[0])
-        size = len(b.vocab)
+        size = b.words
         root = np.tile(unseen, (size, 1))
         count = np.zeros(size, np.int64)
         keys, values = [], []
         if right.num_rows:
-            at = right.column("at").to_numpy()
-            count[at] = right.column("c").to_numpy()
-            raw = right.column("payload").combine_chunks().cast(pa.large_binary())
-            off = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
-            data = np.frombuffer(raw.buffers()[2], np.uint8)
+            joined = lambda c, t: np.frombuffer(b"".join(right.column(c).to_pylist()), t)
+            at = joined("at", np.uint32).astype(np.int64)
+            count[at] = joined("c", np.int64)
+            data = joined("payload", np.uint8)
+            off = np.concatenate([[0], np.cumsum(joined("size", np.uint16).astype(np.int64))])
             m = (np.diff(off) - 4 * sweeps) // 5
             root[at] = data[(off[:-1, None] + np.arange(4 * sweeps))].copy().view(np.float32)
             owner = np.repeat(np.arange(len(at)), m)
@@ -314,7 +349,7 @@ def _score_blocks(blocks: DataFrame, words: DataFrame, kept: list, s: Settings)
             kind = data[off[owner] + 4 * sweeps + rank].astype(np.int64)
             start = off[owner] + 4 * sweeps + m[owner] + 4 * rank
             values = data[start[:, None] + np.arange(4)].copy().view(np.float32)[:, 0].astype(np.float64)
-            keys = at[owner].astype(np.int64) * (CLASSES + 1) + kind
+            keys = at[owner] * (CLASSES + 1) + kind
             order = np.argsort(keys)
             keys, values = keys[order], values[order]
         pair, where = np.unique(b.tokens * (CLASSES + 1) + b.context, return_inverse=True)
@@ -333,7 +368,7 @@ def _score_blocks(blocks: DataFrame, words: DataFrame, kept: list, s: Settings)
             "n_tokens": pa.array(np.diff(b.bounds)), "n_known": pa.array(known),
             "train_tokens": pa.array(np.full(len(begin), s.tokens, np.int64)),
             "base_score": pa.array(base), "score": pa.array(score)})
-    return blocks.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(run, _SCORE_SCHEMA)
+    return blocks.drop("vocab").groupBy("block").cogroup(words.groupBy("block")).applyInArrow(run, _SCORE_SCHEMA)
 
 
 def score_corpus(docs: DataFrame, modulus: int = 7, held: int = 2, sweeps: int = SWEEPS,
@@ -343,7 +378,7 @@ def score_corpus(docs: DataFrame, modulus: int = 7, held: int = 2, sweeps: int =
     Learns from all documents whose crc32(doc_id as text) mod ``modulus`` is not ``held``. Tokens
     are the words (A-Z lower-cased) and one end token. base_score is the add-one unigram's
     log10 probability, score the model's; both treat all unseen words as one type.
-    Perplexity is 10 ** (-score / n_tokens). Words are compared by 64-bit hashes.
+    Perplexity is 10 ** (-score / n_tokens). Words are compared by 59-bit hashes.
 
     NULL and empty texts are the end token alone. Repeated rows are learned and scored each; other
     columns are ignored. Without a training document every word is unseen.
@@ -360,4 +395,4 @@ def score_corpus(docs: DataFrame, modulus: int = 7, held: int = 2, sweeps: int =
         past = now
     words = (_block_words(blocks).join(predictive(vocab, kept, s), "word")
              .select("block", "at", "c", "payload"))
-    return _score_blocks(blocks, words, kept, s)
+    return _score_blocks(blocks, _packed(words), kept, s)
