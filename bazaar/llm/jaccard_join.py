@@ -440,3 +440,21 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) ->
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
         F.lit(0).cast("long").alias("n_links"))
     return filled.union(bare)
+
+
+def one_of_each(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with only the smallest id of every group of linked documents.
+
+    Rows with a NULL id are no group's smallest and stay. Equal rows (id and text) are one.
+    """
+    out = materialize(jaccard_join(docs, ngram, percent), "jaccard-groups")
+    known = out.where("doc_id is not null")
+    gone = known.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    repeated = known.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not repeated.limit(1).count():
+        return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    rest = docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    single = rest.join(repeated, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    more = (rest.join(repeated, "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns])
+            .dropDuplicates(["doc_id", "text"]))
+    return single.union(more)

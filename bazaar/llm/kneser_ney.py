@@ -220,3 +220,22 @@ class WordScores:
                 self.scores[at + i:at + i + len(part)] = self.model.word_scores(part)
             row.update(zip(fresh, range(at, at + len(fresh))))
         return [np.fromiter(map(row.__getitem__, t), np.int64, len(t)) for t in texts]
+
+
+def score_rows(docs: DataFrame, keep: list[str], result: str, types: tuple, make, rate, prefix: str = "") -> DataFrame:
+    """The ``keep`` columns of every row and the columns of ``result`` (DDL, names with ``prefix``):
+    ``rate(make(), texts)`` gives one tuple per text. ``make`` runs once per task."""
+    fields = [f.split() for f in result.split(", ")]
+    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+                       + [f"`{prefix}{n}` {t}" for n, t in fields])
+    names = [*keep, *[prefix + n for n, _ in fields]]
+
+    def run(batches):
+        state = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                cols = list(zip(*rate(state, part.column("text").to_pylist())))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in keep], *[pa.array(c, t) for c, t in zip(cols, types)]], names)
+    return docs.select(*[f"`{c}`" for c in dict.fromkeys([*keep, "text"])]).mapInArrow(run, schema)

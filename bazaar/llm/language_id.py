@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import fold, map_arrow, materialize
-from bazaar.llm.kneser_ney import Model, WordScores, build, collect_counts, count_ngrams, words_of
+from bazaar.llm.common import fold, materialize
+from bazaar.llm.kneser_ney import Model, WordScores, build, collect_counts, count_ngrams, score_rows, words_of
 
 ORDER = 5
 SAMPLE = 400            # documents per language for the counts, expected
@@ -58,47 +58,35 @@ def train(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE,
     if not len(counts["n"]):
         return None
     model = build(counts, langs, order)
-    held = score(picked.where(F.col("part") >= share).select(F.col("class").alias("doc_id"), "text"), model, math.inf)
+    held = score(picked.where(F.col("part") >= share), model, math.inf, [])
     worst = held.where(F.col("symbols") >= SHORT).agg(F.max("entropy")).first()[0]
     return model, MARGIN * worst if worst is not None else math.inf
 
 
-def has_letter(text: str | None) -> bool:
-    return bool(text) and any(c.isalpha() for c in text)
+RESULT = "lang_pred string, score double, entropy double, symbols long, accepted boolean"
 
 
-def score(docs: DataFrame, model: Model, bound: float) -> DataFrame:
-    """(doc_id, lang_pred, score, entropy, symbols, accepted) of whole texts."""
+def score(docs: DataFrame, model: Model, bound: float, keep: list[str], prefix: str = "") -> DataFrame:
+    """The ``keep`` columns of whole rows, and lang_pred, score, entropy, symbols and accepted
+    of their texts (named with ``prefix``)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    holder: dict = {}
-
-    def run(batch):
-        if "scores" not in holder:
-            holder["scores"] = WordScores(shared.value)
-        scores, langs = holder["scores"], shared.value.classes
-        ids, column = batch.column("doc_id"), batch.column("text")
-        for at in range(0, batch.num_rows, 256):
-            texts = column.slice(at, 256).to_pylist()
-            words = [words_of(t) for t in texts]
-            out = []
-            for text, ws, rows in zip(texts, words, scores.rows(words)):
-                if not ws:
-                    out.append((UNKNOWN, 0.0, None, 0, False))
-                    continue
-                n = sum(map(len, ws)) + len(ws)
-                entropy = -scores.scores[rows].sum(0, dtype=np.float64) / n
-                best = int(entropy.argmin())
-                # posterior of equal priors, tempered: evidence is capped at 40 symbols' worth
-                gap = (entropy - entropy[best]) * min(n, 40)
-                p = float(1 / (10.0 ** -gap).sum())
-                out.append((langs[best], p, float(entropy[best]), n, n < SHORT or bool(entropy[best] <= bound)))
-            cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, 256).cast(pa.int64()),
-                 *[pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()))]],
-                ["doc_id", "lang_pred", "score", "entropy", "symbols", "accepted"])
-    return map_arrow(docs.select("doc_id", "text"), run,
-                     "doc_id long, lang_pred string, score double, entropy double, symbols long, accepted boolean")
+    types = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
+
+    def rate(scores: WordScores, texts: list[str | None]) -> list[tuple]:
+        words, out, langs = [words_of(t) for t in texts], [], shared.value.classes
+        for ws, rows in zip(words, scores.rows(words)):
+            if not ws:
+                out.append((UNKNOWN, 0.0, None, 0, False))
+                continue
+            n = sum(map(len, ws)) + len(ws)
+            entropy = -scores.scores[rows].sum(0, dtype=np.float64) / n
+            best = int(entropy.argmin())
+            # posterior of equal priors; the evidence counts as that of 40 symbols at most
+            gap = (entropy - entropy[best]) * min(n, 40)
+            p = float(1 / (10.0 ** -gap).sum())
+            out.append((langs[best], p, float(entropy[best]), n, n < SHORT or bool(entropy[best] <= bound)))
+        return out
+    return score_rows(docs, keep, RESULT, types, lambda: WordScores(shared.value), rate, prefix)
 
 
 def language_id(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE,
@@ -115,13 +103,27 @@ def language_id(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE,
     label every text is ``und``. Ties go to the first language by name. Repeated
     rows are scored each; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 4) == 2)
-    trained = train(docs.where(~F.col("held_out")), order, sample, calibration)
+    docs = docs.select("doc_id", "text", "lang")
+    trained = train_on(docs, order, sample, calibration)
     if trained is None:
         out = docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
                           F.lit(None).cast("double").alias("entropy"), F.lit(0).cast("long").alias("symbols"),
                           F.lit(False).alias("accepted"))
     else:
-        out = score(docs, *trained)
+        out = score(docs, *trained, ["doc_id"])
     return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score",
                       "accepted", "entropy", "symbols")
+
+
+def train_on(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, calibration: int = CALIBRATION):
+    """:func:`train` on the learning fold of a documents table."""
+    return train(docs.select("doc_id", "text", "lang").where(fold("doc_id", 4) != 2), order, sample, calibration)
+
+
+def accepted_rows(docs: DataFrame) -> DataFrame:
+    """The rows whose text has an accepted language, unchanged. Without any label nothing is known
+    about languages, and every row stays."""
+    trained = train_on(docs)
+    if trained is None:
+        return docs
+    return score(docs, *trained, docs.columns, "_lid_").where("_lid_accepted").select(*[f"`{c}`" for c in docs.columns])

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import fold, map_arrow, materialize
-from bazaar.llm.kneser_ney import Model, WordScores, build, collect_counts, count_ngrams, words_of
+from bazaar.llm.common import fold, materialize
+from bazaar.llm.kneser_ney import Model, WordScores, build, collect_counts, count_ngrams, score_rows, words_of
 from bazaar.llm.language_id import sampled
 
 ORDER = 5
@@ -56,30 +56,22 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     return w
 
 
-def features(docs: DataFrame, model: Model, weights: np.ndarray | None, keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` columns (long), margin and score of whole texts."""
+def features(docs: DataFrame, model: Model, weights: np.ndarray | None, keep: list[str], prefix: str = "") -> DataFrame:
+    """The ``keep`` columns of whole rows, and margin and score of their texts (named with ``prefix``)."""
     shared = docs.sparkSession.sparkContext.broadcast((model, weights))
-    holder: dict = {}
-
-    def run(batch):
-        model, weights = shared.value
-        if "scores" not in holder:
-            holder["scores"] = WordScores(model)
-        scores = holder["scores"]
-        column = batch.column("text")
-        for at in range(0, batch.num_rows, 256):
-            words = [words_of(t) for t in column.slice(at, 256).to_pylist()]
-            margin = np.zeros(len(words))
-            for i, rows in enumerate(scores.rows(words)):
-                if len(rows):
-                    s = scores.scores[rows].sum(0, dtype=np.float64)
-                    margin[i] = (s[1] - s[0]) / len(rows)
-            score = np.zeros(len(words)) if weights is None else 1 / (1 + np.exp(-np.clip(margin * weights[0] + weights[1], -700, 700)))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).slice(at, 256).cast(pa.int64()) for c in keep], pa.array(margin), pa.array(score)],
-                [*keep, "margin", "score"])
-    return map_arrow(docs.select(*keep, "text"), run,
-                     ", ".join(f"{c} long" for c in keep) + ", margin double, score double")
+
+    def rate(scores: WordScores, texts: list[str | None]) -> list[tuple]:
+        weights, out = shared.value[1], []
+        for rows in scores.rows([words_of(t) for t in texts]):
+            margin = 0.0
+            if len(rows):
+                s = scores.scores[rows].sum(0, dtype=np.float64)
+                margin = float((s[1] - s[0]) / len(rows))
+            x = 0.0 if weights is None else margin * weights[0] + weights[1]
+            out.append((margin, float(1 / (1 + np.exp(-np.clip(x, -700, 700))))))
+        return out
+    return score_rows(docs, keep, "margin double, score double", (pa.float64(), pa.float64()),
+                      lambda: WordScores(shared.value[0]), rate, prefix)
 
 
 def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, sample: int = SAMPLE):
@@ -92,7 +84,7 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, sample: int =
     if len(np.unique(counts["class"])) < 2:
         return None
     model = build(counts, [0, 1], order, SHARED)
-    held = features(picked.where(F.col("part") >= _COUNTS), model, None, ("class",)).toArrow()
+    held = features(picked.where(F.col("part") >= _COUNTS), model, None, ["class"]).toArrow()
     margin, y = held.column("margin").to_numpy(), held.column("class").to_numpy()
     if len(set(y.tolist())) < 2:       # too few rows to hold any back
         return model, np.array([40.0, -4.0])
@@ -118,6 +110,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, order: int = ORDER, sample: int
     if trained is None:
         out = docs.select("doc_id", F.lit(0.0).alias("margin"), F.lit(0.0).alias("score"))
     else:
-        out = features(docs, *trained, ("doc_id",))
+        out = features(docs, *trained, ["doc_id"])
     return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "margin")
+
+
+def ordinary_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows whose text is not predicted toxic, unchanged; all of them where nothing could be learned."""
+    trained = train(docs.select("doc_id", "text"), labels)
+    if trained is None:
+        return docs
+    return features(docs, *trained, docs.columns, "_tox_").where("_tox_score < 0.5").select(*[f"`{c}`" for c in docs.columns])
