@@ -55,9 +55,9 @@ def _pack(a: np.ndarray) -> bytes:
 
 def _unpack(raw: bytes, count: int) -> np.ndarray:
     if not count:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32)
     planes = np.frombuffer(pa.decompress(raw, 4 * count, "zstd", asbytes=True), np.uint8).reshape(4, count)
-    return np.ascontiguousarray(planes.T).view(np.uint32)[:, 0].astype(np.int64)
+    return np.ascontiguousarray(planes.T).view(np.int32)[:, 0]
 
 
 def encode_blocks(docs: DataFrame, modulus: int, held: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -120,7 +120,7 @@ class Block:
         bounds = np.frombuffer(row["bounds"], np.int64)
         tokens = _unpack(row["tokens"], int(bounds[-1]))
         classes = np.frombuffer(row["classes"], np.uint8)
-        context = np.empty(len(tokens), np.int64)
+        context = np.empty(len(tokens), np.int32)
         context[1:] = classes[tokens[:-1]]
         context[bounds[:-1]] = CLASSES
         return Block(docs[0], docs[1] > 0, np.frombuffer(row["held"], np.uint8) > 0, bounds, tokens, len(classes), context)
@@ -132,7 +132,9 @@ def count_words(blocks: DataFrame) -> DataFrame:
         for row in batch.to_pylist():
             b = Block.read(row)
             train = np.repeat(~b.held, np.diff(b.bounds))
-            key, n = np.unique(b.tokens[train] * (CLASSES + 1) + b.context[train], return_counts=True)
+            count = np.bincount(b.tokens[train] * (CLASSES + 1) + b.context[train])
+            key = np.flatnonzero(count)
+            n = count[key]
             vocab = np.frombuffer(row["vocab"], np.int64)
             for i in range(0, len(key), 1 << 16):
                 part = key[i:i + (1 << 16)]
@@ -352,7 +354,14 @@ def _score_blocks(blocks: DataFrame, words: DataFrame, kept: list, s: Settings)
             keys = at[owner] * (CLASSES + 1) + kind
             order = np.argsort(keys)
             keys, values = keys[order], values[order]
-        pair, where = np.unique(b.tokens * (CLASSES + 1) + b.context, return_inverse=True)
+        used = np.zeros(size * (CLASSES + 1), bool)         # (word, class) pairs of the block
+        where = b.tokens * (CLASSES + 1) + b.context
+        used[where] = True
+        pair = np.flatnonzero(used)
+        place = np.zeros(len(used), np.int32)
+        place[pair] = np.arange(len(pair), dtype=np.int32)
+        where = place[where]
+        del used, place
         word, cls = pair // (CLASSES + 1), pair % (CLASSES + 1)
         p = (root[word] * leave.T[cls]).mean(1)
         if len(keys):
