@@ -1,10 +1,11 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
 Codes are cut into m segments of about log2(n) bits, and every segment of every code is
-indexed. In round r each open query probes all values within Hamming distance r of its
-own value in every segment. A code at distance d has a segment at distance d // m at
-most, so after round r every code up to distance m * (r + 1) - 1 has been verified; a
-query closes when its k-th best distance is within that. Equal codes are searched as one.
+indexed. The search radius grows segment by segment: step (r, s) probes all values at
+Hamming distance r from an open query's own value in segment s. After it, a code that
+has not been met differs by r + 1 bits or more in segments 0 .. s and by r or more in the
+others, so all codes up to distance m * r + s are verified; a query closes when its k-th
+best distance is within that. Equal codes are searched as one.
 """
 
 from __future__ import annotations
@@ -53,10 +54,16 @@ def _value(code: Column, segment: tuple[int, int, int]) -> Column:
     return F.call_function("shiftrightunsigned", code[word], F.lit(shift)).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _probes(parts: list[tuple[int, int, int]], radius: int) -> Column:
-    """All (segment, difference of ``radius`` bits), as a constant array."""
-    texts = [f"{i}:{sum(1 << b for b in c)}" for i, (_, _, width) in enumerate(parts)
-             for c in combinations(range(width), radius)]
+def _steps(parts: list[tuple[int, int, int]]) -> list[tuple[int, list[int]]]:
+    """(radius, segments): radius 0 and 1 for all segments at once, then one segment at a time."""
+    widest = max(p[2] for p in parts)
+    out = [(r, list(range(len(parts)))) for r in (0, 1)]
+    return out + [(r, [i]) for r in range(2, widest + 1) for i in range(len(parts))]
+
+
+def _probes(parts: list[tuple[int, int, int]], radius: int, at: list[int]) -> Column:
+    """All (segment, difference of ``radius`` bits) of some segments, as a constant array."""
+    texts = [f"{i}:{sum(1 << b for b in c)}" for i in at for c in combinations(range(parts[i][2]), radius)]
     return F.transform(F.split(F.lit(",".join(texts)), ","), lambda t: F.struct(
         F.split(t, ":")[0].cast("int").alias("seg"), F.split(t, ":")[1].cast("long").alias("mask")))
 
@@ -84,15 +91,17 @@ def top_k(rows: DataFrame, queries: DataFrame, bits: int, k: int = K) -> DataFra
         rows.withColumn("r", F.row_number().over(by_id)).where(F.col("r") <= k)
         .groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "hamming-codes")
     parts = segments(bits, codes.count())
-    m, widest = len(parts), max(p[2] for p in parts)
+    m = len(parts)
     entries = F.array(*[F.struct(F.lit(i).alias("seg"), _value(F.col("code"), p).alias("value")) for i, p in enumerate(parts)])
     index = materialize(codes.select("code", "ids", F.inline(entries)), "hamming-index")
     queries = queries.where("id is not null and code is not null")
     open_ = materialize(queries.select(F.col("code").alias("q")).distinct(), "hamming-open")
-    best, radius = None, 0
-    while True:
+    best = None
+    for radius, at in _steps(parts):
+        if not any(radius <= parts[i][2] for i in at):
+            continue
         own = F.array(*[_value(F.col("q"), p) for p in parts])
-        probes = (open_.select("q", own.alias("own"), F.inline(_probes(parts, radius)))
+        probes = (open_.select("q", own.alias("own"), F.inline(_probes(parts, radius, at)))
                   .select("q", "seg", F.get("own", F.col("seg")).bitwiseXOR(F.col("mask")).alias("value")))
         # the optimiser does not see how many rows the probes become: keep it from broadcasting them
         found = (probes.hint("merge").join(index, ["seg", "value"])
@@ -102,14 +111,11 @@ def top_k(rows: DataFrame, queries: DataFrame, bits: int, k: int = K) -> DataFra
         every = new if best is None else new.union(best.select("q", "distance", "id"))
         order = Window.partitionBy("q").orderBy("distance", "id")
         best = materialize(every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "hamming-best")
-        if radius >= widest:
-            break
-        proven = m * (radius + 1) - 1
+        proven = m * radius + at[-1]
         closed = best.where((F.col("rank") == k) & (F.col("distance") <= proven)).select("q")
         open_ = materialize(open_.join(closed, "q", "left_anti"), "hamming-open")
         if not open_.limit(1).count():
             break
-        radius += 1
     return (queries.join(best, queries.code == best.q)
             .select(queries.id.alias("query_id"), F.col("rank").cast("int").alias("rank"),
                     best.id.alias("neighbor_id"), "distance"))
