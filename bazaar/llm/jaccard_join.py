@@ -21,9 +21,10 @@ order of their 64-bit hashes). The join runs in these steps:
    trie. A traversal counts each shared run once for all sets below it and cuts a
    subtree when the overlap so far plus what can remain misses the bound.
 5. **Two rounds.** Round one verifies, per path, only the pairs with the path's
-   first set; a group of near copies is connected by them. Round two verifies the
-   remaining pairs *between different components* of round one. No pair that could
-   join two components is left out, and no group's pairs are all written.
+   first set; a group of near copies is connected by them. Round two looks for candidates
+   *between different components* of round one, sends the sets of those alone to the path's
+   unit, and verifies them there; a unit writes only links that join two components. No pair
+   that could join components is left out, and no group's pairs are ever written.
 6. **Link counts.** All links lie inside components; each pair of blocks of a
    component's sets is multiplied out in one task, which returns sums only.
 
@@ -232,63 +233,145 @@ def _units(shared: DataFrame, block: int) -> DataFrame:
             .select("unit", (F.col("own") != F.col("other")).alias("mixed"), "own", "dig", "n", "cells", "part"))
 
 
-def _candidates(shared: DataFrame, percent: int, first_only: bool, block: int = _BLOCK) -> DataFrame:
-    """Distinct pairs (a < b) of digests that share a path and pass the size and count bounds.
+class _Rows:
+    """Rows of whole units as arrays, and the pairs among them that may link."""
 
-    ``shared`` has path, dig, n, cells and part. ``first_only`` takes the pairs
-    with the first set of each unit, else all pairs of different parts.
-    """
-    def compare(unit, mixed, own, dig, n, part, cells):
-        def close(i, j):
-            ok = (part[i] != part[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-            ok &= ~mixed[i] | (own[i] != own[j])
-            i, j = i[ok], j[ok]
-            if len(i):
-                apart = np.abs(cells[i].astype(np.int16) - cells[j]).sum(1)
-                ok = apart <= (100 - percent) * (n[i] + n[j]) // (100 + percent)
-                first.append(dig[i[ok]])
-                second.append(dig[j[ok]])
-        first, second, rows = [], [], len(unit)
-        if first_only:
-            start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-            head = np.repeat(start, np.diff(np.r_[start, rows]))
-            live = np.flatnonzero(head != np.arange(rows))
-            for at in range(0, len(live), 1 << 16):
-                close(head[live[at:at + (1 << 16)]], live[at:at + (1 << 16)])
-        else:
-            live, k = np.arange(rows), 0
-            while len(live):
-                k += 1
-                live = live[live + k < rows]
-                live = live[unit[live] == unit[live + k]]
-                for at in range(0, len(live), 1 << 16):
-                    close(live[at:at + (1 << 16)], live[at:at + (1 << 16)] + k)
-        a = np.concatenate(first or [np.empty(0, np.int64)])
-        b = np.concatenate(second or [np.empty(0, np.int64)])
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        if len(pairs):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    def __init__(self, table: pa.Table, percent: int) -> None:
+        cols = {c: table.column(c).to_numpy() for c in ("unit", "own", "dig", "n", "part")}
+        self.unit, self.own, self.dig, self.n, self.part = cols.values()
+        self.mixed = table.column("mixed").to_numpy()
+        self.cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), np.uint8).reshape(-1, _CELLS)
+        self.percent = percent
 
-    def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [batch.column(c).to_numpy(zero_copy_only=False)
-                   for c in ("unit", "mixed", "own", "dig", "n", "part")]
-            now.append(np.frombuffer(b"".join(batch.column("cells").to_pylist()), np.uint8).reshape(-1, _CELLS))
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now)]
-            done = int(np.searchsorted(now[0], now[0][-1]))  # the last unit may go on
-            held = [x[done:] for x in now]
-            if done:
-                yield from compare(*[x[:done] for x in now])
+    def close(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of different parts (and blocks) within the size and count bounds."""
+        t, n = self.percent, self.n
+        ok = (self.part[i] != self.part[j]) & (100 * np.minimum(n[i], n[j]) >= t * np.maximum(n[i], n[j]))
+        ok &= ~self.mixed[i] | (self.own[i] != self.own[j])
+        i, j = i[ok], j[ok]
+        kept = []
+        for at in range(0, len(i), 1 << 16):
+            a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+            apart = np.abs(self.cells[a].astype(np.int16) - self.cells[b]).sum(1)
+            kept.append(apart <= (100 - t) * (n[a] + n[b]) // (100 + t))
+        ok = np.concatenate(kept) if kept else np.empty(0, bool)
+        return i[ok], j[ok]
+
+    def with_first(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs with the first row of each unit."""
+        start = np.flatnonzero(np.r_[True, self.unit[1:] != self.unit[:-1]])
+        head = np.repeat(start, np.diff(np.r_[start, len(self.unit)]))
+        rest = np.flatnonzero(head != np.arange(len(head)))
+        return self.close(head[rest], rest)
+
+    def in_candidates(self) -> np.ndarray:
+        """Rows that have a candidate in their unit."""
+        found = np.zeros(len(self.unit), bool)
+        live, k = np.arange(len(self.unit)), 0
+        while len(live):
+            k += 1
+            live = live[live + k < len(self.unit)]
+            live = live[self.unit[live] == self.unit[live + k]]
+            i, j = self.close(live, live + k)
+            found[i] = found[j] = True
+        return np.flatnonzero(found)
+
+
+def _whole_units(batches):
+    """Tables that hold whole units, of batches sorted by unit."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
         if held is not None:
-            yield from compare(*held)
+            table = pa.concat_tables([held, table])
+        unit = table.column("unit").to_numpy()
+        done = int(np.searchsorted(unit, unit[-1]))     # the last unit may go on
+        held = table.slice(done)
+        if done:
+            yield table.slice(0, done)
+    if held is not None:
+        yield held
+
+
+def _first_pairs(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame:
+    """Distinct candidates (a < b) among the pairs with the first set of each unit.
+    ``shared`` has path, dig, n, cells and part."""
+    def run(batches):
+        for table in _whole_units(batches):
+            rows = _Rows(table, percent)
+            i, j = rows.with_first()
+            a, b = rows.dig[i], rows.dig[j]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
     return (_units(shared, block).repartition("unit").sortWithinPartitions("unit", "dig")
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def _suspects(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame:
+    """(unit, mixed, own, dig, part): the rows that have a candidate of another part in their unit."""
+    def run(batches):
+        for table in _whole_units(batches):
+            rows = _Rows(table, percent)
+            at = rows.in_candidates()
+            if len(at):
+                yield from table.select(["unit", "mixed", "own", "dig", "part"]).take(pa.array(at)).combine_chunks().to_batches()
+    return (_units(shared, block).repartition("unit").sortWithinPartitions("unit", "dig")
+            .mapInArrow(run, "unit long, mixed boolean, own int, dig long, part long"))
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, as products of the sets' incidence matrix, some columns at a time."""
+    n = np.array([len(x) for x in sets])
+    universe, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    width = min(1 << 13, len(universe))
+    for first in range(0, len(universe), width):
+        i, j = np.searchsorted(at, [first, first + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[row[i:j], at[i:j] - first] = 1
+        common += part @ part.T
+    return common
+
+
+def _joining_links(suspects: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the parts of each unit, one for every two parts that they join."""
+    def run(batches):
+        for table in _whole_units(batches):
+            unit = table.column("unit").to_numpy()
+            own, dig, part, n = (table.column(c).to_numpy() for c in ("own", "dig", "part", "n"))
+            mixed = table.column("mixed").to_numpy()
+            items = [np.frombuffer(x, U64) for x in table.column("items").to_pylist()]
+            start = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+            out = []
+            for i, j in zip(start, np.r_[start[1:], len(unit)]):
+                size = n[i:j]
+                ok = overlaps(items[i:j]) * (100 + percent) >= percent * (size[:, None] + size[None, :])
+                ok &= part[i:j, None] != part[None, i:j]
+                if mixed[i]:
+                    ok &= own[i:j, None] != own[None, i:j]
+                parent: dict = {}
+
+                def root(x):
+                    while parent.setdefault(x, x) != x:
+                        parent[x] = x = parent[parent[x]]
+                    return x
+                for a, b in np.argwhere(np.triu(ok)).tolist():
+                    x, y = root(part[i + a]), root(part[i + b])
+                    if x != y:
+                        parent[x] = y
+                        out.append((min(dig[i + a], dig[i + b]), max(dig[i + a], dig[i + b])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+    return (suspects.join(sets, "dig").repartition("unit").sortWithinPartitions("unit", "dig")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
 def trie_links(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> list[int]:
     """Indexes of ``sets`` (sorted arrays) that link with ``probe``: one traversal
     of their path-compressed prefix tree."""
@@ -370,17 +453,7 @@ def _link_counts(members: DataFrame, percent: int, block: int = _FAN) -> DataFra
         own, dig, copies, n = (table.column(c).to_numpy() for c in ("own", "dig", "copies", "n"))
         sets = [np.frombuffer(x, U64) for x in table.column("items").to_pylist()]
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
-        universe, at = np.unique(np.concatenate(sets), return_inverse=True)
-        row = np.repeat(np.arange(len(sets)), n)
-        common = np.zeros((len(sets), len(sets)), np.float32)
-        order = np.argsort(at, kind="stable")
-        at, row = at[order], row[order]
-        width = 1 << 13
-        for first in range(0, len(universe), width):
-            i, j = np.searchsorted(at, [first, first + width])
-            part = np.zeros((len(sets), width), np.float32)
-            part[row[i:j], at[i:j] - first] = 1
-            common += part @ part.T
+        common = overlaps(sets)
         linked = common * (100 + percent) >= percent * (n[:, None] + n[None, :])
         np.fill_diagonal(linked, False)
         if lo != hi:
@@ -413,18 +486,19 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) ->
     shared = materialize(_shared_paths(_paths(docs, ngram, percent)), "shared-paths")
     rows = shared.join(nodes.select("dig", "n", "cells"), "dig")
 
-    def verified(pairs: DataFrame, label: str) -> DataFrame:
-        pairs = materialize(pairs, f"jaccard-pairs-{label}")
-        wanted = nodes.join(pairs.select(F.col("a").alias("dig")).union(pairs.select("b")).distinct(),
-                            "dig", "left_semi").select("dig", "rep")
-        contents = materialize(_contents(docs, wanted, ngram), f"jaccard-sets-{label}")
-        return materialize(_verify(pairs, contents, percent), f"jaccard-links-{label}")
+    def contents_of(digs: DataFrame) -> DataFrame:
+        wanted = nodes.join(digs.distinct(), "dig", "left_semi").select("dig", "rep")
+        return materialize(_contents(docs, wanted, ngram), "jaccard-sets")
 
-    links = verified(_candidates(rows.withColumn("part", F.col("dig")), percent, True), "first")
+    pairs = materialize(_first_pairs(rows.withColumn("part", F.col("dig")), percent), "jaccard-pairs")
+    contents = contents_of(pairs.select(F.col("a").alias("dig")).union(pairs.select("b")))
+    links = materialize(_verify(pairs, contents, percent), "jaccard-links")
     labels = components(links)
     parted = (rows.join(labels.withColumnRenamed("node", "dig"), "dig", "left")
               .withColumn("part", F.coalesce("component", "dig")).drop("component"))
-    links = links.union(verified(_candidates(parted, percent, False), "rest"))
+    suspects = materialize(_suspects(parted, percent), "jaccard-suspects")
+    more = materialize(_joining_links(suspects, contents_of(suspects.select("dig")), percent), "jaccard-links")
+    links = links.union(more)
     labels = components(links)
     members = labels.withColumnRenamed("node", "dig").join(nodes, "dig")
     contents = _contents(docs, members.select("dig", "rep"), ngram).select("dig", "items")
