@@ -35,7 +35,7 @@ CLASSES = 16            # hash classes of the previous word; class CLASSES is th
 SWEEPS = 3              # Gibbs sweeps; the first BURN_IN are not averaged
 BURN_IN = 1
 INNER = 2               # passes between a word's contexts and its root seating in a sweep
-BLOCK_BYTES = 32 << 20  # text per block, about (one longer text is a block of its own)
+BLOCK_BYTES = 20 << 20  # text per block, about (one longer text is a block of its own)
 STRENGTH = 1.0          # strength of every restaurant
 _LOW = 5                # low bits of a word hash that are left free for a class
 END = U64(0x9D39247E33776D41) >> U64(_LOW) << U64(_LOW)
