@@ -20,11 +20,12 @@ order of their 64-bit hashes). The join runs in these steps:
 4. **Prefix tree.** Per probe set, the candidates are stored in a path-compressed
    trie. A traversal counts each shared run once for all sets below it and cuts a
    subtree when the overlap so far plus what can remain misses the bound.
-5. **Two rounds.** Round one verifies, per path, only the pairs with the path's
-   first set; a group of near copies is connected by them. Round two looks for candidates
-   *between different components* of round one, sends the sets of those alone to the path's
-   unit, and verifies them there; a unit writes only links that join two components. No pair
-   that could join components is left out, and no group's pairs are ever written.
+5. **Two rounds.** Round one verifies, per path, only the pairs with a pivot drawn for
+   that path; a group of near copies is connected by them. Round two looks for all remaining
+   candidates *between different components* of round one. Short sets with a candidate are
+   sent to the path's unit and verified there; a unit writes only links that join two
+   components. Long sets, too large to send along every path, are verified as pairs. No
+   pair that could join components is left out, and no group's pairs are ever written.
 6. **Link counts.** All links lie inside components; each pair of blocks of a
    component's sets is multiplied out in one task, which returns sums only.
 
@@ -50,6 +51,7 @@ PERCENT = 85          # a link: 100 * intersection >= PERCENT * union
 _GROWTH = 1.4         # size classes grow by this factor
 _CELLS = 128          # ranges of the count filter
 _BLOCK = 1024         # sets compared at once within one shared path
+_SHORT = 512          # elements of a set that is verified inside its units
 _FAN = 256            # candidates per trie
 
 
@@ -257,24 +259,31 @@ class _Rows:
         ok = np.concatenate(kept) if kept else np.empty(0, bool)
         return i[ok], j[ok]
 
-    def with_first(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs with the first row of each unit."""
+    def with_pivots(self, salt: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs with one row of each unit, drawn by a hash of unit and set, so that a set
+        meets another pivot on each of its paths."""
         start = np.flatnonzero(np.r_[True, self.unit[1:] != self.unit[:-1]])
-        head = np.repeat(start, np.diff(np.r_[start, len(self.unit)]))
-        rest = np.flatnonzero(head != np.arange(len(head)))
-        return self.close(head[rest], rest)
-
-    def in_candidates(self) -> np.ndarray:
-        """Rows that have a candidate in their unit."""
-        found = np.zeros(len(self.unit), bool)
+        size = np.diff(np.r_[start, len(self.unit)])
+        draw = mix(mix(self.unit.view(U64) + U64(salt)) ^ self.dig.view(U64))
+        pivot = np.repeat(np.lexsort((draw, np.repeat(start, size)))[start], size)
+        rest = np.flatnonzero(pivot != np.arange(len(pivot)))
+        return self.close(pivot[rest], rest)
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
+        """(rows with a candidate where both sets are short, all other candidates as
+        distinct pairs of digests)."""
+        found, pairs = np.zeros(len(self.unit), bool), [np.empty((0, 2), np.int64)]
         live, k = np.arange(len(self.unit)), 0
         while len(live):
             k += 1
             live = live[live + k < len(self.unit)]
             live = live[self.unit[live] == self.unit[live + k]]
             i, j = self.close(live, live + k)
-            found[i] = found[j] = True
-        return np.flatnonzero(found)
+            short = np.maximum(self.n[i], self.n[j]) <= _SHORT
+            found[i[short]] = found[j[short]] = True
+            a, b = self.dig[i[~short]], self.dig[j[~short]]
+            pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+        return np.flatnonzero(found), np.unique(np.concatenate(pairs), axis=0)
 
 
 def _whole_units(batches):
@@ -295,13 +304,13 @@ def _whole_units(batches):
         yield held
 
 
-def _first_pairs(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame:
-    """Distinct candidates (a < b) among the pairs with the first set of each unit.
+def _pivot_pairs(shared: DataFrame, percent: int, salt: int, block: int = _BLOCK) -> DataFrame:
+    """Distinct candidates (a < b) among the pairs with the pivot of each unit.
     ``shared`` has path, dig, n, cells and part."""
     def run(batches):
         for table in _whole_units(batches):
             rows = _Rows(table, percent)
-            i, j = rows.with_first()
+            i, j = rows.with_pivots(salt)
             a, b = rows.dig[i], rows.dig[j]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             if len(pairs):
@@ -311,15 +320,23 @@ def _first_pairs(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFr
 
 
 def _suspects(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame:
-    """(unit, mixed, own, dig, part): the rows that have a candidate of another part in their unit."""
+    """Candidates of different parts: rows (unit, mixed, own, dig, part) of short sets, and pairs
+    (dig, other) of long ones (unit NULL)."""
     def run(batches):
         for table in _whole_units(batches):
             rows = _Rows(table, percent)
-            at = rows.in_candidates()
+            at, pairs = rows.candidates()
             if len(at):
-                yield from table.select(["unit", "mixed", "own", "dig", "part"]).take(pa.array(at)).combine_chunks().to_batches()
+                part = table.select(["unit", "mixed", "own", "dig", "part"]).take(pa.array(at))
+                part = part.append_column("other", pa.nulls(len(at), pa.int64()))
+                yield from part.combine_chunks().to_batches()
+            if len(pairs):
+                none = pa.nulls(len(pairs), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [none, none.cast(pa.bool_()), none.cast(pa.int32()), pa.array(pairs[:, 0]), none, pa.array(pairs[:, 1])],
+                    ["unit", "mixed", "own", "dig", "part", "other"])
     return (_units(shared, block).repartition("unit").sortWithinPartitions("unit", "dig")
-            .mapInArrow(run, "unit long, mixed boolean, own int, dig long, part long"))
+            .mapInArrow(run, "unit long, mixed boolean, own int, dig long, part long, other long"))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -490,15 +507,19 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) ->
         wanted = nodes.join(digs.distinct(), "dig", "left_semi").select("dig", "rep")
         return materialize(_contents(docs, wanted, ngram), "jaccard-sets")
 
-    pairs = materialize(_first_pairs(rows.withColumn("part", F.col("dig")), percent), "jaccard-pairs")
-    contents = contents_of(pairs.select(F.col("a").alias("dig")).union(pairs.select("b")))
-    links = materialize(_verify(pairs, contents, percent), "jaccard-links")
+    def verified(pairs: DataFrame) -> DataFrame:
+        contents = contents_of(pairs.select(F.col("a").alias("dig")).union(pairs.select("b")))
+        return materialize(_verify(pairs, contents, percent), "jaccard-links")
+
+    links = verified(materialize(_pivot_pairs(rows.withColumn("part", F.col("dig")), percent, 1), "jaccard-pairs"))
     labels = components(links)
     parted = (rows.join(labels.withColumnRenamed("node", "dig"), "dig", "left")
               .withColumn("part", F.coalesce("component", "dig")).drop("component"))
     suspects = materialize(_suspects(parted, percent), "jaccard-suspects")
-    more = materialize(_joining_links(suspects, contents_of(suspects.select("dig")), percent), "jaccard-links")
-    links = links.union(more)
+    short = suspects.where("other is null").drop("other")
+    long = suspects.where("other is not null").select(F.col("dig").alias("a"), F.col("other").alias("b")).distinct()
+    links = (links.union(materialize(_joining_links(short, contents_of(short.select("dig")), percent), "jaccard-links"))
+             .union(verified(materialize(long, "jaccard-pairs"))))
     labels = components(links)
     members = labels.withColumnRenamed("node", "dig").join(nodes, "dig")
     contents = _contents(docs, members.select("dig", "rep"), ngram).select("dig", "items")
