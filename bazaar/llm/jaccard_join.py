@@ -327,9 +327,9 @@ def _suspects(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame
             rows = _Rows(table, percent)
             at, pairs = rows.candidates()
             if len(at):
-                part = table.select(["unit", "mixed", "own", "dig", "part"]).take(pa.array(at))
-                part = part.append_column("other", pa.nulls(len(at), pa.int64()))
-                yield from part.combine_chunks().to_batches()
+                part, names = table.take(pa.array(at)), ["unit", "mixed", "own", "dig", "part"]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c).combine_chunks() for c in names], pa.nulls(len(at), pa.int64())], [*names, "other"])
             if len(pairs):
                 none = pa.nulls(len(pairs), pa.int64())
                 yield pa.RecordBatch.from_arrays(
