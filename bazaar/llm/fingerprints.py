@@ -180,7 +180,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         group = below(longs([g[-1] for g in groups]))
         docs = docs.withColumn("group", group)
         inner = F.coalesce(F.get(fine, F.col("group")), F.array().cast("array<bigint>"))
-        bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(F.col("group") * size + below(inner))
+        bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(F.least(F.col("group") * size + below(inner), F.lit(len(cuts))))
         is_cut = F.array_contains(F.coalesce(F.get(fine, F.col("group")), F.array().cast("array<bigint>")), F.col("doc_id"))
         docs = docs.withColumn("bucket", bucket).withColumn("is_cut", F.coalesce(is_cut, F.lit(False)))
     else:
