@@ -6,13 +6,11 @@ from bazaar.functions.parse import (
     parse_date, parse_price, parse_rating, parse_delivery_days, to_bool,
 )
 from bazaar.functions.fmt import (
-    discount_band, format_inr, flag_label, period_label, money_avg, money_avg_sql, money_sum,
-    money_sum_sql,
+    discount_band, format_inr, flag_label, period_label, money_avg, money_sum,
 )
 
 __all__ = [
     "strip_ws", "title_case", "canonical_lookup",
     "parse_date", "parse_price", "parse_rating", "parse_delivery_days", "to_bool",
-    "discount_band", "format_inr", "flag_label", "period_label", "money_sum", "money_sum_sql", "money_avg",
-    "money_avg_sql",
+    "discount_band", "format_inr", "flag_label", "period_label", "money_sum", "money_avg",
 ]

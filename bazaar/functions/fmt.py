@@ -48,23 +48,18 @@ def period_label(year: Column | str, quarter: Column | str) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of amounts: each value (a 4-decimal number by construction)
-    is cast to DECIMAL and summed without rounding error, so the total does
-    not depend on partitioning, merge order or task retries; returned as
-    DOUBLE like the amounts themselves."""
-    return F.sum(_col(c).cast(MONEY_DECIMAL)).cast("double")
-
-
-def money_sum_sql(x: str) -> str:
-    """The same expression as SQL text (Spark SQL and DuckDB)."""
-    return f"cast(sum(cast({x} as {MONEY_DECIMAL})) as double)"
+    """Exact sum of amounts: each finite value is cast to DECIMAL(38,10) and
+    summed without rounding error, so the total does not depend on
+    partitioning, merge order or task retries; returned as DOUBLE like the
+    amounts themselves. NaN and infinite amounts are kept as a plain sum keeps them."""
+    x = _col(c).cast("double")
+    finite = ~F.isnan(x) & (F.abs(x) != float("inf"))
+    exact = F.sum(F.when(finite, x.cast(MONEY_DECIMAL))).cast("double")
+    odd = F.sum(F.when(~finite, x))
+    return F.when(odd.isNull(), exact).otherwise(odd)
 
 
 def money_avg(c: Column | str) -> Column:
     """Mean amount from the exact sum and the count of non-NULL amounts
     (NULL for an empty group), so it is as deterministic as ``money_sum``."""
     return money_sum(c) / F.count(_col(c))
-
-
-def money_avg_sql(x: str) -> str:
-    return f"({money_sum_sql(x)} / count({x}))"

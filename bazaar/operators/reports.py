@@ -81,7 +81,7 @@ def yoy_growth(df: DataFrame) -> DataFrame:
 def month_year_heatmap(df: DataFrame) -> DataFrame:
     """Q2: revenue in millions per (month, year) cell, long form."""
     return _nn(df, "order_month", "order_year").groupBy("order_month", "order_year") \
-        .agg((F.sum(AMOUNT) / 1e6).alias("revenue_mn"))
+        .agg((F.coalesce(F.sum(AMOUNT), F.lit(0.0)) / 1e6).alias("revenue_mn"))
 
 
 def quarterly_revenue(df: DataFrame) -> DataFrame:
@@ -397,23 +397,22 @@ def price_sample(df: DataFrame, n: int = 5000, seed: int = 1) -> DataFrame:
 # --------------------------------------------------------------------------- #
 KPI_SQL: dict[str, str] = {
     "yearly_revenue": """
-        SELECT order_year AS year, CAST(SUM(CAST(final_amount_inr AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
+        SELECT order_year AS year, CAST(SUM(CAST(final_amount_inr AS DECIMAL(38,10))) AS DOUBLE) AS revenue,
                COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS customers
         FROM {t} GROUP BY order_year ORDER BY order_year""",
     "category_revenue": """
-        SELECT category, CAST(SUM(CAST(final_amount_inr AS DECIMAL(18,4))) AS DOUBLE) AS revenue, COUNT(*) AS orders
+        SELECT category, CAST(SUM(CAST(final_amount_inr AS DECIMAL(38,10))) AS DOUBLE) AS revenue, COUNT(*) AS orders
         FROM {t} GROUP BY category ORDER BY revenue DESC""",
     "top_cities": """
-        SELECT customer_city AS city, CAST(SUM(CAST(final_amount_inr AS DECIMAL(18,4))) AS DOUBLE) AS revenue
+        SELECT customer_city AS city, CAST(SUM(CAST(final_amount_inr AS DECIMAL(38,10))) AS DOUBLE) AS revenue
         FROM {t} GROUP BY customer_city
         ORDER BY revenue DESC, city LIMIT 10""",
 }
 
 
-def run_kpi(df: DataFrame, name: str, view: str = "transactions") -> DataFrame:
-    """Run one KPI SQL text over ``df`` registered as a temporary view."""
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(KPI_SQL[name].format(t=view))
+def run_kpi(df: DataFrame, name: str) -> DataFrame:
+    """Run one KPI SQL text over ``df``; no view is left that could hide a table."""
+    return df.sparkSession.sql(KPI_SQL[name], t=df)
 
 
 # --------------------------------------------------------------------------- #

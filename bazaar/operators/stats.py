@@ -48,7 +48,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     vc = vc.repartitionByRange(n_slices, *gk, "_v").withColumn("_s", F.spark_partition_id())
     w_run = (Window.partitionBy(*gk, "_s").orderBy("_v")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    vc = vc.withColumn("_run", F.sum("_c").over(w_run))
+    # written once: the range bounds are sampled, so the offsets and the values
+    # below must come from the same slicing, whatever the optimiser reuses.
+    vc = materialize(vc.withColumn("_run", F.sum("_c").over(w_run)), "quantile-slices")
     # 3. per-slice totals (the last running count; the data is already
     #    clustered by (group, slice), so no shuffle) -> offsets and group
     #    sizes (a groups x slices table).
@@ -247,8 +249,9 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1, oversample: int
     n smallest hashes are all among them, so the result is exact; otherwise
     the plain top-n over all rows is taken. The cost is one extra counting
     pass, fully parallel, instead of a merge of tasks x n rows in one place.
-    The small result is written once under the checkpoint folder."""
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    The small result is written once under the checkpoint folder. A NULL key
+    hashes like an empty one, so it passes the cut like any other row."""
+    h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{seed}")))
     rest = [c for c in df.columns if c != key]
 
     def top(frame: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ select order_year, revenue / 1e7 as revenue_cr,
 from {_YEARLY} y""")(_on_sales(R.yoy_growth))
 
 register("month_year_heatmap", rounding={"revenue_mn": M6}, oracle="""
-select order_month, order_year, cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / 1e6 as revenue_mn
+select order_month, order_year, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) / 1e6 as revenue_mn
 from sales where order_month is not null and order_year is not null
 group by order_month, order_year""")(_on_sales(R.month_year_heatmap))
 

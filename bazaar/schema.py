@@ -117,9 +117,9 @@ NA_TOKENS: list[str] = [
 OUTLIER_FACTOR = 50.0   # price > factor * category median is a decimal error
 OUTLIER_DIVISOR = 100.0
 MAX_DELIVERY_DAYS = 15
-RAW_FILE_GLOB = "amazon_india_2*.csv"
-# Amounts are summed exactly as DECIMAL(18,4) (see functions.money_sum).
-MONEY_DECIMAL = "decimal(18,4)"
+RAW_FILE_GLOB = "*_2*.csv"
+# Amounts are summed exactly as this type (see functions.money_sum).
+MONEY_DECIMAL = "decimal(38,10)"
 
 # --------------------------------------------------------------------------- #
 # Schemas

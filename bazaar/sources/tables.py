@@ -112,8 +112,3 @@ from lineitem join orders on l_orderkey = o_orderkey
      join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
      join part on l_partkey = p_partkey
 """
-
-
-def with_sales(body: str) -> str:
-    """Prefix an oracle query with the ``sales`` CTE."""
-    return f"with sales as ({SALES_SQL})\n{body}"

@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from bazaar.plans import catalog
 from bazaar.sources.tables import TABLES
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 ROWS_ONLY: set[str] = set()
 
 
@@ -43,6 +44,10 @@ def test_every_query_has_an_oracle_unless_rows_only():
     assert len(QUERIES) >= 80
 
 
+def test_entry_registers_the_catalogue():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["year", "revenue", "orders", "customers"]
