@@ -194,7 +194,9 @@ def parse_all(raw: DataFrame, window: tuple[str, str] | None = DEFAULT_DATE_WIND
     df = raw
     for c in NUMERIC_TEXT_COLUMNS:
         if c in df.columns and dict(df.dtypes)[c] == "string":
-            df = df.withColumn(c, F.col(c).try_cast("double"))
+            # a cast alone would take Java's '1d' and '12f' for numbers
+            number = ~F.lower(F.trim(F.col(c))).rlike("[0-9.][df]$")
+            df = df.withColumn(c, F.when(number, F.col(c).try_cast("double")))
     df = clean_dates(df, window=window)
     df = clean_prices(df)
     df = clean_categories(df)

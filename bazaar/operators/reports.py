@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from bazaar.functions import discount_band, flag_label, format_inr, money_avg, money_sum, period_label
 from bazaar.operators import stats
-from bazaar.schema import DISCOUNT_BANDS
+from bazaar.schema import CATEGORIES, DISCOUNT_BANDS
 
 AMOUNT = "final_amount_inr"
 CORR_COLUMNS = ["final_amount_inr", "discount_percent", "delivery_days",
@@ -245,10 +245,16 @@ def category_lifecycle(df: DataFrame) -> DataFrame:
     return _count_by(df, ["order_year", "category"])
 
 
-def category_lifecycle_wide(df: DataFrame) -> DataFrame:
-    """Wide variant (one column per category), for display."""
-    return _nn(df, "order_year", "category").groupBy("order_year").pivot("category") \
-        .agg(F.count("transaction_id"))
+def category_lifecycle_wide(df: DataFrame, categories: list[str] | None = None) -> DataFrame:
+    """Wide variant for display: one column per named category (default: the fixed
+    list) and Other for the rest, so the columns need no job and have no cap. A year
+    without a category's rows has NULL there."""
+    names = categories or CATEGORIES
+    known = F.col("category").isin(*names)
+    seen = F.when(F.col("transaction_id").isNotNull(), 1).otherwise(0)
+    return _nn(df, "order_year", "category").groupBy("order_year").agg(
+        *[F.sum(F.when(F.col("category") == c, seen)).alias(c) for c in names],
+        F.sum(F.when(~known, seen)).alias("Other"))
 
 
 def age_category_share(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from bazaar.operators import inject as G
 from bazaar.plans import sqltext as S
 from bazaar.plans.registry import register
 from bazaar.schema import CATEGORY_CANONICAL, CITY_CANONICAL, PAYMENT_CANONICAL
+from bazaar.sources.files import union_years
 from bazaar.sources.tables import sales
 
 # The driver's orders span 1995-2001, so the date window is moved there.
@@ -41,8 +42,16 @@ register("inject_aliases", ctes=M,
     lambda s, d: _messy(s, d).select("seq", "customer_city", "category", "payment_method"))
 register("inject_duplicates", ctes=RAW, oracle="select seq, _copy, transaction_id from raw")(
     lambda s, d: G.raw(s, d).select("seq", "_copy", "transaction_id"))
-# IO2/U1: the raw view is the by-name union of the rows and their copies.
-register("union_years", ctes=RAW, oracle="select * from raw")(lambda s, d: G.raw(s, d))
+def _two_files(spark, d):
+    """IO2/U1: the raw view as two frames, the copies with their columns in reverse
+    order and without delivery_days."""
+    raw = G.raw(spark, d)
+    copies = raw.where("_copy = 1").select(*[c for c in reversed(raw.columns) if c != "delivery_days"])
+    return union_years([raw.where("_copy = 0"), copies])
+
+
+register("union_years", ctes=RAW, oracle="""
+select * replace (case when _copy = 0 then delivery_days end as delivery_days) from raw""")(_two_files)
 
 # --------------------------------------------------------------------------- #
 # CL1-CL11, one step at a time on the messy view

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaar.operators import clean as C
 from bazaar.operators import dims as D
 from bazaar.operators.reports import EDA_QUESTIONS
+from bazaar.schema import RAW_FILE_GLOB
 from bazaar.sources import files as IO
+from bazaar.sources.scratch import owned
 
 log = logging.getLogger("bazaar")
 STAGES = ["clean", "eda", "db"]
@@ -45,15 +48,17 @@ def run_all(df: DataFrame, sink: Callable[[str, DataFrame], None] | None = None,
     if parallel <= 1:
         return {name: one(name, fn) for name, fn in items}
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        futures = [(name, pool.submit(one, name, fn)) for name, fn in items]
+        futures = [(name, pool.submit(copy_context().run, one, name, fn)) for name, fn in items]
         return {name: f.result() for name, f in futures}
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, stages: list[str] | None = None,
         window: tuple[str, str] | None = None, database: str | None = None,
-        parallel: int = 4) -> dict[str, object]:
+        parallel: int = 4, multi_line: bool = False, pattern: str = RAW_FILE_GLOB) -> dict[str, object]:
     """Run the named stages in the order given (default: all); the EDA
-    questions run ``parallel`` at a time."""
+    questions run ``parallel`` at a time. ``eda`` and ``db`` compute the clean fact
+    when it is absent. Intermediates are deleted at the end; the results named
+    here are read from what was written."""
     stages = stages or STAGES
     unknown = [s for s in stages if s not in STAGES]
     if unknown:
@@ -61,25 +66,30 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, stages: list[str] | Non
     out = out_dir.rstrip("/")
     clean_path = f"{out}/transactions_clean.parquet"
     results: dict[str, object] = {}
-    for stage in stages:
-        if stage == "clean":
-            raw = IO.read_raw(spark, raw_dir)
-            kw = {"window": window} if window else {}
-            res = C.clean_pipeline(raw, order=IO.ORDER_COLUMNS, **kw)
-            clean = res.clean.drop(*IO.ORDER_COLUMNS)
-            IO.write_clean(clean, clean_path, f"{out}/transactions_clean.csv")
-            IO.write_report(res.report, f"{out}/cleaning_report.csv")
-            results["clean"] = clean_path
-        elif stage == "eda":
-            df = IO.load_clean(spark, clean_path)
-            written = {}
-
-            def sink(name: str, frame: DataFrame) -> None:
-                frame.write.mode("overwrite").parquet(f"{out}/eda/{name}")
-                written[name] = f"{out}/eda/{name}"
-            results["eda"] = run_all(df, sink, parallel=parallel)
-        elif stage == "db":
-            df = IO.load_clean(spark, clean_path)
-            results["db"] = IO.load_warehouse(spark, df, D.build_dimensions(df), f"{out}/warehouse",
-                                              database=database)
+
+    def cleaned() -> C.Cleaned:
+        raw = IO.read_raw(spark, raw_dir, pattern, multi_line=multi_line)
+        kw = {"window": window} if window else {}
+        return C.clean_pipeline(raw, order=IO.ORDER_COLUMNS, **kw)
+
+    def load() -> DataFrame:
+        return IO.load_clean(spark, clean_path, lambda: cleaned().clean.drop(*IO.ORDER_COLUMNS))
+
+    with owned(spark):
+        for stage in stages:
+            if stage == "clean":
+                res = cleaned()
+                IO.write_clean(res.clean.drop(*IO.ORDER_COLUMNS), clean_path, f"{out}/transactions_clean.csv")
+                IO.write_report(res.report, f"{out}/cleaning_report.csv")
+                results["clean"] = clean_path
+            elif stage == "eda":
+                def sink(name: str, frame: DataFrame) -> None:
+                    frame.write.mode("overwrite").parquet(f"{out}/eda/{name}")
+                ran = run_all(load(), sink, parallel=parallel)
+                results["eda"] = {name: res if isinstance(res, Exception) else spark.read.parquet(f"{out}/eda/{name}")
+                                  for name, res in ran.items()}
+            elif stage == "db":
+                df = load()
+                results["db"] = IO.load_warehouse(spark, df, D.build_dimensions(df), f"{out}/warehouse",
+                                                  database=database)
     return results

@@ -22,23 +22,23 @@ def _on_sales(fn):
 # SQL KPIs
 # --------------------------------------------------------------------------- #
 register("sql_yearly_revenue", rounding={"revenue": M2}, oracle="""
-select order_year as year, cast(sum(cast(final_amount_inr as decimal(18,4))) as double) as revenue, count(*) as orders,
+select order_year as year, fsum(final_amount_inr) as revenue, count(*) as orders,
        count(distinct customer_id) as customers
 from sales group by order_year""")(lambda s, d: R.run_kpi(sales(s, d), "yearly_revenue"))
 
 register("sql_category_revenue", rounding={"revenue": M2}, oracle="""
-select category, cast(sum(cast(final_amount_inr as decimal(18,4))) as double) as revenue, count(*) as orders
+select category, fsum(final_amount_inr) as revenue, count(*) as orders
 from sales group by category""")(lambda s, d: R.run_kpi(sales(s, d), "category_revenue"))
 
 register("sql_top_cities", rounding={"revenue": M2}, oracle="""
-select customer_city as city, cast(sum(cast(final_amount_inr as decimal(18,4))) as double) as revenue
+select customer_city as city, fsum(final_amount_inr) as revenue
 from sales group by customer_city order by revenue desc, city limit 10""")(
     lambda s, d: R.run_kpi(sales(s, d), "top_cities"))
 
 # --------------------------------------------------------------------------- #
 # Revenue and growth
 # --------------------------------------------------------------------------- #
-_YEARLY = """(select order_year, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+_YEARLY = """(select order_year, coalesce(fsum(final_amount_inr), 0) as revenue
               from sales where order_year is not null group by order_year)"""
 
 register("revenue_by_year", rounding={"revenue": M2}, oracle=f"""
@@ -50,18 +50,18 @@ select order_year, revenue / 1e7 as revenue_cr,
 from {_YEARLY} y""")(_on_sales(R.yoy_growth))
 
 register("month_year_heatmap", rounding={"revenue_mn": M6}, oracle="""
-select order_month, order_year, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) / 1e6 as revenue_mn
+select order_month, order_year, coalesce(fsum(final_amount_inr), 0) / 1e6 as revenue_mn
 from sales where order_month is not null and order_year is not null
 group by order_month, order_year""")(_on_sales(R.month_year_heatmap))
 
 register("quarterly_revenue", rounding={"revenue": M2}, oracle="""
 select concat(cast(order_year as varchar), '-Q', cast(order_quarter as varchar)) as period,
-       order_year, order_quarter, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+       order_year, order_quarter, coalesce(fsum(final_amount_inr), 0) as revenue
 from sales where order_year is not null and order_quarter is not null
 group by order_year, order_quarter""")(_on_sales(R.quarterly_revenue))
 
 register("monthly_seasonality", rounding={"revenue": M2}, oracle="""
-select order_month, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+select order_month, coalesce(fsum(final_amount_inr), 0) as revenue
 from sales where order_month is not null group by order_month""")(_on_sales(R.monthly_seasonality))
 
 register("orders_by_year", oracle="""
@@ -73,8 +73,8 @@ select order_year, count(distinct customer_id) as customers
 from sales where order_year is not null group by order_year""")(_on_sales(R.active_customers))
 
 register("business_health", rounding={"revenue_cr": M6, "aov": M6, "return_rate_pct": M6}, oracle="""
-select order_year, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) / 1e7 as revenue_cr,
-       count(distinct customer_id) as active_customers, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov,
+select order_year, coalesce(fsum(final_amount_inr), 0) / 1e7 as revenue_cr,
+       count(distinct customer_id) as active_customers, (fsum(final_amount_inr) / count(final_amount_inr)) as aov,
        avg(coalesce(cast(return_status = 'Returned' as double), 0.0)) * 100 as return_rate_pct
 from sales where order_year is not null group by order_year""")(_on_sales(R.business_health))
 
@@ -88,9 +88,9 @@ with y as (select order_year, revenue,
                   (revenue / nullif(lag(revenue) over (order by order_year), 0) - 1) * 100 as g
            from {_YEARLY} t),
      g as (select case when count(*) > 1 then max_by(g, order_year) else 0.0 end as g from y),
-     t as (select coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as total_revenue,
+     t as (select coalesce(fsum(final_amount_inr), 0) as total_revenue,
                   count(distinct customer_id) as active_customers,
-                  (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov, count(*) as total_orders from sales)
+                  (fsum(final_amount_inr) / count(final_amount_inr)) as aov, count(*) as total_orders from sales)
 select total_revenue, g.g as yoy_growth_pct, active_customers, aov, total_orders,
        {_INR.format(x='total_revenue')} as total_revenue_label,
        {_INR.format(x='aov')} as aov_label
@@ -106,7 +106,7 @@ from f, range(1, 4) r(k) where n >= 3""")(_on_sales(R.revenue_forecast))
 
 register("format_inr", rounding={"revenue": M2}, oracle=f"""
 select category, revenue, {_INR.format(x='revenue')} as revenue_label
-from (select category, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+from (select category, coalesce(fsum(final_amount_inr), 0) as revenue
       from sales where category is not null group by category) c""")(
     lambda s, d: R.category_revenue(sales(s, d)).withColumn("revenue_label", format_inr("revenue")))
 
@@ -116,28 +116,28 @@ from (select category, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))
 register("rfm", rounding={"monetary": M2, "log_monetary": M6}, oracle="""
 select customer_id,
        cast(date_diff('day', max(order_date), (select max(order_date) from sales) + interval 1 day) as int) as recency,
-       count(transaction_id) as frequency, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as monetary,
-       ln(1 + coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0)) as log_monetary
+       count(transaction_id) as frequency, coalesce(fsum(final_amount_inr), 0) as monetary,
+       ln(1 + coalesce(fsum(final_amount_inr), 0)) as log_monetary
 from sales where customer_id is not null group by customer_id""")(_on_sales(R.rfm))
 
 register("prime_impact", rounding={"aov": M6}, oracle="""
-select is_prime_member, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov, count(transaction_id) as orders
+select is_prime_member, (fsum(final_amount_inr) / count(final_amount_inr)) as aov, count(transaction_id) as orders
 from sales where is_prime_member is not null group by is_prime_member""")(_on_sales(R.prime_impact))
 
 register("aov_prime", rounding={"aov": M6}, oracle="""
-select case when is_prime_member then 'Prime' else 'Non-Prime' end as label, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov
+select case when is_prime_member then 'Prime' else 'Non-Prime' end as label, (fsum(final_amount_inr) / count(final_amount_inr)) as aov
 from sales where is_prime_member is not null group by is_prime_member""")(_on_sales(R.aov_prime))
 
 register("aov_festival", rounding={"aov": M6}, oracle="""
-select case when is_festival_sale then 'Festival' else 'Regular' end as label, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov
+select case when is_festival_sale then 'Festival' else 'Regular' end as label, (fsum(final_amount_inr) / count(final_amount_inr)) as aov
 from sales where is_festival_sale is not null group by is_festival_sale""")(_on_sales(R.aov_festival))
 
 register("age_spend", rounding={"revenue": M2}, oracle="""
-select age_group, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+select age_group, coalesce(fsum(final_amount_inr), 0) as revenue
 from sales where age_group is not null group by age_group""")(_on_sales(R.age_spend))
 
 register("spending_tier_revenue", rounding={"revenue": M2}, oracle="""
-select customer_spending_tier, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+select customer_spending_tier, coalesce(fsum(final_amount_inr), 0) as revenue
 from sales where customer_spending_tier is not null group by customer_spending_tier""")(
     _on_sales(R.spending_tier_revenue))
 
@@ -189,7 +189,7 @@ from {_COHORTS} c left join {_COHORTS} b
 # Categories, products, brands, geography
 # --------------------------------------------------------------------------- #
 def _sum_sql(key: str) -> str:
-    return f"""select {key}, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+    return f"""select {key}, coalesce(fsum(final_amount_inr), 0) as revenue
 from sales where {key} is not null group by {key}"""
 
 
@@ -221,19 +221,19 @@ group by order_year, category""")(_on_sales(R.category_lifecycle))
 
 register("age_category_share", rounding={"share": M6}, oracle="""
 select age_group, category, revenue / nullif(sum(revenue) over (partition by age_group), 0) as share
-from (select age_group, category, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+from (select age_group, category, coalesce(fsum(final_amount_inr), 0) as revenue
       from sales where age_group is not null and category is not null
       group by age_group, category) c""")(_on_sales(R.age_category_share))
 
 register("brand_share_trend", rounding={"revenue": M2, "share_pct": M6}, oracle="""
 select order_year, brand, revenue,
        revenue * 100 / nullif(sum(revenue) over (partition by order_year), 0) as share_pct
-from (select order_year, brand, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+from (select order_year, brand, coalesce(fsum(final_amount_inr), 0) as revenue
       from sales where order_year is not null and brand is not null
       group by order_year, brand) c""")(_on_sales(R.brand_share_trend))
 
 register("festival_daily", rounding={"revenue": M2}, oracle="""
-select order_date, is_festival_sale, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue
+select order_date, is_festival_sale, coalesce(fsum(final_amount_inr), 0) as revenue
 from sales where order_date is not null and is_festival_sale is not null
 group by order_date, is_festival_sale""")(_on_sales(R.festival_daily))
 
@@ -270,7 +270,7 @@ _BAND = """case when discount_percent > -1 and discount_percent <= 0 then '0%'
 
 register("discount_bands", rounding={"revenue": M2}, oracle=f"""
 with b as (select {_BAND} as band, final_amount_inr, transaction_id from sales),
-     a as (select band, coalesce(cast(sum(cast(final_amount_inr as decimal(18,4))) as double), 0) as revenue,
+     a as (select band, coalesce(fsum(final_amount_inr), 0) as revenue,
                   count(transaction_id) as orders from b where band is not null group by band),
      l as (select * from (values ('0%', 0), ('1-10%', 1), ('11-20%', 2), ('21-30%', 3), ('30%+', 4))
            v(band, band_order))
@@ -316,7 +316,7 @@ register("delivery_histogram", rounding={"bin_lo": M6, "bin_hi": M6},
          oracle=_HIST.format(col="delivery_days", src="sales", bins=16))(_on_sales(R.delivery_histogram))
 
 register("aov_by_rating", rounding={"aov": M6}, oracle="""
-select round_even(customer_rating, 0) as rating, (cast(sum(cast(final_amount_inr as decimal(18,4))) as double) / count(final_amount_inr)) as aov
+select round_even(customer_rating, 0) as rating, (fsum(final_amount_inr) / count(final_amount_inr)) as aov
 from sales where customer_rating is not null group by 1""")(_on_sales(R.aov_by_rating))
 
 register("delivery_by_tier", rounding={"avg_delivery_days": M6}, oracle="""
@@ -366,9 +366,14 @@ where order_year between 1996 and 1999
     lambda s, d: R.global_filters(sales(s, d), FILTER_YEARS, FILTER_CATEGORIES, FILTER_TIERS)
     .select("transaction_id", "order_year", "category", "customer_tier", "final_amount_inr"))
 
-# A9 wide form: one column per category, a missing cell stays NULL (as pandas'
-# pivot_table leaves it missing).
-register("category_lifecycle_wide", oracle="""
-pivot (select order_year, category, count(transaction_id) as n from sales
-       where order_year is not null and category is not null group by order_year, category)
-on category using max(n) group by order_year""")(_on_sales(R.category_lifecycle_wide))
+# A9 wide form: one column per named category, the rest under Other; a missing cell
+# stays NULL (as pandas' pivot_table leaves it missing).
+_WIDE = ["ECONOMY", "LARGE", "PROMO", "SMALL"]
+
+register("category_lifecycle_wide", oracle="select order_year, " + ", ".join(
+    f"case when count(*) filter (where category {test}) > 0 "
+    f"then count(transaction_id) filter (where category {test}) end as \"{name}\""
+    for name, test in [*((c, f"= '{c}'") for c in _WIDE),
+                       ("Other", "not in (" + ", ".join(f"'{c}'" for c in _WIDE) + ")")])
+    + " from sales where order_year is not null and category is not null group by order_year")(
+    lambda s, d: R.category_lifecycle_wide(sales(s, d), _WIDE))

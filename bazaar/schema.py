@@ -28,7 +28,6 @@ CITY_CANONICAL: dict[str, str] = {
 }
 
 TRUE_TOKENS: list[str] = ["true", "yes", "y", "1", "1.0"]
-FALSE_TOKENS: list[str] = ["false", "no", "n", "0", "0.0"]
 BOOLEAN_COLUMNS: tuple[str, ...] = ("is_prime_member", "is_prime_eligible", "is_festival_sale")
 
 CATEGORY_CANONICAL: dict[str, str] = {
@@ -76,7 +75,6 @@ PAYMENT_METHODS: list[str] = [
     "UPI", "Credit Card", "Debit Card", "Net Banking",
     "Cash on Delivery", "EMI", "Wallet",
 ]
-AGE_GROUPS: list[str] = ["18-25", "26-35", "36-45", "46-55", "55+"]
 
 # city -> (state, tier)
 CITY_TIERS: dict[str, tuple[str, str]] = {
@@ -125,16 +123,6 @@ MONEY_DECIMAL = "decimal(38,10)"
 # Schemas
 # --------------------------------------------------------------------------- #
 
-RAW_COLUMNS: list[str] = [
-    "transaction_id", "customer_id", "product_id", "product_name", "category", "subcategory",
-    "brand", "product_rating", "order_date", "order_year", "original_price_inr",
-    "discount_percent", "final_amount_inr", "delivery_charges", "customer_city",
-    "customer_state", "customer_tier", "age_group", "is_prime_member", "payment_method",
-    "delivery_days", "return_status", "customer_rating", "is_festival_sale", "festival_name",
-    "customer_spending_tier",
-]
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
-
 _S, _D, _I, _B, _DT, _L = T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType(), T.DateType(), T.LongType()
 
 CLEAN_SCHEMA = T.StructType([
@@ -170,6 +158,11 @@ TIME_SCHEMA = T.StructType([
     T.StructField("month", _I), T.StructField("month_name", _S), T.StructField("day_of_week", _S),
 ])
 
+TABLE_SCHEMAS: dict[str, T.StructType] = {
+    "transactions": CLEAN_SCHEMA, "products": PRODUCTS_SCHEMA,
+    "customers": CUSTOMERS_SCHEMA, "time_dimension": TIME_SCHEMA,
+}
+
 # Primary keys of the warehouse tables (Spark does not enforce them).
 PRIMARY_KEYS: dict[str, list[str]] = {
     "transactions": ["transaction_id"],

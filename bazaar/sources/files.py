@@ -8,36 +8,35 @@
   the cleaning pipeline need it, and it does not depend on partitioning.
 * The clean fact is written partitioned by ``order_year`` (year filters
   prune directories) and sorted within files by category and city.
+* Every path goes through the Hadoop file system, so a path without a scheme
+  means the same to the driver and to Spark's readers.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bazaar.schema import NA_TOKENS, RAW_FILE_GLOB
+from bazaar.schema import CLEAN_SCHEMA, NA_TOKENS, RAW_FILE_GLOB, TABLE_SCHEMAS
 
 ORDER_COLUMNS = ["_file", "_line"]
+_BAD = "_bad_record"
 
 
-def _hadoop_glob(spark: SparkSession, pattern: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(conf)
-    stats = fs.globStatus(path) or []
-    return sorted(str(s.getPath().toString()) for s in stats)
+def _hadoop(spark: SparkSession, path: str):
+    """(Path, FileSystem) of a path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def raw_files(spark: SparkSession, source: str | list[str], pattern: str = RAW_FILE_GLOB) -> list[str]:
     if isinstance(source, list):
         return sorted(source)
-    if "://" in source:
-        return _hadoop_glob(spark, source.rstrip("/") + "/" + pattern)
-    return sorted(glob.glob(os.path.join(source, pattern)))
+    path, fs = _hadoop(spark, source.rstrip("/") + "/" + pattern)
+    return sorted(str(s.getPath().toString()) for s in (fs.globStatus(path) or []))
 
 
 def null_tokens(df: DataFrame, tokens: list[str] | None = None,
@@ -50,21 +49,32 @@ def null_tokens(df: DataFrame, tokens: list[str] | None = None,
 
 def _first_line(spark: SparkSession, path: str) -> str:
     """The header line of one file (a single short read)."""
-    if "://" not in path and not path.startswith("file:"):
-        with open(path, encoding="utf-8", errors="replace") as fh:
-            return fh.readline().rstrip("\r\n")
+    p, fs = _hadoop(spark, path)
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    stream = fs.open(p)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine() or ""
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
     finally:
         stream.close()
 
 
+def _whole_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Fails on a row with more fields than its header, or with an open quote (a
+    value with a line break, read line by line), instead of losing text. Shorter
+    rows are padded with NULL, as the source's reader does."""
+    bare = F.regexp_replace(_BAD, '"[^"]*"', "")
+    start = F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))
+    whole = (F.when(F.col(_BAD).isNull(), True)
+             .when(F.contains(bare, F.lit('"')), F.raise_error(F.concat(
+                 F.lit("line break inside quotes, read with multi_line=True; row starts with: "), start)))
+             .when(F.size(F.split(bare, ",")) > len(columns), F.raise_error(F.concat(
+                 F.lit(f"more than {len(columns)} fields; row starts with: "), start)))
+             .otherwise(True))
+    return df.where(whole).drop(_BAD)
+
+
 def read_raw(spark: SparkSession, source: str | list[str], pattern: str = RAW_FILE_GLOB,
-             tokens: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+             tokens: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """IO1-IO3: read every raw CSV (all columns as strings), union by name,
     null the NA tokens and keep (_file, _line) as the row order.
 
@@ -72,25 +82,35 @@ def read_raw(spark: SparkSession, source: str | list[str], pattern: str = RAW_FI
     scan, so the plan has one scan per distinct header, not one per file;
     the groups are then unioned by column name. ``_file`` is the path Spark
     reports for the row's file (files sort by path, as the source sorts its
-    glob) and ``_line`` increases with the position inside a file.
+    glob) and ``_line`` (start of the split, row within the scan) increases with the
+    position inside a file.
 
-    ``multi_line=True`` keeps quoted values with line breaks intact but reads
-    each file in one task; with values known to hold no line breaks,
-    ``multi_line=False`` lets large files split across tasks.
+    Large files split across tasks. Values with line breaks inside quotes need
+    ``multi_line=True``, which reads each file in one task; without it such a row
+    fails the read. A row with more fields than its header fails it in either mode.
     """
     files = raw_files(spark, source, pattern)
     if not files:
         raise FileNotFoundError(f"No raw transaction files matching {pattern} in {source}")
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        heads = list(pool.map(lambda path: _first_line(spark, path), files))
     groups: dict[str, list[str]] = {}
-    for path in files:
-        groups.setdefault(_first_line(spark, path), []).append(path)
+    for path, head in zip(files, heads):
+        groups.setdefault(head, []).append(path)
     frames = []
     for paths in groups.values():
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-              .option("mode", "PERMISSIVE").csv(paths))
-        frames.append(df.withColumn("_file", F.col("_metadata.file_path"))
-                        .withColumn("_line", F.monotonically_increasing_id()))
+        reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+                  .option("multiLine", multi_line).option("mode", "PERMISSIVE")
+                  # a pruned parse would not see how many fields a row has
+                  .option("columnPruning", False))
+        columns = reader.csv(paths[0]).columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
+        df = reader.option("columnNameOfCorruptRecord", _BAD).schema(schema).csv(paths)
+        frames.append(_whole_rows(df.withColumn("_file", F.col("_metadata.file_path"))
+                                  .withColumn("_block", F.col("_metadata.file_block_start")), columns)
+                      .withColumn("_line", F.struct(F.col("_block").alias("block"),
+                                                    F.monotonically_increasing_id().alias("row")))
+                      .drop("_block"))
     return null_tokens(union_years(frames), tokens)
 
 
@@ -102,11 +122,24 @@ def union_years(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The frame with its columns cast to the types ``schema`` declares."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[F.col(f"`{f.name}`").cast(types[f.name]).alias(f.name)
+                       if types.get(f.name, f.dataType) != f.dataType else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def write_clean(df: DataFrame, parquet_path: str, csv_path: str | None = None,
                 partition_by: str = "order_year") -> None:
-    """IO4/IO5: the clean fact as Parquet partitioned by year (and as CSV)."""
-    laid = df.sortWithinPartitions(*[c for c in (partition_by, "category", "customer_city")
-                                     if c in df.columns])
+    """IO4/IO5: the clean fact, in its declared types, as Parquet partitioned by
+    year (and as CSV). Rows are rebalanced by year first: writers of an even size,
+    a few files per year instead of one per task and year."""
+    laid = df = declared(df, CLEAN_SCHEMA)
+    if partition_by in df.columns:
+        laid = laid.hint("rebalance", F.col(partition_by))
+    laid = laid.sortWithinPartitions(*[c for c in (partition_by, "category", "customer_city")
+                                       if c in df.columns])
     writer = laid.write.mode("overwrite")
     if partition_by in df.columns:
         writer = writer.partitionBy(partition_by)
@@ -121,15 +154,19 @@ def write_report(report: DataFrame, csv_path: str) -> None:
         .write.mode("overwrite").option("header", True).csv(csv_path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a file, or a folder whose write has finished."""
+    p, fs = _hadoop(spark, path)
+    if not fs.exists(p):
+        return False
+    done, _ = _hadoop(spark, path.rstrip("/") + "/_SUCCESS")
+    return fs.getFileStatus(p).isFile() or fs.exists(done)
 
 
 def load_clean(spark: SparkSession, parquet_path: str, build=None) -> DataFrame:
-    """IO7: read the clean Parquet, or build it with ``build()`` and write it first."""
-    if not _exists(spark, parquet_path):
+    """IO7: read the clean Parquet, or build it with ``build()`` and write it first.
+    A folder that a failed write left behind is built again."""
+    if not is_complete(spark, parquet_path):
         if build is None:
             raise FileNotFoundError(parquet_path)
         write_clean(build(), parquet_path)
@@ -137,32 +174,41 @@ def load_clean(spark: SparkSession, parquet_path: str, build=None) -> DataFrame:
 
 
 def load_warehouse(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame],
-                   location: str, database: str | None = None, buckets: int = 16,
+                   location: str, database: str | None = None, buckets: int | None = None,
                    jdbc_url: str | None = None, jdbc_properties: dict | None = None) -> dict[str, str]:
-    """IO8/IO9: replace the fact and dimension tables.
-
-    The fact is partitioned by year and bucketed + sorted by customer_id, so
-    customer-keyed joins and aggregations read co-located buckets without a
-    shuffle. With ``jdbc_url`` the tables also go to a JDBC database in
-    10,000-row batches.
+    """IO8/IO9: replace the fact and dimension tables, in their declared types.
+
+    The fact is partitioned by year and laid out by ranges of customer_id, so a
+    customer filter skips files and row groups; a row hash ends the range key, so a
+    hot customer spans several files, and the number of files grows with the
+    shuffle partitions. With ``buckets`` it is bucketed + sorted by customer_id
+    instead: customer-keyed joins and aggregations then read co-located buckets
+    without a shuffle, in that many tasks, so choose the number for the data. With
+    ``jdbc_url`` the tables also go to a JDBC database in 10,000-row batches.
     """
     prefix = f"{database}." if database else ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = {}
-    # One writer per (bucket, slice): without this every input task writes a
-    # file for each (year, bucket) it holds (tasks x years x buckets files).
-    # Spark's bucket id is pmod(murmur3(customer_id), buckets), the same hash
-    # as F.hash; a hashed slice of the row spreads a hot customer's bucket
-    # over several writers (a bucket may hold several files).
-    slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
-    bucket = F.pmod(F.hash("customer_id"), F.lit(buckets))
-    slice_ = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(slices))
-    laid = fact.repartition(buckets * slices, bucket, slice_)
-    (laid.write.mode("overwrite").partitionBy("order_year")
-         .bucketBy(buckets, "customer_id").sortBy("customer_id")
-         .option("path", f"{location.rstrip('/')}/transactions")
-         .saveAsTable(f"{prefix}transactions"))
+    fact = declared(fact, TABLE_SCHEMAS["transactions"])
+    dims = {name: declared(df, TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else df for name, df in dims.items()}
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    if buckets:
+        # One writer per (bucket, slice): without this every input task writes a
+        # file for each (year, bucket) it holds (tasks x years x buckets files).
+        # Spark's bucket id is pmod(murmur3(customer_id), buckets), the same hash
+        # as F.hash; a hashed slice of the row spreads a hot customer's bucket
+        # over several writers (a bucket may hold several files).
+        slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
+        bucket = F.pmod(F.hash("customer_id"), F.lit(buckets))
+        laid = fact.repartition(buckets * slices, bucket, F.pmod(row_hash, F.lit(slices)))
+        writer = (laid.write.mode("overwrite").partitionBy("order_year")
+                  .bucketBy(buckets, "customer_id").sortBy("customer_id"))
+    else:
+        laid = (fact.repartitionByRange("order_year", "customer_id", row_hash)
+                .sortWithinPartitions("order_year", "customer_id"))
+        writer = laid.write.mode("overwrite").partitionBy("order_year")
+    writer.option("path", f"{location.rstrip('/')}/transactions").saveAsTable(f"{prefix}transactions")
     names["transactions"] = f"{prefix}transactions"
     for name, df in dims.items():
         df.write.mode("overwrite").option("path", f"{location.rstrip('/')}/{name}") \
@@ -185,6 +231,6 @@ def load_data(spark: SparkSession, table: str = "transactions", parquet_path: st
     """IO11: the warehouse table when present, else the clean Parquet."""
     if spark.catalog.tableExists(table):
         return spark.table(table)
-    if parquet_path and _exists(spark, parquet_path):
+    if parquet_path and is_complete(spark, parquet_path):
         return spark.read.parquet(parquet_path)
     raise FileNotFoundError("No data found: run the clean stage first")

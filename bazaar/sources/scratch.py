@@ -9,15 +9,38 @@ compressed data that later reads can prune and filter.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.session import ensure_checkpoint_dir
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def owned(spark: SparkSession):
+    """Intermediates written inside the block are deleted at its end, so results
+    must be written out within it. Threads join by running in a copy of the context."""
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/bazaar-{label}-{uuid.uuid4().hex}"
+    paths = _OWNED.get()
+    if paths is not None:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
