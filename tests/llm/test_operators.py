@@ -252,3 +252,40 @@ def test_pipeline_stages(spark, docs, tmp_path):
     left = C.drop_near_copies(spark, docs, str(tmp_path)).collect()
     assert {1, 2, 3} & {r["doc_id"] for r in left} == {1} and sum(r["doc_id"] == 14 for r in left) == 1
     assert {r["doc_id"] for r in C.run(spark, str(tmp_path)).collect()} == {r["doc_id"] for r in now.collect()}
+
+
+def test_hpy_contexts_are_words(spark):
+    """Each of 200 words is learned as a context of its own: its follower is nearly certain, in held-out texts too."""
+    from bazaar.llm.hpy_model import score_corpus
+    is_held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    rows = [(i, f"x{i % 200} y{i % 200}") for i in range(4000)]
+    scores = [r["score"] for r in score_corpus(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+              if is_held(r["doc_id"])]
+    # the first word has 1/200; a follower shared by 16 classes of contexts would add about -1
+    assert len(scores) > 400 and np.mean(scores) > math.log10(1 / 200) - 0.4
+
+
+def test_hpy_contexts_are_normalised(spark, monkeypatch):
+    """In every context, on a grid of four cells, the words and the unseen one add up to 1."""
+    from bazaar.llm import hpy_model as H
+    monkeypatch.setattr(H, "CELLS", 4.0)
+    is_held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    rng = np.random.default_rng(2)
+    vocab = [f"v{k}" for k in range(12)]
+    held, train = (iter([i for i in range(6000) if is_held(i) == k]) for k in (True, False))
+    rows = [(next(train), " ".join(vocab[int(k)] for k in rng.integers(0, 12, 8) * rng.integers(0, 2, 8))) for _ in range(300)]
+    rows += [(next(held), f"{a} {b}") for a in [*vocab, "unseen"] for b in [*vocab, "unseen"]] + [(next(held), "")]
+    asked, score_blocks = {}, H._score_blocks
+
+    def spy(blocks, answers, s, side):
+        assert side == 2
+        got = {r["cell"]: r for r in answers.collect()}
+        pairs = H.Pairs.read(blocks.collect()[0].asDict(), side)
+        for cell, i, j in zip(pairs.cells.tolist(), pairs.bounds, pairs.bounds[1:]):
+            for prev, p in zip(pairs.prev[i:j].tolist(), H._load(got[cell]["p"])[0]):
+                asked.setdefault(prev, []).append(float(p))
+        return score_blocks(blocks, answers, s, side)
+    monkeypatch.setattr(H, "_score_blocks", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert H.score_corpus(docs).count() == len(rows)
+    assert len(asked) == 14 and all(len(p) == 14 and abs(sum(p) - 1) < 1e-4 for p in asked.values())
