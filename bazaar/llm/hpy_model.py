@@ -7,11 +7,14 @@ contexts share what the root learns; a previous word never seen backs off to the
 
 The (previous word, word) counts lie in a square grid of cells, dealt by the hashes of both
 words, so a hot previous word and a hot word spread over a row and a column of cells, and the
-grid grows with the corpus. A sweep reseats the entries of each cell given the tables of
-their contexts and the root's probability of their words. Cells send their sums of tables
-to the row's and the column's totals, which come back in the cells' own order; a few
-numbers of the root reach the driver. Entries of one customer have one table and are not
-reseated. Draws are hashes of (cell, entry, sweep, step): a lost task repeats the
+grid grows with the corpus. Each entry's number of tables is kept from sweep to sweep. A sweep
+draws it anew given the other tables of its context (the totals less its own) and the root's
+probability of its word, all entries at once against the totals of the sweep before. The
+conditional is exact up to EXACT customers (generalised Stirling numbers); of a larger entry,
+the first EXACT customers are drawn so, and the others join in blocks with binomial draws. Cells
+send their sums of tables to the row's and the column's totals, which come back in the
+cells' own order; a few numbers of the root reach the driver. Entries of one customer
+have one table always. Draws are seeded by (cell, sweep): a lost task repeats the
 same draws. The score averages the predictive probabilities of the kept sweeps.
 
 The corpus is tokenised once, into blocks of documents with their distinct words. A block
@@ -25,6 +28,7 @@ import struct
 import uuid
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +39,12 @@ from bazaar.llm.common import map_arrow, materialize, with_defaults
 from bazaar.llm.textops import U64, mix, word_chunks
 
 CLASSES = 16            # hash classes of the previous word, of the class restaurants below; not used by score_corpus
-SWEEPS = 3              # Gibbs sweeps; the first BURN_IN are not averaged
+SWEEPS = 4              # Gibbs sweeps; the first BURN_IN are not averaged
 BURN_IN = 1
 INNER = 2               # passes between a word's classes and its root seating in a sweep
 BLOCK_BYTES = 20 << 20  # text per block, about (one longer text is a block of its own)
 CELLS = 1.0             # cells per block, at least
+EXACT = 256             # customers of an entry up to which its tables are drawn from their exact conditional
 STRENGTH = 1.0          # strength of every restaurant
 _LOW = 5                # low bits of a word hash that are left free for a class
 END = U64(0x9D39247E33776D41) >> U64(_LOW) << U64(_LOW)
@@ -297,6 +302,46 @@ def predictive(vocab: DataFrame, kept: list[tuple[int, Totals, Totals]], s: Sett
 # --------------------------------------------------------------------------- #
 # One restaurant per previous word
 # --------------------------------------------------------------------------- #
+@lru_cache(maxsize=4)
+def _log_stirling(discount: float, most: int) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers S(n, t): seatings of n customers at t tables."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[1, 1] = 0.0
+    for n in range(1, most):
+        t = np.arange(1, n + 1)
+        out[n + 1, 1:n + 1] = np.logaddexp(out[n, :n], np.log(n - discount * t) + out[n, 1:n + 1])
+        out[n + 1, n + 1] = out[n, n]
+    return out
+
+
+def resample(n: np.ndarray, rest: np.ndarray, p: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of entries of n customers, given ``rest`` other tables in the restaurant and the parent's probability p.
+
+    P(t) is in proportion to S(n, t) p^t times the weights STRENGTH + discount * (rest + k) of the t openings.
+    """
+    first = np.minimum(n, EXACT)
+    table = _log_stirling(discount, EXACT)
+    out, u = np.minimum(n, 1).astype(np.float64), rng.random(len(n))
+    order = np.argsort(first, kind="stable")
+    sizes, begin = np.unique(first[order], return_index=True)
+    for m, i, j in zip(sizes.tolist(), begin, np.append(begin[1:], len(n))):
+        for at in range(i, j, max(1, (1 << 20) // max(m, 1))) if m > 1 else ():
+            some = order[at:min(j, at + (1 << 20) // m)]
+            opened = np.log(p[some, None] * (STRENGTH + discount * (rest[some, None] + np.arange(m))))
+            weight = table[m, 1:m + 1] + np.cumsum(opened, 1)
+            weight = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), 1)
+            out[some] = 1 + (weight < u[some, None] * weight[:, -1:]).sum(1)
+    live, seated = np.flatnonzero(n > EXACT), first.astype(np.float64)
+    while len(live):
+        m, t = seated[live], out[live]
+        size = np.minimum(np.floor(m / 32), n[live] - m)
+        fresh = (STRENGTH + discount * (rest[live] + t)) * p[live]
+        out[live] = t + rng.binomial(size.astype(np.int64), fresh / (fresh + m - discount * t))
+        seated[live] = m + size
+        live = live[seated[live] < n[live]]
+    return out
+
+
 def _dump(*arrays: np.ndarray) -> bytes:
     """Arrays by byte planes, compressed."""
     out = []
@@ -356,21 +401,33 @@ class Pairs:
         b = Block.read(row)
         vocab = np.frombuffer(row["vocab"], np.int64).view(U64)
         order = np.argsort(vocab)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         hashes = np.append(vocab[order], START)
         tokens = rank[b.tokens]
         prev = np.empty_like(tokens)
         prev[1:] = tokens[:-1]
         prev[b.bounds[:-1]] = len(order)
-        code, at = np.unique(prev * len(order) + tokens, return_inverse=True)
-        first, second = hashes[code // len(order)], hashes[code % len(order)]
-        cell = _slot(first, side) * side + _slot(second, side)
-        by = np.argsort(cell, kind="stable")
-        place = np.empty(len(by), np.int64)
-        place[by] = np.arange(len(by))
-        cells, begin = np.unique(cell[by], return_index=True)
-        return Pairs(b, place[at], first[by], second[by], cells, np.append(begin, len(by)))
+        slot = _slot(hashes, side).astype(np.int32)
+        place = np.empty(len(tokens), np.int32)
+        prevs, words, cells, bounds, done = [], [], [], [], 0
+        line = slot[prev]
+        for i in range(side):       # a row of the grid at a time keeps the sorts small
+            here = np.flatnonzero(line == i)
+            code, at = np.unique(prev[here].astype(np.int64) * len(order) + tokens[here], return_inverse=True)
+            first, second = code // len(order), code % len(order)
+            by = np.argsort(slot[second], kind="stable")
+            to = np.empty(len(by), np.int32)
+            to[by] = np.arange(done, done + len(by), dtype=np.int32)
+            place[here] = to[at]
+            column, begin = np.unique(slot[second][by], return_index=True)
+            prevs.append(hashes[first[by]])
+            words.append(hashes[second[by]])
+            cells.append(i * side + column)
+            bounds.append(done + begin)
+            done += len(by)
+        return Pairs(b, place, np.concatenate(prevs), np.concatenate(words), np.concatenate(cells),
+                     np.append(np.concatenate(bounds), done))
 
 
 _PIECE = "cell int, block long, piece binary"
@@ -503,14 +560,15 @@ def _down(axes: DataFrame, up: DataFrame | None, root: Root, s: Settings, side:
     """Per axis and cell: the tables of its contexts, or its words' root customers and tables; and the root's totals.
 
     ``up`` has the cells' sums of tables; without it every entry has one table."""
-    fresh = (STRENGTH + s.root_discount * root.tables) * (1 - s.unseen) / max(1, s.words)
+    base = (1 - s.unseen) / max(1, s.words)
 
     def answer(axis: int, cells: list, places: list, sums: np.ndarray) -> pa.Table:
         if axis < side:
             out, totals = [_dump(sums[a].astype(np.uint32)) for a in places], (None, None)
         else:
-            salt = np.arange(len(sums), dtype=U64) + U64(axis << 40)
-            tables = seat(sums.astype(np.float64), np.full(len(sums), fresh), s.root_discount, mix(salt), 4 * sweep + 2)
+            # a word's own tables hardly count among the root's
+            tables = resample(sums, np.full(len(sums), max(0.0, root.tables - 1)), np.full(len(sums), base), s.root_discount,
+                              np.random.default_rng([sweep, 1, axis]))
             out = [_dump(sums[a].astype(np.uint32), tables[a].astype(np.uint32)) for a in places]
             totals = int(sums.sum()), int(tables.sum())
         return pa.Table.from_batches([_rows(_DOWN, [
@@ -543,31 +601,37 @@ _SEATED = "cell int, axis int, t binary, sums binary"
 
 
 def _active(cells: DataFrame) -> DataFrame:
-    """Per cell: its entries of more than one customer (number, context, word, count), and the tables of the others."""
+    """Per cell: its entries of more than one customer (context, word, count), and the tables of the others."""
     def run(batch):
         for cell, raw in zip(batch.column("cell").to_pylist(), batch.column("pairs").to_pylist()):
             prevs, words, prev, word, n = _entries_of(raw)
             live, one = np.flatnonzero(n > 1), (n == 1).astype(np.float64)
-            yield _rows(_ACTIVE, [(cell, _dump(_steps(live.astype(np.uint32)), _steps(prev[live].astype(np.uint32)), word[live], n[live]),
+            yield _rows(_ACTIVE, [(cell, _dump(_steps(prev[live].astype(np.uint32)), word[live], n[live]),
                                    _dump(_sums(prev, one, len(prevs)).astype(np.uint32), _sums(word, one, len(words)).astype(np.uint32)))])
     return map_arrow(cells.where("pairs is not null").select("cell", "pairs"), run, _ACTIVE)
 
 
-def _seated(active: DataFrame, down: DataFrame, root: Root, s: Settings, side: int, sweep: int) -> DataFrame:
-    """A sweep: per cell the tables of its active entries, and its sums of tables for its row and its column."""
+def _seated(active: DataFrame, before: DataFrame | None, down: DataFrame, root: Root, s: Settings, side: int, sweep: int) -> DataFrame:
+    """A sweep: per cell the tables of its active entries, and its sums of tables for its row and its column.
+
+    ``before`` has the entries' tables after the last sweep; without it every entry has one."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         own = left.to_pylist()[0]
         cell = own["cell"]
-        live, prev, word, n = _load(own["part"])
-        live, prev = np.cumsum(live, dtype=U64), np.cumsum(prev, dtype=np.int64)
+        prev, word, n = _load(own["part"])
+        prev = np.cumsum(prev, dtype=np.int64)
         by_prev, by_word = _load(own["fixed"])
-        tables, p = _answers(right.to_pylist(), root, s, side)
-        fresh = (STRENGTH + s.discount * tables[prev]) * p[word]
-        t = seat(n.astype(np.float64), fresh, s.discount, mix(live + U64(cell << 32)), 4 * sweep + 1)
+        rows = right.to_pylist()
+        tables, p = _answers([r for r in rows if r["t"] is None], root, s, side)
+        past = next((_load(r["t"])[0] for r in rows if r["t"] is not None), np.ones(len(n)))
+        t = resample(n, tables[prev] - past, p[word], s.discount, np.random.default_rng([sweep, 0, cell]))
         sums = [(cell // side, by_prev + _sums(prev, t, len(by_prev))), (side + cell % side, by_word + _sums(word, t, len(by_word)))]
         return pa.Table.from_batches([_rows(_SEATED, [(cell, None, _dump(t.astype(np.uint32)), None)] + [
             (cell, axis, None, _dump(v.astype(np.int64))) for axis, v in sums])])
-    return active.groupBy("cell").cogroup(down.select("cell", "axis", "sums").groupBy("cell")).applyInArrow(run, _SEATED)
+    facts = down.select("cell", "axis", "sums", F.lit(None).cast("binary").alias("t"))
+    if before is not None:
+        facts = facts.unionByName(before.where("t is not null").select("cell", "axis", "sums", "t"))
+    return active.groupBy("cell").cogroup(facts.groupBy("cell")).applyInArrow(run, _SEATED)
 
 
 def _answers(rows: list[dict], root: Root, s: Settings, side: int) -> tuple[np.ndarray, np.ndarray]:
@@ -619,6 +683,7 @@ _SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, tr
 
 def _score_blocks(blocks: DataFrame, answers: DataFrame, s: Settings, side: int) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         pairs = Pairs.read(left.to_pylist()[0], side)
         b = pairs.block
         got = {r["cell"]: r for r in right.to_pylist()}
@@ -627,6 +692,8 @@ def _score_blocks(blocks: DataFrame, answers: DataFrame, s: Settings, side: int)
             p[i:j] = _load(got[cell]["p"])[0]
             _, at = np.unique(pairs.word[i:j], return_inverse=True)
             count[i:j] = _load(got[cell]["counts"])[0][at]
+        del got
+        pairs.prev = pairs.word = None
         begin = b.bounds[:-1]
         score = np.add.reduceat(np.log10(p)[pairs.place], begin)
         base = np.add.reduceat(np.log10((count + 1) / (s.tokens + s.words + 1))[pairs.place], begin)
@@ -659,9 +726,9 @@ def score_corpus(docs: DataFrame, modulus: int = 7, held: int = 2, sweeps: int =
     s = _corpus_settings(cells, axes, side)
     active = materialize(_active(cells), "active-pairs")
     down, root = _down(axes, None, Root(s.words, s.words), s, side, 0)
-    kept = []
+    kept, seated = [], None
     for sweep in range(1, sweeps + 1):
-        seated = materialize(_seated(active, down, root, s, side, sweep), "seated-pairs")
+        seated = materialize(_seated(active, seated, down, root, s, side, sweep), "seated-pairs")
         down, root = _down(axes, seated.where("axis is not null").select("axis", "cell", "sums"), root, s, side, sweep)
         if sweep > burn_in:
             kept.append((down, seated, root))

@@ -289,3 +289,35 @@ def test_hpy_contexts_are_normalised(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert H.score_corpus(docs).count() == len(rows)
     assert len(asked) == 14 and all(len(p) == 14 and abs(sum(p) - 1) < 1e-4 for p in asked.values())
+
+
+def test_hpy_resample_is_the_conditional():
+    """The tables of an entry follow S(n, t) p^t times the opening weights, by brute force over all seatings."""
+    from bazaar.llm import hpy_model as H
+    d, p, rest, n, draws = 0.6, 0.3, 4.0, 5, 200_000
+
+    def seatings(sizes, left):
+        """Weights of all seatings of the customers left: by tables."""
+        if not left:
+            return Counter({len(sizes): 1.0})
+        out = seatings([*sizes, 1], left - 1)
+        out = Counter({t: w * p * (H.STRENGTH + d * (rest + len(sizes))) for t, w in out.items()})
+        for k, size in enumerate(sizes):
+            for t, w in seatings(sizes[:k] + [size + 1] + sizes[k + 1:], left - 1).items():
+                out[t] += w * (size - d)
+        return out
+    want = seatings([], n)
+    got = Counter(H.resample(np.full(draws, n), np.full(draws, rest), np.full(draws, p), d, np.random.default_rng(1)).tolist())
+    assert all(abs(got[t] / draws - w / sum(want.values())) < 0.005 for t, w in want.items())
+    large = H.resample(np.array([1, 300, 10**6]), np.zeros(3), np.full(3, 1e-3), d, np.random.default_rng(1))
+    assert large[0] == 1 and (large >= 1).all() and (large <= [1, 300, 10**6]).all()
+
+
+def test_hpy_sweeps_keep_tables(spark, monkeypatch):
+    """A sweep draws given the other tables: the context's total less the entry's own of the sweep before."""
+    from bazaar.llm import hpy_model as H
+    seen, seated = [], H._seated
+    monkeypatch.setattr(H, "_seated", lambda active, before, *rest: seen.append(before) or seated(active, before, *rest))
+    docs = spark.createDataFrame([(i, "a b a b c a") for i in range(50)], "doc_id long, text string").coalesce(1)
+    assert H.score_corpus(docs).count() == 50
+    assert len(seen) == H.SWEEPS == 4 and seen[0] is None and all(b.where("t is not null").count() == 1 for b in seen[1:])
