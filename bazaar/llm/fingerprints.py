@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs (lines, cut further at some sentence ends) are hashed; the sketch adds
+A text's paragraphs (lines, cut further at sentence ends) are hashed; the sketch adds
 each distinct digest to three cells. A cell is the XOR of its digests, and a
 digest carries 24 check bits, which tell a cell that holds one digest from any other. Two
 versions' cells subtract (XOR) to the sketch of their differing digests, and peeling
@@ -17,9 +17,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# a line end, or a sentence end before a capital of the alphabet's first letters: a cut
+# a line end, or a sentence end: a stop and a space, or a full-width stop, which no space follows. A cut
 # depends on the text around it alone, so it stays where it is when other parts change
-_PARAGRAPH = r"\n+|(?<=[.!?]) (?=[A-F])"
+_PARAGRAPH = r"\n+|(?<=[.!?\u2026\u061f\u06d4\u0964\u0965]) |(?<=[\u3002\uff01\uff1f\uff61])"
 _CHECK = 0xFFFFFF       # check bits of a digest
 _WIDTH = 8              # cells per hash function of a sketch, a power of two
 _LOAD = 4               # digests of the larger version per sub-sketch, at most

@@ -321,3 +321,11 @@ def test_hpy_sweeps_keep_tables(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a b a b c a") for i in range(50)], "doc_id long, text string").coalesce(1)
     assert H.score_corpus(docs).count() == 50
     assert len(seen) == H.SWEEPS == 4 and seen[0] is None and all(b.where("t is not null").count() == 1 for b in seen[1:])
+
+
+def test_fingerprints_cut_at_every_sentence(spark):
+    """Sentences that start with any letter, or in other scripts, are paragraphs of their own."""
+    from bazaar.llm import fingerprints as P
+    texts = ["One here. Two there! so it is? Zebra.\nLast. ", "Раз. Два! Три? Четыре.", "一。二！三？四。", "एक। दो। तीन।", "واحد؟ اثنان۔ ثلاثة."]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in df.select(P.F.size(P.digests(P.F.col("text")))).collect()] == [5, 4, 4, 3, 3]
