@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from bazaar.functions import discount_band, flag_label, format_inr, money_avg, money_sum, period_label
 from bazaar.operators import stats
-from bazaar.schema import CATEGORIES, DISCOUNT_BANDS
+from bazaar.schema import DISCOUNT_BANDS
 
 AMOUNT = "final_amount_inr"
 CORR_COLUMNS = ["final_amount_inr", "discount_percent", "delivery_days",
@@ -246,10 +246,11 @@ def category_lifecycle(df: DataFrame) -> DataFrame:
 
 
 def category_lifecycle_wide(df: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """Wide variant for display: one column per named category (default: the fixed
-    list) and Other for the rest, so the columns need no job and have no cap. A year
+    """Wide variant for display: one column per named category and Other for the rest.
+    By default every category present has a column (one job finds them). A year
     without a category's rows has NULL there."""
-    names = categories or CATEGORIES
+    names = categories or sorted(r[0] for r in _nn(df, "order_year", "category").where("category <> 'Other'")
+                                .select("category").distinct().collect())
     known = F.col("category").isin(*names)
     seen = F.when(F.col("transaction_id").isNotNull(), 1).otherwise(0)
     return _nn(df, "order_year", "category").groupBy("order_year").agg(

@@ -368,7 +368,7 @@ where order_year between 1996 and 1999
 
 # A9 wide form: one column per named category, the rest under Other; a missing cell
 # stays NULL (as pandas' pivot_table leaves it missing).
-_WIDE = ["ECONOMY", "LARGE", "PROMO", "SMALL"]
+_WIDE = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 register("category_lifecycle_wide", oracle="select order_year, " + ", ".join(
     f"case when count(*) filter (where category {test}) > 0 "

@@ -83,3 +83,16 @@ def test_payment_share_has_no_pivot_cap(spark, frame):
     finally:
         spark.conf.set("spark.sql.pivotMaxValues", prev)
     assert {r.payment_method for r in rows} == {"UPI", "Card", "COD"}
+
+
+def test_category_lifecycle_wide_keeps_every_category(spark):
+    from conftest import SF_SMALL
+    from bazaar.plans import report_queries as Q
+    from bazaar.sources.tables import sales
+    rows = [(f"T{i}", 2015 + i % 2, f"c{i % 10}") for i in range(40)]
+    wide = R.category_lifecycle_wide(spark.createDataFrame(rows, "transaction_id string, order_year int, category string"))
+    assert wide.columns == ["order_year", *(f"c{k}" for k in range(10)), "Other"]
+    assert all(r["Other"] is None for r in wide.collect())
+    fact = sales(spark, SF_SMALL)
+    assert {r[0] for r in fact.select("category").distinct().collect() if r[0]} <= set(Q._WIDE)
+    assert all(r["Other"] is None for r in R.category_lifecycle_wide(fact, Q._WIDE).collect())
