@@ -344,7 +344,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     n = np.array([len(x) for x in sets])
     universe, at = np.unique(np.concatenate(sets), return_inverse=True)
     row = np.repeat(np.arange(len(sets)), n)
-    common = np.zeros((len(sets), len(sets)), np.float32)
+    common = np.zeros((len(sets), len(sets)), np.int64)     # callers multiply it: float32 would round
     order = np.argsort(at, kind="stable")
     at, row = at[order], row[order]
     width = min(1 << 13, len(universe))
@@ -352,7 +352,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
         i, j = np.searchsorted(at, [first, first + width])
         part = np.zeros((len(sets), width), np.float32)
         part[row[i:j], at[i:j] - first] = 1
-        common += part @ part.T
+        common += (part @ part.T).astype(np.int64)
     return common
 
 

@@ -329,3 +329,10 @@ def test_fingerprints_cut_at_every_sentence(spark):
     texts = ["One here. Two there! so it is? Zebra.\nLast. ", "Раз. Два! Три? Четыре.", "一。二！三？四。", "एक। दो। तीन।", "واحد؟ اثنان۔ ثلاثة."]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [r[0] for r in df.select(P.F.size(P.digests(P.F.col("text")))).collect()] == [5, 4, 4, 3, 3]
+
+
+def test_jaccard_overlaps_are_exact():
+    """The bound of two sets of 100,001 common shingles is not rounded."""
+    from bazaar.llm.jaccard_join import overlaps
+    a = np.arange(100_001, dtype=np.uint64)
+    assert int(overlaps([a, a])[0, 1] * (100 + 85)) == 100_001 * 185
