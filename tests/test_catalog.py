@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from bazaar.plans import catalog
 from bazaar.sources.tables import TABLES
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 QUERIES = catalog.queries()
 ORACLES = catalog.oracle_sql()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from bazaar.operators import clean as C
 from bazaar.operators import inject as G
 from bazaar.schema import CATEGORY_VARIANTS, CITY_VARIANTS, PAYMENT_VARIANTS
-from conftest import SF_CHECK
+from sf_paths import SF_CHECK
 
 WINDOW = ("1995-01-01", "2001-12-31")
 

@@ -9,7 +9,7 @@ from bazaar.operators import inject as G
 from bazaar.plans import pipeline as P
 from bazaar.sources import files as IO
 from bazaar.sources.tables import sales
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def _write_year_csv(df, path):

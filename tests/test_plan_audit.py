@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from sf_paths import SF_SMALL  # noqa: E402
 from plan_audit import outside_codegen  # noqa: E402
 
 

@@ -86,7 +86,7 @@ def test_payment_share_has_no_pivot_cap(spark, frame):
 
 
 def test_category_lifecycle_wide_keeps_every_category(spark):
-    from conftest import SF_SMALL
+    from sf_paths import SF_SMALL
     from bazaar.plans import report_queries as Q
     from bazaar.sources.tables import sales
     rows = [(f"T{i}", 2015 + i % 2, f"c{i % 10}") for i in range(40)]
