@@ -127,3 +127,32 @@ select query_id, rank, neighbor_id, distance from ranked where rank <= 10
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.hamming_search import embedding_top_k
     return embedding_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SEARCH_SQL = r"""
+with doc as (
+  select doc_id, row_number() over () as r, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+  from documents where text is not null),
+corpus as (select count(*)::bigint as cn, sum(len(t))::bigint as cl from doc where len(t) > 0),
+tf as (select r, doc_id, n, t, count(*)::bigint as tf
+  from (select r, doc_id, len(t)::bigint as n, unnest(t) as t from doc) group by all),
+item as (select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t
+  from benchmark),
+weight as (select t, floor(1000 * ln((2 * cn + 2) / (2 * count(*) + 1)))::bigint as w
+  from tf, corpus group by t, cn),
+scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * cn) // cl)))))::bigint as score
+  from item join tf using (t) join weight using (t), corpus group by item_id, doc_id, r)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= 50
+"""
+
+
+@_query("op13_lexical_search", SEARCH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.lexical_search import rank_documents
+    return rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
