@@ -156,3 +156,15 @@ from scored where score > 0 qualify rank <= 50
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bazaar.llm.lexical_search import rank_documents
     return rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@_query("op12_spelling_groups")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.spelling_groups import spelling_groups
+    return spelling_groups(documents(spark, sf_dir))
+
+
+@_query("op11_html_text")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bazaar.llm.html_text import extract
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
