@@ -6,11 +6,12 @@ from bazaar.functions.parse import (
     parse_date, parse_price, parse_rating, parse_delivery_days, to_bool,
 )
 from bazaar.functions.fmt import (
-    discount_band, format_inr, flag_label, period_label, money_avg, money_sum,
+    discount_band, format_inr, flag_label, human_int, money_avg, money_parts, money_sum, money_total, period_label,
 )
 
 __all__ = [
     "strip_ws", "title_case", "canonical_lookup",
     "parse_date", "parse_price", "parse_rating", "parse_delivery_days", "to_bool",
-    "discount_band", "format_inr", "flag_label", "period_label", "money_sum", "money_avg",
+    "discount_band", "format_inr", "flag_label", "human_int", "period_label",
+    "money_avg", "money_parts", "money_sum", "money_total",
 ]

@@ -47,19 +47,43 @@ def period_label(year: Column | str, quarter: Column | str) -> Column:
                        _col(quarter).cast("int").cast("string"))
 
 
+def human_int(c: Column | str) -> Column:
+    """Short display of a number: '1.23 Cr' from 1e7, '2.50 L' from 1e5, '1.5 K' from 1e3 on (by
+    absolute value), else without decimals."""
+    x = _col(c).cast("double")
+    size = F.abs(x)
+    return (F.when(size >= 1e7, F.concat(_fixed2(x / 1e7), F.lit(" Cr")))
+             .when(size >= 1e5, F.concat(_fixed2(x / 1e5), F.lit(" L")))
+             .when(size >= 1e3, F.concat(F.call_function("format_number", x / 1e3, F.lit("0.0")), F.lit(" K")))
+             .otherwise(F.call_function("format_number", x, F.lit("0"))))
+
+
+def money_parts(c: Column | str) -> tuple[Column, Column]:
+    """Two aggregates whose parts add up and merge: the exact sum of ordinary amounts as
+    DECIMAL(38,10), and the plain sum of all others (infinite, from 1e17 on, or below 1e-4 but not 0),
+    which that type cannot hold. NaN counts as missing."""
+    x = _col(c).cast("double")
+    size = F.abs(x)
+    ordinary = (size == 0) | ((size >= 1e-4) & (size < 1e17))
+    return (F.sum(F.when(ordinary, x.cast(MONEY_DECIMAL))),
+            F.sum(F.when(~ordinary & ~F.isnan(x), x)))
+
+
+def money_total(exact: Column, odd: Column) -> Column:
+    """The amount that :func:`money_parts` stand for, as DOUBLE; NULL when there was none."""
+    exact = exact.cast("double")
+    return F.when(odd.isNull(), exact).otherwise(odd + F.coalesce(exact, F.lit(0.0)))
+
+
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of amounts: each finite value is cast to DECIMAL(38,10) and
+    """Exact sum of amounts: each ordinary value is cast to DECIMAL(38,10) and
     summed without rounding error, so the total does not depend on
     partitioning, merge order or task retries; returned as DOUBLE like the
-    amounts themselves. NaN and infinite amounts are kept as a plain sum keeps them."""
-    x = _col(c).cast("double")
-    finite = ~F.isnan(x) & (F.abs(x) != float("inf"))
-    exact = F.sum(F.when(finite, x.cast(MONEY_DECIMAL))).cast("double")
-    odd = F.sum(F.when(~finite, x))
-    return F.when(odd.isNull(), exact).otherwise(odd)
+    amounts themselves. Infinite, huge and tiny amounts are added plainly, NaN is missing."""
+    return money_total(*money_parts(c))
 
 
 def money_avg(c: Column | str) -> Column:
-    """Mean amount from the exact sum and the count of non-NULL amounts
+    """Mean amount from the exact sum and the count of amounts present
     (NULL for an empty group), so it is as deterministic as ``money_sum``."""
-    return money_sum(c) / F.count(_col(c))
+    return money_sum(c) / F.count(F.nanvl(_col(c).cast("double"), F.lit(None)))

@@ -115,14 +115,16 @@ def distinct_count(c: str, approx: bool = False, rsd: float = 0.05) -> Column:
 
 
 def histogram(df: DataFrame, value: str, bins: int, lo: Column | None = None,
-              hi: Column | None = None) -> DataFrame:
+              hi: Column | None = None, weight: str | None = None) -> DataFrame:
     """Equal-width histogram over [min, max] with ``bins`` bins, the last one
-    closed (numpy semantics). Every bin is returned, empty ones with 0.
+    closed (numpy semantics). Every bin is returned, empty ones with 0. ``weight`` names
+    the number of rows that a row stands for.
 
     Columns: bin (0-based), bin_lo, bin_hi, count.
     """
     v = F.col(value)
-    vals = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).select(v.cast("double").alias("_x"))
+    vals = df.where(v.isNotNull() & ~F.isnan(v.cast("double"))).select(
+        v.cast("double").alias("_x"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
     if lo is None or hi is None:
         # one scalar subquery (one pass) for both ends of the range
         rng = vals.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
@@ -135,7 +137,7 @@ def histogram(df: DataFrame, value: str, bins: int, lo: Column | None = None,
     norm = F.lit(float(bins)) / (hi_ - lo_)
     idx = F.least(F.floor((F.col("_x") - lo_) * norm).cast("int"), F.lit(bins - 1))
     counts = vals.where((F.col("_x") >= lo_) & (F.col("_x") <= hi_)) \
-                 .groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+                 .groupBy(idx.alias("bin")).agg((F.sum("_w") if weight else F.count(F.lit(1))).alias("count"))
     grid = vals.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = grid.join(counts, "bin", "left").select(
         "bin", (lo_ + F.col("bin") * width).alias("bin_lo"),

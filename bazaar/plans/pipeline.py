@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.operators import clean as C
 from bazaar.operators import dims as D
-from bazaar.operators.reports import EDA_QUESTIONS
+from bazaar.operators.report_states import ReportStates
+from bazaar.operators.reports import EDA_QUESTIONS, NOT_ADDITIVE
 from bazaar.schema import RAW_FILE_GLOB
 from bazaar.sources import files as IO
 from bazaar.sources.scratch import owned
@@ -25,9 +26,11 @@ STAGES = ["clean", "eda", "db"]
 
 
 def run_all(df: DataFrame, sink: Callable[[str, DataFrame], None] | None = None,
-            questions: dict | None = None, parallel: int = 1) -> dict[str, DataFrame | Exception]:
-    """Q21: build (and, with ``sink``, materialise) every EDA question; a
-    failing question is logged and recorded, the others still run.
+            questions: dict | None = None, parallel: int = 1,
+            states: ReportStates | None = None) -> dict[str, DataFrame | Exception]:
+    """Q21: build (and, with ``sink``, materialise) every table of the EDA questions; a
+    failing question is logged and recorded, the others still run. With ``states`` the
+    additive ones are answered from them, so that together they need the fact once.
 
     ``parallel > 1`` submits that many questions at once from driver
     threads (Spark schedules jobs from several threads side by side), so the
@@ -37,7 +40,7 @@ def run_all(df: DataFrame, sink: Callable[[str, DataFrame], None] | None = None,
 
     def one(name: str, fn) -> DataFrame | Exception:
         try:
-            res = fn(df)
+            res = fn(df if states is None or name in NOT_ADDITIVE else states)
             if sink is not None:
                 sink(name, res)
             return res
@@ -85,7 +88,8 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, stages: list[str] | Non
             elif stage == "eda":
                 def sink(name: str, frame: DataFrame) -> None:
                     frame.write.mode("overwrite").parquet(f"{out}/eda/{name}")
-                ran = run_all(load(), sink, parallel=parallel)
+                fact = load()
+                ran = run_all(fact, sink, parallel=parallel, states=ReportStates.build(fact))
                 results["eda"] = {name: res if isinstance(res, Exception) else spark.read.parquet(f"{out}/eda/{name}")
                                   for name, res in ran.items()}
             elif stage == "db":

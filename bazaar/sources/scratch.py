@@ -35,13 +35,13 @@ def owned(spark: SparkSession):
             p.getFileSystem(conf).delete(p, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/bazaar-{label}-{uuid.uuid4().hex}"
     paths = _OWNED.get()
     if paths is not None:
         paths.append(path)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.parquet(path)
 
 

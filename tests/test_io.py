@@ -216,7 +216,7 @@ def test_stages_compute_the_clean_fact_and_leave_no_intermediates(spark, scratch
     base = ensure_checkpoint_dir(spark).removeprefix("file:")
     before = set(os.listdir(base)) if os.path.isdir(base) else set()
     res = P.run(spark, raw_dir, os.path.join(scratch, "out"), stages=["eda"], window=("1995-01-01", "2001-12-31"))
-    assert len(res["eda"]) == 20 and not any(isinstance(v, Exception) for v in res["eda"].values())
+    assert len(res["eda"]) == 25 and not any(isinstance(v, Exception) for v in res["eda"].values())
     assert not {f for f in set(os.listdir(base)) - before if f.startswith("bazaar-")}
 
 

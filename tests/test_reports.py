@@ -90,7 +90,8 @@ def test_category_lifecycle_wide_keeps_every_category(spark):
     from bazaar.plans import report_queries as Q
     from bazaar.sources.tables import sales
     rows = [(f"T{i}", 2015 + i % 2, f"c{i % 10}") for i in range(40)]
-    wide = R.category_lifecycle_wide(spark.createDataFrame(rows, "transaction_id string, order_year int, category string"))
+    wide = R.category_lifecycle_wide(spark.createDataFrame([(*r, 1.0) for r in rows], "transaction_id string, order_year int, category string, "
+                                                           "final_amount_inr double"), [f"c{k}" for k in range(10)])
     assert wide.columns == ["order_year", *(f"c{k}" for k in range(10)), "Other"]
     assert all(r["Other"] is None for r in wide.collect())
     fact = sales(spark, SF_SMALL)
