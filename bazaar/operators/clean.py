@@ -101,8 +101,8 @@ def fix_price_outliers(df: DataFrame, price_col: str = "original_price_inr",
     """CL9: a price above 50 x its category's median is a decimal-point error
     and is divided by 100 (NULL category or a median <= 0: untouched).
 
-    The exact median per category comes from the range-sliced quantile job,
-    so a category holding most rows is still split across many tasks;
+    The exact median per category comes from the radix selection job, so a
+    category holding most rows is still counted in many tasks;
     ``approx=True`` takes the bounded-memory sketch median instead."""
     if category_col not in df.columns:
         return df
@@ -238,20 +238,23 @@ def clean_pipeline(raw: DataFrame, window: tuple[str, str] | None = DEFAULT_DATE
     cat_med = meds.where(F.col("_m") == "price").select(
         F.col("_k").alias("category"), F.col("_med").alias("_cmed"))
     deliv_med = meds.where(F.col("_m") == "delivery").select("_med").scalar()
-    prod_med = (parsed.where(F.col("product_id").isNotNull()).groupBy("product_id")
-                      .agg(F.median("customer_rating").alias("_pmed")))
+    # One count of ratings per product gives the product medians and, with the missing ratings
+    # filled from them, the global one: neither needs the joined rows. A rating has 17 values at most.
+    rated = materialize(parsed.groupBy("product_id", "customer_rating").agg(F.count(F.lit(1)).alias("_n")), "ratings")
+    prod_med = materialize(rated.where("product_id is not null and customer_rating is not null").groupBy("product_id")
+                           .agg(F.percentile("customer_rating", 0.5, F.col("_n")).alias("_pmed")), "product-median")
+    rating_med = rated.join(prod_med, "product_id", "left") \
+        .select(F.coalesce("customer_rating", "_pmed").alias("_r"), "_n").where("_r is not null") \
+        .agg(F.percentile("_r", 0.5, F.col("_n"))).scalar()
 
     df = lookup_join(parsed, cat_med, "category", "left", written=True)
-    df = lookup_join(df, prod_med, "product_id", "left", label="product-median")
+    df = lookup_join(df, prod_med, "product_id", "left", written=True)
     m, p = F.col("_cmed"), F.col("original_price_inr")
     bad = m.isNotNull() & (m > 0) & (p > m * OUTLIER_FACTOR)
     df = (df.withColumn("original_price_inr", F.when(bad, p / OUTLIER_DIVISOR).otherwise(p))
-            .withColumn("customer_rating", F.coalesce(F.col("customer_rating"), F.col("_pmed")))
+            .withColumn("customer_rating", F.coalesce(F.col("customer_rating"), F.col("_pmed"), rating_med))
             .withColumn("delivery_days", F.coalesce(F.col("delivery_days"), deliv_med))
-            .drop("_cmed", "_pmed"))
-    rating_med = df.agg(F.median("customer_rating")).scalar()
-    df = df.withColumn("customer_rating", F.coalesce(F.col("customer_rating"), rating_med))
-    df = df.select(*parsed.columns)
+            .select(*parsed.columns))
 
     deduped = dedup_keep_first(df, "transaction_id", order or None)
     if cut_lineage:

@@ -119,12 +119,13 @@ class ReportStates:
     """Written states, read per set; reports take it in place of the fact."""
 
     table: DataFrame            # report_states, partitioned by report_set
-    bits: DataFrame             # filter keys, bucket, bits: customers of every cell
+    bits: DataFrame | None      # filter keys, bucket, bits: customers of every cell
     columns: tuple[str, ...]    # columns that reports can be grouped by
 
     @classmethod
-    def build(cls, fact: DataFrame, path: str | None = None) -> ReportStates:
-        """One scan of ``fact``, then one of the customer states for the bitmaps. ``path`` keeps the
+    def build(cls, fact: DataFrame, path: str | None = None, customers: bool = True) -> ReportStates:
+        """One scan of ``fact``, then one of the customer states for the bitmaps (not with
+        ``customers=False``: then no report can count distinct customers). ``path`` keeps the
         tables (:meth:`open` reads them); without it they are intermediates."""
         spark, states = fact.sparkSession, report_states(fact)
         if path is None:
@@ -132,6 +133,8 @@ class ReportStates:
         else:
             states.write.mode("overwrite").partitionBy("report_set").parquet(f"{path}/states")
             table = spark.read.parquet(f"{path}/states")
+        if not customers:
+            return cls._of(table, None)
         members = table.where("report_set = 'customer'")
         bits = dictionary.bitmaps(members, FILTER_KEYS, "customer_id")
         if path is None:
@@ -141,10 +144,11 @@ class ReportStates:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> ReportStates:
+        """The tables that :meth:`build` wrote with customers."""
         return cls._of(spark.read.parquet(f"{path}/states"), spark.read.parquet(f"{path}/bits"))
 
     @classmethod
-    def _of(cls, table: DataFrame, bits: DataFrame) -> ReportStates:
+    def _of(cls, table: DataFrame, bits: DataFrame | None) -> ReportStates:
         return cls(table, bits, tuple(c for c in table.columns if c != "report_set"))
 
     @property
@@ -155,7 +159,7 @@ class ReportStates:
                  tiers: list[str] | None = None) -> ReportStates:
         """The states of the rows that the filter keeps: whole cells, so no fact is needed."""
         keep = filter_condition(years, categories, tiers)
-        return ReportStates(self.table.where(keep), self.bits.where(keep), self.columns)
+        return ReportStates(self.table.where(keep), None if self.bits is None else self.bits.where(keep), self.columns)
 
     def covering(self, *keys: str) -> DataFrame:
         """The states of the first, smallest set that has all of ``keys``."""
@@ -166,8 +170,30 @@ class ReportStates:
 
     def customers(self, *keys: str) -> DataFrame:
         """(keys, customers): exact distinct customers by some of the filter keys."""
-        return dictionary.union_counts(self.bits, list(keys), "customers")
+        return dictionary.union_counts(self._bits(), list(keys), "customers")
 
     def cohort_counts(self) -> DataFrame:
         """(cohort, order_year, customers) as ``reports.cohort_counts``."""
-        return dictionary.first_seen_counts(self.bits, "order_year", "cohort", "customers")
+        return dictionary.first_seen_counts(self._bits(), "order_year", "cohort", "customers")
+
+    def _bits(self) -> DataFrame:
+        if self.bits is None:
+            raise KeyError("these states were built without customers")
+        return self.bits
+
+
+def customer_rollup(fact: DataFrame) -> DataFrame:
+    """Exact distinct customers for every subset of the filter keys (as a cube): order_year, category,
+    customer_tier, level (1, 2 and 4 for a key rolled up), customers. One set of bitmaps serves all
+    subsets; a distinct count would need the fact once for each."""
+    bits = materialize(dictionary.bitmaps(fact, FILTER_KEYS, "customer_id"), "customer-bits")
+    cells = fact.groupBy(*FILTER_KEYS).agg(F.count(F.lit(1)).alias("_rows"))       # also those without customers
+    bits = cells.withColumnsRenamed({k: f"_{k}" for k in FILTER_KEYS}).join(
+        bits, F.expr(" and ".join(f"{k} <=> _{k}" for k in FILTER_KEYS)), "left").select(
+        *[F.col(f"_{k}").alias(k) for k in FILTER_KEYS], "bucket", "bits")
+    level = sum(((F.grouping(k) * (1 << i)) for i, k in enumerate(FILTER_KEYS)), F.lit(0))
+    subsets = [[F.col(k) for i, k in enumerate(FILTER_KEYS) if n >> i & 1] + [F.col("bucket")] for n in range(1 << len(FILTER_KEYS))]
+    union = bits.groupingSets(subsets, *[F.col(k) for k in FILTER_KEYS], F.col("bucket")).agg(
+        level.alias("level"), F.bitmap_or_agg("bits").alias("bits"))
+    return union.groupBy(*FILTER_KEYS, "level").agg(
+        F.coalesce(F.sum(F.when(F.col("bucket").isNotNull(), F.bitmap_count("bits"))), F.lit(0)).alias("customers"))

@@ -3,20 +3,19 @@ pairwise correlation, linear trend forecast and a reproducible sample.
 
 Scale notes
 -----------
-* ``exact_quantiles`` never gathers a group's values in one task: values are
-  pre-aggregated to (group, value, count), range-partitioned on (group, value)
-  so a hot group spans many slices, and ranks are found from per-slice running
-  counts plus per-slice offsets (a table of groups x slices).
+* ``exact_quantiles`` never gathers or shuffles a group's values: it selects by radix
+  (``selection.py``), from counts of leading bits per group.
 * Histograms take min/max as scalar subqueries and bin with arithmetic, so
   the fact is read once and aggregated map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.operators.joins import lookup_join
+from bazaar.operators.selection import radix_quantiles
 from bazaar.sources.scratch import materialize
 
 
@@ -27,70 +26,7 @@ def _not_null(cols: list[str]) -> Column:
     return cond
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    names: list[str] | None = None, slices: int | None = None) -> DataFrame:
-    """Exact quantiles per group with linear interpolation between order
-    statistics (h = (n - 1) * p), the numpy/pandas default.
-
-    Returns ``keys + ["n"] + names`` (names default to q0, q1, ...). Rows with
-    a NULL key or value are ignored, like a pandas group-by.
-    """
-    names = names or [f"q{i}" for i in range(len(probs))]
-    spark = df.sparkSession
-    n_slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gk = [f"_k{i}" for i in range(len(keys))] or ["_g"]
-    key_cols = [F.col(k).alias(g) for k, g in zip(keys, gk)] if keys else [F.lit(0).alias("_g")]
-    base = df.where(_not_null(keys + [value])).select(*key_cols, F.col(value).alias("_v"))
-
-    # 1. distinct (group, value) with counts; partial aggregation map-side.
-    vc = base.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # 2. contiguous value ranges; a hot group is split across slices.
-    vc = vc.repartitionByRange(n_slices, *gk, "_v").withColumn("_s", F.spark_partition_id())
-    w_run = (Window.partitionBy(*gk, "_s").orderBy("_v")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # written once: the range bounds are sampled, so the offsets and the values
-    # below must come from the same slicing, whatever the optimiser reuses.
-    vc = materialize(vc.withColumn("_run", F.sum("_c").over(w_run)), "quantile-slices")
-    # 3. per-slice totals (the last running count; the data is already
-    #    clustered by (group, slice), so no shuffle) -> offsets and group
-    #    sizes (a groups x slices table).
-    tot = vc.groupBy(*gk, "_s").agg(F.max("_run").alias("_t"))
-    w_prev = Window.partitionBy(*gk).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_prev), F.lit(0)))
-               .withColumn("_n", F.sum("_t").over(Window.partitionBy(*gk))))
-    # 4. each slice keeps the wanted ranks (1-based floor(h)+1 and its
-    #    successor, h = (n-1)p) that fall inside its own count range; no join.
-    wanted = []
-    for i, p in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        lo = F.floor(h).cast("long") + 1
-        for w, r in ((0, lo), (1, F.least(lo + 1, F.col("_n")))):
-            wanted.append(F.struct(F.lit(i).alias("i"), F.lit(w).alias("w"), r.alias("r"),
-                                   (h - F.floor(h)).alias("frac")))
-    inside = F.filter(F.array(*wanted),
-                      lambda x: (x["r"] > F.col("_off")) & (x["r"] <= F.col("_off") + F.col("_t")))
-    located = offs.select(*gk, "_s", "_off", "_n", F.explode(inside).alias("_x")).select(
-        *gk, "_s", "_off", "_n", F.col("_x.i").alias("_i"), F.col("_x.w").alias("_w"),
-        F.col("_x.r").alias("_r"), F.col("_x.frac").alias("_frac"))
-    # 5. the value at each wanted rank: equi-join on (group, slice), balanced,
-    #    never one task per group.
-    hit = located.join(vc.select(*gk, "_s", "_v", "_c", "_run"), gk + ["_s"]) \
-                 .where((F.col("_r") > F.col("_off") + F.col("_run") - F.col("_c"))
-                        & (F.col("_r") <= F.col("_off") + F.col("_run"))) \
-                 .select(*gk, "_n", "_i", "_frac", "_w", "_v")
-    # 6. one aggregation per group: both neighbours of every wanted rank,
-    #    then the linear interpolation between them.
-    aggs = [F.max("_n").alias("n")]
-    for i in range(len(probs)):
-        this = F.col("_i") == i
-        aggs += [F.max(F.when(this & (F.col("_w") == 0), F.col("_v"))).alias(f"_a{i}"),
-                 F.max(F.when(this & (F.col("_w") == 1), F.col("_v"))).alias(f"_b{i}"),
-                 F.max(F.when(this, F.col("_frac"))).alias(f"_f{i}")]
-    wide = hit.groupBy(*gk).agg(*aggs)
-    qs = [(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(nm)
-          for i, nm in enumerate(names)]
-    return wide.select(*[F.col(g).alias(k) for g, k in zip(gk, keys)],
-                       F.col("n").cast("long").alias("n"), *qs)
+exact_quantiles = radix_quantiles
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:

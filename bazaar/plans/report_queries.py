@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bazaar.functions import format_inr
+from bazaar.functions import format_inr, human_int, money_sum, money_total
 from bazaar.operators import reports as R
-from bazaar.plans.registry import register
+from bazaar.operators.report_states import FILTER_KEYS, SETS, ReportStates, customer_rollup, report_states
+from bazaar.plans.oracle_views import FILTER_CATEGORIES, FILTER_SQL, FILTER_TIERS, FILTER_YEARS
+from bazaar.plans.registry import REGISTRY, register
 from bazaar.sources.tables import sales
 
 # Amounts carry 4 decimals, so sums rounded to 4 places are tie-free across
@@ -110,6 +112,19 @@ from (select category, coalesce(fsum(final_amount_inr), 0) as revenue
       from sales where category is not null group by category) c""")(
     lambda s, d: R.category_revenue(sales(s, d)).withColumn("revenue_label", format_inr("revenue")))
 
+_SHORT = """case when abs({x}) >= 1e7 then concat(format('{{:.2f}}', {x} / 1e7), ' Cr')
+                when abs({x}) >= 1e5 then concat(format('{{:.2f}}', {x} / 1e5), ' L')
+                when abs({x}) >= 1e3 then concat(format('{{:.1f}}', {x} / 1e3), ' K')
+                else format('{{:.0f}}', {x}) end"""
+
+register("human_int", rounding={"revenue": M2}, oracle=f"""
+select brand, revenue, orders, {_SHORT.format(x='(-revenue)')} as loss_label, {_SHORT.format(x='orders::double')} as orders_label
+from (select brand, coalesce(fsum(final_amount_inr), 0) as revenue, count(transaction_id) as orders
+      from sales where brand is not null group by brand) b""")(
+    lambda s, d: sales(s, d).where("brand is not null").groupBy("brand")
+    .agg(money_sum("final_amount_inr").alias("revenue"), F.count("transaction_id").alias("orders"))
+    .withColumn("loss_label", human_int(-F.col("revenue"))).withColumn("orders_label", human_int("orders")))
+
 # --------------------------------------------------------------------------- #
 # Customers
 # --------------------------------------------------------------------------- #
@@ -354,18 +369,58 @@ select distinct kind, value from (
   union all select 'tier', customer_tier from sales) u where value is not null""")(
     _on_sales(R.filter_options))
 
-FILTER_YEARS = (1996, 1999)
-FILTER_CATEGORIES = ["LARGE", "PROMO", "SMALL", "STANDARD"]
-FILTER_TIERS = ["AMERICA", "ASIA", "EUROPE"]
-
-register("global_filters", rounding={"final_amount_inr": M6}, oracle="""
+register("global_filters", rounding={"final_amount_inr": M6}, oracle=f"""
 select transaction_id, order_year, category, customer_tier, final_amount_inr from sales
-where order_year between 1996 and 1999
-  and category in ('LARGE', 'PROMO', 'SMALL', 'STANDARD')
-  and customer_tier in ('AMERICA', 'ASIA', 'EUROPE')""")(
+where {FILTER_SQL}""")(
     lambda s, d: R.global_filters(sales(s, d), FILTER_YEARS, FILTER_CATEGORIES, FILTER_TIERS)
     .select("transaction_id", "order_year", "category", "customer_tier", "final_amount_inr"))
 
+# The dashboard over filtered rows: answered from states, checked against the same report over filtered sales.
+FILTERED = ["headline_metrics", "revenue_by_year", "category_revenue", "orders_by_year", "active_customers", "quarterly_revenue",
+            "aov_festival", "discount_bands", "rfm", "purchase_frequency_20", "cohort_retention", "top_products", "top_brands",
+            "rating_histogram", "category_lifecycle", "delivery_by_tier", "payment_evolution", "return_rate_by_category",
+            "revenue_forecast", "top_states", "business_health"]
+
+
+#: Those that count distinct customers, from bitmaps.
+_OF_CUSTOMERS = {"headline_metrics", "active_customers", "cohort_retention", "business_health"}
+
+
+def _filtered(report):
+    def build(spark, sf_dir):
+        states = ReportStates.build(sales(spark, sf_dir), customers=report.__name__ in _OF_CUSTOMERS)
+        return report(R.global_filters(states, FILTER_YEARS, FILTER_CATEGORIES, FILTER_TIERS))
+    return build
+
+
+for _name in FILTERED:
+    _q = REGISTRY[_name]
+    register(f"filtered_{_name}", oracle=_q.oracle, rounding=_q.rounding, ctes=("filtered sales",))(_filtered(getattr(R, _name)))
+
+# The long table itself: every report set by its keys and the filter keys.
+_STATE_COLS = list(dict.fromkeys([*FILTER_KEYS, *(c for keys in SETS.values() for c in keys)]))
+
+
+def _state_rows(spark, sf_dir):
+    states = report_states(sales(spark, sf_dir))
+    return states.select("report_set", *_STATE_COLS, "rows", "orders", money_total(F.col("exact"), F.col("odd")).alias("amount"),
+                         "priced", "returned", "delivered", "days", "last")
+
+
+register("report_states", rounding={"amount": M2}, oracle=f"""
+select case {" ".join(f"when {' and '.join(f'grouping({c}) = {int(c not in (*FILTER_KEYS, *keys))}' for c in _STATE_COLS)} then '{name}'"
+                      for name, keys in SETS.items())} end as report_set, {", ".join(_STATE_COLS)},
+       count(*) as rows, count(transaction_id) as orders, fsum(final_amount_inr) as amount, count(final_amount_inr) as priced,
+       count(*) filter (where return_status = 'Returned') as returned, count(delivery_days) as delivered,
+       sum(delivery_days) as days, max(order_date) as last
+from (select *, {_BAND} as band from sales) s
+group by grouping sets ({", ".join(f"({', '.join([*FILTER_KEYS, *keys])})" for keys in SETS.values())})""")(_state_rows)
+
+register("customer_rollup", oracle="""
+select order_year, category, customer_tier, grouping(order_year) + 2 * grouping(category) + 4 * grouping(customer_tier) as level,
+       count(distinct customer_id) as customers
+from sales group by cube (order_year, category, customer_tier)""")(lambda s, d: customer_rollup(sales(s, d)))
+
 # A9 wide form: one column per named category, the rest under Other; a missing cell
 # stays NULL (as pandas' pivot_table leaves it missing).
 _WIDE = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]

@@ -68,7 +68,7 @@ def test_stages_end_to_end(spark, scratch):
     report = spark.read.option("header", True).csv(os.path.join(out, "cleaning_report.csv"))
     assert [r.step for r in report.collect()] == ["duplicates", "dropped_invalid", "rows", "null_pct"]
     eda = res["eda"]
-    assert len(eda) == 20 and not any(isinstance(v, Exception) for v in eda.values())
+    assert len(eda) == 25 and not any(isinstance(v, Exception) for v in eda.values())
     assert spark.table("bazaar_test.transactions").count() == clean.count()
     assert spark.table("bazaar_test.customers").count() == clean.select("customer_id").distinct().count()
     loaded = IO.load_data(spark, "bazaar_test.transactions")
