@@ -3,7 +3,8 @@
 A byte pair that occurs inside no vocabulary token can never lie inside an
 encoded token, so it marks a certain cut: the fragments between such cuts (and
 between the pre-tokeniser's pieces) are encoded independently and their ids
-concatenated. Fragments repeat, so each worker keeps what it has encoded.
+concatenated. Words repeat, so each worker keeps what it has encoded; the new ones of
+many texts are cut and merged together by numpy.
 
 The tokenizer file (``tokenizers`` JSON, byte-level BPE) is a parameter. Spark
 ships the file's text to the tasks with the function, so executors
@@ -16,16 +17,20 @@ import hashlib
 import json
 import re
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from bazaar.llm.common import map_arrow, with_defaults
+from bazaar.llm.merge_table import Merges
 
 VOCABULARY = "byte_bpe_50k.json"
 _MEMO = 500_000     # remembered chunks and fragments per worker
-_SLICE = 256        # documents per output batch
+_SLICE = 256        # documents per output batch at most
+_CHARS = 1 << 20    # their characters, beyond one document
+_WIDE = 64          # longer fragments are merged one by one
 
 # An optional space and a run of non-spaces, or white space as the pre-tokeniser's pattern
 # takes it: every match is a union of whole pieces.
@@ -54,8 +59,9 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
+        return self.put(key, self.make(key) if value is None else value)
+
+    def put(self, key, value):
         if len(self) >= self.half:
             self.old = dict(self)
             self.clear()
@@ -82,6 +88,10 @@ class ByteBpe:
             a, b = m.split(" ") if isinstance(m, str) else m
             self.merge[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.inside = {p for t in self.token.values() for p in zip(t, t[1:])}   # pairs inside a token
+        self.is_inside = np.zeros(1 << 16, bool)
+        self.is_inside[[a << 8 | b for a, b in self.inside]] = True
+        self.ids_of_bytes = np.array(self.byte_id, np.int64)
+        self.merges = Merges([(a, b, made) for (a, b), (_, made) in self.merge.items()], max(vocab.values()) + 1)
         self.piece = regex.compile(public_tokenizers.PATTERN)
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.fragments = Memo(self._merge)
@@ -134,44 +144,96 @@ class ByteBpe:
                     heapq.heappush(heap, (m[0], x, ids[x], ids[y]))
         return [t for t in ids if t >= 0]
 
-    def _chunk(self, chunk: str) -> tuple[str, str]:
-        """Decimal ids and decoded text of a chunk."""
+    def _encode_words(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of many single pieces: cut at forced boundaries together, merged by fragment length."""
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(w) for w in words])
+        start = np.ones(len(raw), bool)
+        start[1:] = ~self.is_inside[raw[:-1].astype(np.int64) << 8 | raw[1:]]
+        start[ends[:-1]] = True
+        s = np.flatnonzero(start)
+        size = np.diff(np.append(s, len(raw)))
+        made, width = [], np.ones(len(s), np.int64)
+        for n in np.unique(size).tolist():
+            which = np.flatnonzero(size == n)
+            if n > _WIDE:
+                done = [(which[i:i + 1], np.array([self._merge(raw[s[w]:s[w] + n].tobytes())], np.int64))
+                        for i, w in enumerate(which)]
+            else:
+                ids = self.ids_of_bytes[raw[s[which][:, None] + np.arange(n)]]
+                done = [(which[rows], ids) for rows, ids in self.merges.merged(ids)] if n > 1 else [(which, ids)]
+            for rows, ids in done:
+                width[rows] = ids.shape[1]
+                made.append((rows, ids))
+        at = np.concatenate([[0], np.cumsum(width)])
+        flat = np.empty(at[-1], np.int64)
+        for rows, ids in made:
+            flat[at[rows][:, None] + np.arange(ids.shape[1])] = ids
+        flat, cuts = flat.tolist(), at[np.searchsorted(s, np.concatenate([[0], ends]))].tolist()
+        return [flat[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def _answer(self, chunk: str, ids: list[int]) -> tuple[str, str, int]:
+        text = self.decode(ids)
+        return ",".join(map(str, ids)), chunk if text == chunk else text, len(ids)
+
+    def _chunk(self, chunk: str) -> tuple[str, str, int]:
+        """Decimal ids, decoded text and number of ids of a chunk."""
+        if chunk in self.special:
+            return self._answer(chunk, [self.special[chunk]])
         ids = []
-        one = (chunk[1:] if chunk[0] == " " else chunk).isalpha()     # a single piece
-        for piece in (chunk,) if one else self.piece.findall(chunk):
+        for piece in (chunk,) if self._is_word(chunk) else self.piece.findall(chunk):
             for f in self.cuts(piece.encode()):
                 ids += self.fragments[f]
-        text = self.decode(ids)
-        return ",".join(map(str, ids)), chunk if text == chunk else text
+        return self._answer(chunk, ids)
 
-    def _parts(self, text: str) -> list[tuple[str, str]]:
-        """The encoded chunks of a text, in order."""
+    @staticmethod
+    def _is_word(chunk: str) -> bool:
+        """Whether a chunk is surely a single piece."""
+        return (chunk[1:] if chunk[0] == " " else chunk).isalpha()
+
+    def _split(self, text: str) -> list[str]:
+        """The chunks of a text in order; a special token is a chunk."""
         out = []
         for part in self.split.split(text) if self.split else [text]:
             if part in self.special:
-                out.append((str(self.special[part]), self.token[self.special[part]].decode()))
+                out.append(part)
             elif part:
-                pieces = self.piece.findall(part) if _ODD_SPACE.search(part) else _CHUNK.findall(part)
-                out += map(self.chunks.__getitem__, pieces)
+                out += self.piece.findall(part) if _ODD_SPACE.search(part) else _CHUNK.findall(part)
         return out
 
-    def encode(self, text: str) -> list[int]:
-        return [int(i) for p in self._parts(text) for i in p[0].split(",")]
+    def parts(self, texts: list[str]) -> list[list[tuple[str, str, int]]]:
+        """The answers of every text's chunks, in order; new words are encoded together."""
+        split = [self._split(t) for t in texts]
+        known = self.chunks
+        new = {c for chunks in split for c in set(chunks) if c not in known}
+        held, pieces = [], []
+        for c in new:
+            if c in known.old:
+                known[c]
+            elif c not in self.special:
+                mine = [c] if self._is_word(c) else self.piece.findall(c)
+                held.append((c, len(mine)))
+                pieces += mine
+        if held:
+            ids = iter(self._encode_words([p.encode() for p in pieces]))
+            for c, n in held:
+                known.put(c, self._answer(c, next(ids) if n == 1 else [i for _ in range(n) for i in next(ids)]))
+        return [list(map(known.__getitem__, chunks)) for chunks in split]
 
-    def count(self, text: str) -> int:
-        parts = self._parts(text)
-        return len(parts) + sum([p[0].count(",") for p in parts])
+    def encode(self, text: str) -> list[int]:
+        return [int(i) for p in self.parts([text])[0] for i in p[0].split(",")]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.token.__getitem__, ids)).decode("utf-8", "replace")
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, SHA-256 of the decimal ids, SHA-256 of the decoded text)."""
-        parts = self._parts(text)
-        ids = ",".join([p[0] for p in parts])
-        back = "".join([p[1] for p in parts])
-        return (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(back.encode()).hexdigest())
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """(number of ids, SHA-256 of the decimal ids, SHA-256 of the decoded text) of every text."""
+        return [(sum([p[2] for p in parts]), hashlib.sha256(",".join([p[0] for p in parts]).encode()).hexdigest(),
+                 hashlib.sha256("".join([p[1] for p in parts]).encode()).hexdigest()) for parts in self.parts(texts)]
+
+    def counts(self, texts: list[str]) -> list[tuple[int]]:
+        """The number of ids of every text."""
+        return [(sum([p[2] for p in parts]),) for parts in self.parts(texts)]
 
 
 _LOADED: dict[int, ByteBpe] = {}
@@ -192,17 +254,22 @@ def read_spec(path: str | None = None) -> str:
 
 
 def _per_text(docs: DataFrame, fn, schema: str, types: list[pa.DataType], path: str | None) -> DataFrame:
-    """Rows of doc_id and ``fn(encoder, text)``; NULL text counts as empty."""
+    """Rows of doc_id and ``fn(encoder, texts)``; NULL text counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(read_spec(path))
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batch):
         encoder = loaded(shared.value)
         ids, texts = batch.column("doc_id"), batch.column("text")
-        for at in range(0, batch.num_rows, _SLICE):
-            rows = [fn(encoder, x.as_py() or "") for x in texts.slice(at, _SLICE)]
+        at = 0
+        while at < batch.num_rows:
+            held, chars = [], 0
+            while at + len(held) < batch.num_rows and len(held) < _SLICE and chars < _CHARS:
+                held.append(texts[at + len(held)].as_py() or "")
+                chars += len(held[-1])
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, _SLICE).cast(pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*rows), types)]], names)
+                [ids.slice(at, len(held)).cast(pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*fn(encoder, held)), types)]], names)
+            at += len(held)
     return map_arrow(with_defaults(docs, "doc_id", "text"), run, schema)
 
 
@@ -214,15 +281,15 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     digests of the empty text). Special tokens spelled out in a text are
     encoded as such and kept in decoding. Repeated rows each give a row.
     """
-    return _per_text(docs, ByteBpe.digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+    return _per_text(docs, ByteBpe.digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
                      [pa.int64(), pa.string(), pa.string()], path)
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: doc_id and its ids as ``array<int>``; NULL and empty texts give an empty array."""
-    return _per_text(docs, lambda e, t: (e.encode(t),), "doc_id long, ids array<int>", [pa.list_(pa.int32())], path)
+    return _per_text(docs, lambda e, texts: [(e.encode(t),) for t in texts], "doc_id long, ids array<int>", [pa.list_(pa.int32())], path)
 
 
 def token_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: doc_id and n_tokens; NULL and empty texts have 0."""
-    return _per_text(docs, lambda e, t: (e.count(t),), "doc_id long, n_tokens long", [pa.int64()], path)
+    return _per_text(docs, ByteBpe.counts, "doc_id long, n_tokens long", [pa.int64()], path)

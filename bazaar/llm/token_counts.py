@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.llm.bpe import token_lengths
+from bazaar.llm.common import materialize
 
 _BLOCK = 256    # lengths per block of the two-level suffix sums
 
@@ -76,4 +77,5 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     NULL and empty texts have 0 tokens, repeated rows count each, other columns are
     ignored; an empty table gives no rows.
     """
-    return suffix_sums(length_histogram(token_lengths(docs, path)))
+    # written once: the sums read it twice, and the texts are not to be encoded again
+    return suffix_sums(materialize(length_histogram(token_lengths(docs, path)), "token-lengths"))

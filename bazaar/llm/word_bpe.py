@@ -16,11 +16,11 @@ import re
 import numpy as np
 
 from bazaar.llm.bpe import byte_alphabet
+from bazaar.llm.merge_table import Merges
 from bazaar.llm.textops import U64, mix, span_hashes
 
 _CHUNK_BYTES = 1 << 20
 _LONG = 48                      # longer pieces are left to the library
-_NONE = np.int32(1 << 30)
 
 # kinds of bytes in a plain text: 0 white space, 1 letter, 2 digit, 3 other
 _KIND = np.full(256, 3, np.uint8)
@@ -45,51 +45,12 @@ class WordBpe:
         self.tokenizer.no_truncation()
         model = json.loads(spec)["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
-        self.size = max(vocab.values()) + 1
         self.first = np.zeros(256, np.int64)    # id of a byte inside a piece
         self.last = np.zeros(256, np.int64)     # id of a piece's last byte
         for c, b in byte_alphabet().items():
             self.first[b], self.last[b] = vocab[c], vocab[c + suffix]
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        keys = np.array([vocab[a] * self.size + vocab[b] for a, b in merges], np.int64)
-        made = np.array([vocab[a + b] for a, b in merges], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.rank, self.made = keys[order], order.astype(np.int32), made
-
-    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank of the merge of each pair, or _NONE."""
-        k = a * self.size + b
-        at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-        return np.where(self.keys[at] == k, self.rank[at], _NONE)
-
-    def _merged(self, ids: np.ndarray):
-        """Merges the rows of a matrix; yields (row numbers, ids) of finished rows.
-
-        Every unfinished row loses one id in a round, so all have the same width.
-        """
-        rows = np.arange(len(ids))
-        rank = self._ranks(ids[:, :-1], ids[:, 1:])
-        while ids.shape[1] > 1:
-            j = rank.argmin(1)
-            best = rank[np.arange(len(rows)), j]
-            go = best < _NONE
-            if not go.all():
-                yield rows[~go], ids[~go]
-                rows, ids, rank, j, best = rows[go], ids[go], rank[go], j[go], best[go]
-            if not len(rows):
-                return
-            at, col = np.arange(len(rows)), np.arange(ids.shape[1] - 1)
-            ids[at, j] = self.made[best]
-            ids = np.take_along_axis(ids, col + (col > j[:, None]), 1)
-            if ids.shape[1] == 1:
-                break
-            rank = np.take_along_axis(rank, col[:-1] + (col[:-1] >= j[:, None]), 1)
-            left = np.flatnonzero(j > 0)
-            rank[left, j[left] - 1] = self._ranks(ids[left, j[left] - 1], ids[left, j[left]])
-            right = np.flatnonzero(j < ids.shape[1] - 1)
-            rank[right, j[right]] = self._ranks(ids[right, j[right]], ids[right, j[right] + 1])
-        if len(rows):
-            yield rows, ids
+        self.merges = Merges([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], max(vocab.values()) + 1)
 
     def _pieces(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the pieces of plain lower-cased texts, and their hashes."""
@@ -158,7 +119,7 @@ class WordBpe:
                 letters = low[us[part][:, None] + np.arange(size)]
                 ids = self.first[letters]
                 ids[:, -1] = self.last[letters[:, -1]]
-                for rows, done in self._merged(ids) if size > 1 else [(np.arange(len(part)), ids)]:
+                for rows, done in self.merges.merged(ids) if size > 1 else [(np.arange(len(part)), ids)]:
                     made.append((part[rows], done))
                     width[part[rows]] = done.shape[1]
         where = np.concatenate([[0], np.cumsum(width)])
