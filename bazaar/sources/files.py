@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar.schema import CLEAN_SCHEMA, NA_TOKENS, RAW_FILE_GLOB, TABLE_SCHEMAS
+from bazaar.sources.layout import along_curve, bloom_options
+from bazaar.sources.versions import Versions
 
 ORDER_COLUMNS = ["_file", "_line"]
 _BAD = "_bad_record"
@@ -173,15 +175,26 @@ def load_clean(spark: SparkSession, parquet_path: str, build=None) -> DataFrame:
     return spark.read.parquet(parquet_path)
 
 
+#: Columns that the declared indexes name besides the year: ids get Bloom filters, the others the curve.
+CURVE_COLUMNS = ("category", "customer_city", "product_id")
+BLOOM_COLUMNS = ("customer_id", "product_id", "transaction_id")
+
+
 def load_warehouse(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFrame],
                    location: str, database: str | None = None, buckets: int | None = None,
-                   jdbc_url: str | None = None, jdbc_properties: dict | None = None) -> dict[str, str]:
+                   jdbc_url: str | None = None, jdbc_properties: dict | None = None,
+                   curve: tuple[str, ...] = CURVE_COLUMNS, bloom: tuple[str, ...] = BLOOM_COLUMNS) -> dict[str, str]:
     """IO8/IO9: replace the fact and dimension tables, in their declared types.
 
-    The fact is partitioned by year and laid out by ranges of customer_id, so a
-    customer filter skips files and row groups; a row hash ends the range key, so a
-    hot customer spans several files, and the number of files grows with the
-    shuffle partitions. With ``buckets`` it is bucketed + sorted by customer_id
+    All tables are written as one new version (``sources.versions``) and become valid together: a
+    load that fails leaves the tables of the last one. The catalog's tables are then pointed at
+    it; :func:`register_warehouse` does that again should the load die in between.
+
+    The fact is partitioned by year and laid out along a space-filling curve over the ``curve``
+    columns, with Bloom filters for the ``bloom`` columns, so a filter on any of them skips files
+    or row groups. A row hash ends the key, so a hot value spans several files, and the number of
+    files grows with the shuffle partitions. With an empty ``curve`` it is laid out by ranges of
+    customer_id. With ``buckets`` it is bucketed + sorted by customer_id
     instead: customer-keyed joins and aggregations then read co-located buckets
     without a shuffle, in that many tasks, so choose the number for the data. With
     ``jdbc_url`` the tables also go to a JDBC database in 10,000-row batches.
@@ -189,10 +202,10 @@ def load_warehouse(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFra
     prefix = f"{database}." if database else ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    names = {}
     fact = declared(fact, TABLE_SCHEMAS["transactions"])
     dims = {name: declared(df, TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else df for name, df in dims.items()}
     row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    curve = tuple(c for c in curve if c in fact.columns)
     if buckets:
         # One writer per (bucket, slice): without this every input task writes a
         # file for each (year, bucket) it holds (tasks x years x buckets files).
@@ -205,15 +218,17 @@ def load_warehouse(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFra
         writer = (laid.write.mode("overwrite").partitionBy("order_year")
                   .bucketBy(buckets, "customer_id").sortBy("customer_id"))
     else:
-        laid = (fact.repartitionByRange("order_year", "customer_id", row_hash)
-                .sortWithinPartitions("order_year", "customer_id"))
-        writer = laid.write.mode("overwrite").partitionBy("order_year")
-    writer.option("path", f"{location.rstrip('/')}/transactions").saveAsTable(f"{prefix}transactions")
-    names["transactions"] = f"{prefix}transactions"
-    for name, df in dims.items():
-        df.write.mode("overwrite").option("path", f"{location.rstrip('/')}/{name}") \
-          .saveAsTable(f"{prefix}{name}")
-        names[name] = f"{prefix}{name}"
+        laid = along_curve(fact, list(curve), ["order_year"]) if curve else (
+            fact.repartitionByRange("order_year", "customer_id", row_hash).sortWithinPartitions("order_year", "customer_id"))
+        writer = laid.write.mode("overwrite").partitionBy("order_year") \
+            .options(**bloom_options([c for c in bloom if c in fact.columns]))
+    versions = Versions(spark, location)
+    version = versions.stage()
+    writers = {"transactions": writer} | {name: df.write.mode("overwrite") for name, df in dims.items()}
+    for name, w in writers.items():
+        w.option("path", versions.folder(version, name)).saveAsTable(_staged(prefix, name, version))
+    versions.commit(version, list(writers))
+    names = register_warehouse(spark, location, database)
     if jdbc_url:
         props = {"batchsize": "10000", **(jdbc_properties or {})}
         fact.write.jdbc(jdbc_url, "transactions", mode="overwrite", properties=props)
@@ -222,6 +237,36 @@ def load_warehouse(spark: SparkSession, fact: DataFrame, dims: dict[str, DataFra
     return names
 
 
+def _staged(prefix: str, table: str, version: str) -> str:
+    return f"{prefix}{table}__{version}"
+
+
+def register_warehouse(spark: SparkSession, location: str, database: str | None = None) -> dict[str, str]:
+    """Points the catalog's tables at the valid version of a warehouse folder. Tables whose
+    catalog entry was lost with its session are declared again from the files."""
+    prefix = f"{database}." if database else ""
+    versions = Versions(spark, location)
+    manifest = versions.current()
+    if not manifest:
+        raise FileNotFoundError(f"{location}: no complete load")
+    names = {}
+    for name in manifest["tables"]:
+        staged, names[name] = _staged(prefix, name, manifest["version"]), f"{prefix}{name}"
+        if spark.catalog.tableExists(staged):
+            spark.sql(f"DROP TABLE IF EXISTS {names[name]}")        # external: the files stay
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {names[name]}")
+        elif not spark.catalog.tableExists(names[name]):
+            spark.catalog.createTable(names[name], path=versions.folder(manifest["version"], name), source="parquet")
+            if name == "transactions":
+                spark.catalog.recoverPartitions(names[name])
+    return names
+
+
+def open_warehouse(spark: SparkSession, location: str, table: str = "transactions") -> DataFrame:
+    """A table of the last complete load, found by its manifest: no catalog is needed."""
+    return Versions(spark, location).read(table)
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """IO10: SQL text over the registered tables/views."""
     return spark.sql(text)

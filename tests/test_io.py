@@ -137,7 +137,7 @@ def test_warehouse_writes_one_file_per_bucket_and_year(spark, scratch):
                           buckets=4)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
-    years = glob.glob(os.path.join(scratch, "wh", "transactions", "order_year=*"))
+    years = glob.glob(os.path.join(scratch, "wh", "versions", "*", "transactions", "order_year=*"))
     assert years
     for d in years:
         files = [f for f in os.listdir(d) if f.endswith(".parquet")]
