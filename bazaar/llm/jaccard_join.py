@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.llm.common import map_arrow, materialize, with_defaults
 from bazaar.llm.graph import components
@@ -135,9 +136,9 @@ def _cells(items: np.ndarray) -> bytes:
 
 
 def _sets(docs: DataFrame, ngram: int) -> DataFrame:
-    """(doc_id, n, dig, cells)."""
+    """(doc_id, key, n, dig, cells); ``docs`` has doc_id, text and key."""
     def run(batch):
-        ids = batch.column("doc_id")
+        ids, keys = batch.column("doc_id"), batch.column("key")
         for words in word_chunks(batch.column("text")):
             size, digs, cells = [], [], []
             for i in range(len(words)):
@@ -146,9 +147,10 @@ def _sets(docs: DataFrame, ngram: int) -> DataFrame:
                 digs.append(_digest(items) if len(items) else None)
                 cells.append(_cells(items) if len(items) else None)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(words.first, len(words)).cast(pa.int64()), pa.array(size, pa.int64()),
-                 pa.array(digs, pa.int64()), pa.array(cells, pa.binary())], ["doc_id", "n", "dig", "cells"])
-    return map_arrow(docs, run, "doc_id long, n long, dig long, cells binary")
+                [ids.slice(words.first, len(words)).cast(pa.int64()), keys.slice(words.first, len(words)),
+                 pa.array(size, pa.int64()), pa.array(digs, pa.int64()), pa.array(cells, pa.binary())],
+                ["doc_id", "key", "n", "dig", "cells"])
+    return map_arrow(docs, run, "doc_id long, key long, n long, dig long, cells binary")
 
 
 def _paths(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
@@ -204,8 +206,10 @@ def _shared_paths(rows: DataFrame) -> DataFrame:
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
-    """(dig, n, items) of the wanted (dig, rep): one document's set each."""
-    rows = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.rep)).select("dig", "text")
+    """(dig, n, items) of the wanted (dig, rep, key): one document's set each. A document is found by
+    its id and a hash of its text, as ids may be missing or repeated."""
+    rows = docs.join(wanted, docs.doc_id.eqNullSafe(wanted.rep) & (docs.key == wanted.rep_key)) \
+        .select("dig", "text").dropDuplicates(["dig"])
 
     def run(batch):
         digs = batch.column("dig").to_pylist()
@@ -213,13 +217,10 @@ def _contents(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
             out = []
             for i in range(len(words)):
                 items = shingle_hashes(words.of(i), ngram)
-                if len(items) and _digest(items) == digs[words.first + i]:
-                    out.append((digs[words.first + i], len(items), items.tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))],
-                    ["dig", "n", "items"])
-    return map_arrow(rows, run, "dig long, n long, items binary").dropDuplicates(["dig"])
+                out.append((digs[words.first + i], len(items), items.tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["dig", "n", "items"])
+    return map_arrow(rows, run, "dig long, n long, items binary")
 
 
 def _units(shared: DataFrame, block: int) -> DataFrame:
@@ -494,62 +495,100 @@ def jaccard_join(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) ->
     the smallest id; a component without any id has component_id NULL. Sets are
     compared by 64-bit shingle hashes. An empty table gives an empty result.
     """
-    docs = with_defaults(docs, "doc_id", "text")
+    return _grouped(docs, ngram, percent).drop("dig", "group")
+
+
+def _grouped(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
+    """The rows of :func:`jaccard_join` with dig (the set's digest, NULL if empty) and group
+    (the component's, any digest of it)."""
+    docs = with_defaults(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     sets = materialize(_sets(docs, ngram), "shingle-sets")
     nodes = materialize(
         sets.where("dig is not null").groupBy("dig").agg(
-            F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"),
-            F.max("cells").alias("cells")), "jaccard-nodes")
+            F.min("doc_id").alias("rep"), F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("rep_key"),
+            F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("cells").alias("cells")), "jaccard-nodes")
     shared = materialize(_shared_paths(_paths(docs, ngram, percent)), "shared-paths")
     rows = shared.join(nodes.select("dig", "n", "cells"), "dig")
 
     def contents_of(digs: DataFrame) -> DataFrame:
-        wanted = nodes.join(digs.distinct(), "dig", "left_semi").select("dig", "rep")
+        wanted = nodes.join(digs.distinct(), "dig", "left_semi").select("dig", "rep", "rep_key")
         return materialize(_contents(docs, wanted, ngram), "jaccard-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         contents = contents_of(pairs.select(F.col("a").alias("dig")).union(pairs.select("b")))
         return materialize(_verify(pairs, contents, percent), "jaccard-links")
 
+    def parted(labels: DataFrame) -> DataFrame:
+        return (rows.join(labels.withColumnRenamed("node", "dig"), "dig", "left")
+                .withColumn("part", F.coalesce("component", "dig")).drop("component"))
+
     links = verified(materialize(_pivot_pairs(rows.withColumn("part", F.col("dig")), percent, 1), "jaccard-pairs"))
     labels = components(links)
-    parted = (rows.join(labels.withColumnRenamed("node", "dig"), "dig", "left")
-              .withColumn("part", F.coalesce("component", "dig")).drop("component"))
-    suspects = materialize(_suspects(parted, percent), "jaccard-suspects")
+    suspects = materialize(_suspects(parted(labels), percent), "jaccard-suspects")
     short = suspects.where("other is null").drop("other")
     long = suspects.where("other is not null").select(F.col("dig").alias("a"), F.col("other").alias("b")).distinct()
     links = (links.union(materialize(_joining_links(short, contents_of(short.select("dig")), percent), "jaccard-links"))
              .union(verified(materialize(long, "jaccard-pairs"))))
     labels = components(links)
     members = labels.withColumnRenamed("node", "dig").join(nodes, "dig")
-    contents = _contents(docs, members.select("dig", "rep"), ngram).select("dig", "items")
+    contents = _contents(docs, members.select("dig", "rep", "rep_key"), ngram).select("dig", "items")
     degree = _link_counts(members.select("component", "dig", "copies", "n").join(contents, "dig"), percent)
     lowest = members.groupBy("component").agg(F.min("rep").alias("lowest"))
     linked = members.select("dig", "component").join(lowest, "component").join(degree, "dig")
     known = nodes.join(linked, "dig", "left").select(
-        "dig", F.coalesce("lowest", "rep").alias("component_id"),
+        "dig", F.coalesce("component", "dig").alias("group"), F.coalesce("lowest", "rep").alias("component_id"),
         (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"))
     filled = (sets.where("dig is not null").select("doc_id", "n", "dig").join(known, "dig")
-              .select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links"))
+              .select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "dig", "group"))
     bare = sets.where("dig is null").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-        F.lit(0).cast("long").alias("n_links"))
+        F.lit(0).cast("long").alias("n_links"), "dig", F.col("dig").alias("group"))
     return filled.union(bare)
 
 
 def one_of_each(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` with only the smallest id of every group of linked documents.
 
-    Rows with a NULL id are no group's smallest and stay. Equal rows (id and text) are one.
+    A row goes by its own text: where an id is repeated with different texts, each is
+    judged with its own group. Of rows that agree in id and set one stays, of a group without any
+    id one; a row without an id goes with a group that has one. Rows without words have no
+    group: they stay, equal ones (id and text, id not NULL) once.
     """
-    out = materialize(jaccard_join(docs, ngram, percent), "jaccard-groups")
+    plain = [f"`{c}`" for c in docs.columns]
+    out = materialize(_grouped(docs, ngram, percent), "jaccard-groups")
     known = out.where("doc_id is not null")
     gone = known.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    repeated = known.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not repeated.limit(1).count():
-        return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    rest = docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    single = rest.join(repeated, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    more = (rest.join(repeated, "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns])
-            .dropDuplicates(["doc_id", "text"]))
-    return single.union(more)
+    repeated = materialize(known.groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard-repeated")
+    single = docs.where("doc_id is not null").join(repeated, "doc_id", "left_anti").join(gone, "doc_id", "left_anti").select(*plain)
+    odd = out.where("doc_id is null").select(F.lit(1)).unionAll(repeated.select(F.lit(1)))
+    if odd.isEmpty():
+        return single
+    rows = docs.where("doc_id is null").unionAll(docs.where("doc_id is not null").join(repeated, "doc_id", "left_semi").select(*plain))
+    rows = _with_digests(rows, ngram)
+    name = [c for c in rows.columns if c not in docs.columns][0]
+    nameless = out.where("dig is not null and component_id is null").groupBy("group").agg(F.min("dig").alias("kept_dig"))
+    kept = (out.where("dig is not null and doc_id = component_id").select(F.col("doc_id").alias("kept_id"), F.col("dig").alias("kept_dig"))
+            .unionAll(nameless.select(F.lit(None).cast("long"), "kept_dig")).distinct())
+    worded = (rows.where(F.col(name).isNotNull()).dropDuplicates(["doc_id", name])
+              .join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col(name) == F.col("kept_dig")), "left_semi").select(*plain))
+    bare = rows.where(F.col(name).isNull())
+    return (single.unionAll(worded).unionAll(bare.where("doc_id is null").select(*plain))
+            .unionAll(bare.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).select(*plain)))
+
+
+def _with_digests(docs: DataFrame, ngram: int) -> DataFrame:
+    """``docs`` and, in a column of a new name, each row's set digest (NULL without words)."""
+    name = "dig"
+    while name in docs.columns:
+        name += "_"
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            digs = []
+            for words in word_chunks(batch.column(at)):
+                for i in range(len(words)):
+                    items = shingle_hashes(words.of(i), ngram)
+                    digs.append(_digest(items) if len(items) else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digs, pa.int64())], [*batch.schema.names, name])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))

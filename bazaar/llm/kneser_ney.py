@@ -18,12 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm.textops import U64, mix, span_hashes
 
-_WORD = re.compile(r"[^\W\d_]+")        # runs of letters
+_WORD = re.compile(r"[^\W\d_]+")        # runs of letters, and of numbers that are no digits
+_LETTERS = regex.compile(r"\p{L}+")
 _EDGE = 0                               # code of the word boundary symbol
 UNSEEN = 1.0 / 50_000                   # floor of the uniform distribution over symbols
 LONGEST = 64                            # longer runs of letters are scored in pieces of this size
@@ -32,6 +34,8 @@ LONGEST = 64                            # longer runs of letters are scored in p
 def words_of(text: str | None) -> list[str]:
     """Lower-cased runs of letters; an overlong run counts as several."""
     out = _WORD.findall(text.lower()) if text else []
+    if not all(map(str.isalpha, out)):
+        out = [w for run in out for w in _LETTERS.findall(run)]
     if out and len(max(out, key=len)) > LONGEST:
         out = [w[i:i + LONGEST] for w in out for i in range(0, len(w), LONGEST)]
     return out
