@@ -15,7 +15,7 @@ def _load() -> dict[str, Query]:
     global _LOADED
     if not _LOADED:
         # importing registers the queries
-        from bazaar.plans import report_queries, clean_queries, model_queries  # noqa: F401
+        from bazaar.plans import report_queries, clean_queries, model_queries, sink_queries  # noqa: F401
         _LOADED = True
     return REGISTRY
 
