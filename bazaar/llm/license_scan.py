@@ -9,6 +9,8 @@ projection of each row: nothing is shuffled, and a very long text costs in propo
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from bazaar.llm.license_rules import GATES, Rule, rules
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"      # before lower-casing: A-Z are word characters
 _TIERS = 5
+_BLOCK = 64         # elements appended to one array before it is closed
 _DETECTION = "array<struct<start:int,end:int,tier:int,rule:int,label:string,confidence:double,base:boolean>>"
 
 
@@ -31,22 +34,52 @@ def _spaces(s: Column) -> Column:
     return F.length(s) - F.length(F.replace(s, F.lit(" ")))
 
 
+def _running(items: Column, zero: Column, advance: Callable[[Column, Column], Column],
+             emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """``emit(state before, item)`` of every item, as arrays of ``kind``, joined; ``advance`` moves the state.
+
+    An array that grows in an aggregate is copied with every element. Here only the states at
+    the blocks' starts and the inside of a block grow, so the copies stay short.
+    """
+    def cut(all_items: Column) -> Column:
+        return F.when(F.size(all_items) == 0, F.slice(F.array(all_items), 1, F.lit(0))).otherwise(F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / _BLOCK).cast("int")),
+            lambda b: F.slice(all_items, b * _BLOCK + 1, F.lit(_BLOCK))))
+
+    def starts(blocks: Column) -> Column:
+        return F.aggregate(
+            blocks, F.struct(zero.alias("state"), F.slice(F.array(zero), 1, F.lit(0)).alias("starts")),
+            lambda acc, block: F.struct(F.aggregate(block, acc["state"], advance).alias("state"),
+                                        F.concat(acc["starts"], F.array(acc["state"])).alias("starts")),
+            lambda acc: acc["starts"])
+
+    def inside(block: Column, start: Column) -> Column:
+        return F.aggregate(
+            block, F.struct(start.alias("state"), F.array().cast(kind).alias("out")),
+            lambda acc, item: F.struct(advance(acc["state"], item).alias("state"),
+                                       F.concat(acc["out"], emit(acc["state"], item)).alias("out")),
+            lambda acc: acc["out"])
+    return _let(_let(items, cut), lambda blocks: F.flatten(F.zip_with(blocks, starts(blocks), inside)))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: inside a lambda an expression runs again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _detections(words: Column, rule: Column) -> Column:
     """The matches of one rule as word intervals [start, end]."""
-    hits = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
-    between = F.split(words, rule["pattern"])
-    # word positions: the spaces before a match, less the leading one
-    empty = F.struct(F.lit(0).alias("spaces"), F.array().cast(_DETECTION).alias("found"))
-
-    def step(acc: Column, pair: Column) -> Column:
-        before = acc["spaces"] + _spaces(pair["gap"])
-        size = _spaces(pair["hit"])
-        found = F.struct((before - 1).alias("start"), (before - 1 + size).alias("end"), rule["tier"].alias("tier"),
-                         rule["rule"].alias("rule"), rule["label"].alias("label"),
-                         rule["confidence"].alias("confidence"), rule["base"].alias("base"))
-        return F.struct((before + size).alias("spaces"), F.concat(acc["found"], F.array(found)).alias("found"))
-    pairs = F.transform(hits, lambda h, i: F.struct(h.alias("hit"), F.get(between, i).alias("gap")))
-    return F.aggregate(pairs, empty, step, lambda acc: acc["found"])
+    pairs = F.zip_with(
+        F.regexp_extract_all(words, rule["pattern"], F.lit(0)), F.split(words, rule["pattern"]),
+        lambda hit, gap: F.struct(_spaces(gap).cast("int").alias("gap"), _spaces(hit).cast("int").alias("size")))
+    pairs = F.filter(pairs, lambda p: p["size"].isNotNull())       # what follows the last match
+
+    def found(spaces: Column, pair: Column) -> Column:
+        start = spaces + pair["gap"] - 1        # word positions: the spaces before a match, less the leading one
+        return F.array(F.struct(
+            start.alias("start"), (start + pair["size"]).alias("end"), rule["tier"].alias("tier"), rule["rule"].alias("rule"),
+            rule["label"].alias("label"), rule["confidence"].alias("confidence"), rule["base"].alias("base")))
+    return _running(pairs, F.lit(0), lambda spaces, pair: spaces + pair["gap"] + pair["size"], found, _DETECTION)
 
 
 def _unsuppressed(found: Column) -> Column:
@@ -59,15 +92,14 @@ def _unsuppressed(found: Column) -> Column:
         d["start"].alias("start"), (-d["end"]).alias("back"), d["tier"].alias("tier"), d["rule"].alias("rule"),
         d["label"].alias("label"), d["confidence"].alias("confidence"))))
     kept = "array<struct<label:string,confidence:double>>"
-    zero = F.struct(F.array(*[F.lit(-1)] * _TIERS).alias("ends"), F.array().cast(kept).alias("kept"))
 
-    def step(acc: Column, d: Column) -> Column:
-        inside = F.get(acc["ends"], d["tier"] - 1) >= -d["back"]
-        ends = F.transform(acc["ends"], lambda e, t: F.when(t >= d["tier"] - 1, F.greatest(e, -d["back"])).otherwise(e))
+    def furthest(ends: Column, d: Column) -> Column:
+        return F.transform(ends, lambda e, t: F.when(t >= d["tier"] - 1, F.greatest(e, -d["back"])).otherwise(e))
+
+    def outside(ends: Column, d: Column) -> Column:
         one = F.array(F.struct(d["label"].alias("label"), d["confidence"].alias("confidence")))
-        return F.struct(ends.alias("ends"),
-                        F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], one)).alias("kept"))
-    return F.aggregate(order, zero, step, lambda acc: acc["kept"])
+        return F.when(F.get(ends, d["tier"] - 1) >= -d["back"], F.array().cast(kept)).otherwise(one)
+    return _running(order, F.array(*[F.lit(-1)] * _TIERS), furthest, outside, kept)
 
 
 def license_scan(docs: DataFrame, table: list[Rule] | None = None) -> DataFrame:
