@@ -136,25 +136,30 @@ def pearson(a: str, b: str) -> Column:
     return F.try_divide(F.covar_samp(x, y), F.nullif(denom, F.lit(0.0)))
 
 
+_PAIRS_AT_ONCE = 5      # pairs whose buffers (10 fields each) fit the codegen limit of 100 fields together
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long-form matrix (col_a, col_b, r) of every ordered pair, diagonal
     included, from one pass over the fact.
 
-    Each row is unpivoted into one (pair, x, y) row per column pair and the
-    pairs are grouped: every pair keeps a small aggregation buffer, so the
-    aggregate stays inside whole-stage codegen (one wide aggregate over all
-    pairs exceeds the codegen field limit), and partial aggregation leaves at
-    most one row per pair and task before the shuffle."""
+    Each row is unpivoted into one row per ``_PAIRS_AT_ONCE`` pairs, and the groups of pairs
+    are aggregated side by side: one wide aggregate over all pairs would leave
+    whole-stage codegen. Partial aggregation leaves at
+    most one row per group of pairs and task before the shuffle."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("_a"), F.lit(b).alias("_b"),
-                 F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"))
-        for a, b in pairs])))
-    r = long.groupBy("_a", "_b").agg(pearson("_x", "_y").alias("r"))
-    same = F.array(F.struct(F.col("_a").alias("col_a"), F.col("_b").alias("col_b"), "r"))
-    both = F.array(F.struct(F.col("_a").alias("col_a"), F.col("_b").alias("col_b"), "r"),
-                   F.struct(F.col("_b").alias("col_a"), F.col("_a").alias("col_b"), "r"))
-    return r.select(F.inline(F.when(F.col("_a") == F.col("_b"), same).otherwise(both)))
+    groups = [pairs[at:at + _PAIRS_AT_ONCE] for at in range(0, len(pairs), _PAIRS_AT_ONCE)]
+    spare = F.lit(None).cast("double")
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(g).alias("_g"), *[
+        x for i in range(_PAIRS_AT_ONCE)
+        for x in ((F.col(group[i][0]).cast("double").alias(f"_x{i}"), F.col(group[i][1]).cast("double").alias(f"_y{i}"))
+                  if i < len(group) else (spare.alias(f"_x{i}"), spare.alias(f"_y{i}")))])
+        for g, group in enumerate(groups)])))
+    r = long.groupBy("_g").agg(*[pearson(f"_x{i}", f"_y{i}").alias(f"_r{i}") for i in range(_PAIRS_AT_ONCE)])
+    cells = [F.struct(F.lit(g).alias("g"), F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"_r{i}").alias("r"))
+             for g, group in enumerate(groups) for i, (a, b) in enumerate(group)
+             for x, y in ({(a, b), (b, a)})]
+    return r.select("_g", F.inline(F.array(*cells))).where("g = _g").select("col_a", "col_b", "r")
 
 
 def linear_forecast(points: DataFrame, x: str, y: str, horizon: int = 3,
