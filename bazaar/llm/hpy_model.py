@@ -36,25 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm.common import map_arrow, materialize, with_defaults
-from bazaar.llm.textops import U64, mix, word_chunks
+from bazaar.llm.textops import U64, word_chunks
 
-CLASSES = 16            # hash classes of the previous word, of the class restaurants below; not used by score_corpus
 SWEEPS = 4              # Gibbs sweeps; the first BURN_IN are not averaged
 BURN_IN = 1
-INNER = 2               # passes between a word's classes and its root seating in a sweep
 BLOCK_BYTES = 20 << 20  # text per block, about (one longer text is a block of its own)
 CELLS = 1.0             # cells per block, at least
 EXACT = 256             # customers of an entry up to which its tables are drawn from their exact conditional
 STRENGTH = 1.0          # strength of every restaurant
-_LOW = 5                # low bits of a word hash that are left free for a class
+_LOW = 5                # low bits of a word hash that are left out
 END = U64(0x9D39247E33776D41) >> U64(_LOW) << U64(_LOW)
 START = U64(2**64 - 1) >> U64(_LOW) << U64(_LOW)      # the previous word of a document's first
 
-_BLOCK_SCHEMA = "block long, docs binary, held binary, bounds binary, tokens binary, classes binary, vocab binary"
-
-
-def context_class(words: np.ndarray) -> np.ndarray:
-    return ((words >> U64(40)) % U64(CLASSES)).astype(np.uint8)
+_BLOCK_SCHEMA = "block long, docs binary, held binary, bounds binary, tokens binary, vocab binary"
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -72,7 +66,7 @@ def _unpack(raw: bytes, count: int) -> np.ndarray:
 
 def encode_blocks(docs: DataFrame, modulus: int, held: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Blocks of documents: ids, held-out marks, token bounds, tokens as positions in the block's
-    distinct words (frequent ones first), these words' context classes and hashes. The end
+    distinct words (frequent ones first), and these words' hashes. The end
     token closes each document."""
     def run(batches):
         ids, marks, tokens, sizes, volume = [], [], [], [], 0
@@ -88,7 +82,7 @@ def encode_blocks(docs: DataFrame, modulus: int, held: int, block_bytes: int = B
             null = np.array([i is None for i in ids])
             docs_raw = np.concatenate([np.array(known, np.int64), null.astype(np.int64)])
             row = (uuid.uuid4().int & (2**63 - 1), docs_raw.tobytes(), np.array(marks, np.uint8).tobytes(),
-                   bounds.tobytes(), _pack(at), context_class(vocab).tobytes(), vocab.tobytes())
+                   bounds.tobytes(), _pack(at), vocab.tobytes())
             names = [c.split()[0] for c in _BLOCK_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], pa.int64() if i == 0 else pa.binary()) for i, v in enumerate(row)], names)
@@ -122,50 +116,13 @@ class Block:
     bounds: np.ndarray
     tokens: np.ndarray
     words: int              # distinct words
-    context: np.ndarray     # context class of each token
 
     @staticmethod
     def read(row: dict) -> Block:
         docs = np.frombuffer(row["docs"], np.int64).reshape(2, -1)
         bounds = np.frombuffer(row["bounds"], np.int64)
         tokens = _unpack(row["tokens"], int(bounds[-1]))
-        classes = np.frombuffer(row["classes"], np.uint8)
-        context = np.empty(len(tokens), np.int32)
-        context[1:] = classes[tokens[:-1]]
-        context[bounds[:-1]] = CLASSES
-        return Block(docs[0], docs[1] > 0, np.frombuffer(row["held"], np.uint8) > 0, bounds, tokens, len(classes), context)
-
-
-def count_words(blocks: DataFrame) -> DataFrame:
-    """(word, cls array, n array): the training customers of every word by context class."""
-    def run(batch):
-        for row in batch.to_pylist():
-            b = Block.read(row)
-            train = np.repeat(~b.held, np.diff(b.bounds))
-            count = np.bincount(b.tokens[train] * (CLASSES + 1) + b.context[train])
-            key = np.flatnonzero(count)
-            n = count[key]
-            vocab = np.frombuffer(row["vocab"], np.int64)
-            for i in range(0, len(key), 1 << 16):
-                part = key[i:i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(vocab[part // (CLASSES + 1)] | part % (CLASSES + 1)), pa.array(n[i:i + (1 << 16)].astype(np.int64))],
-                    ["key", "n"])
-    low = F.lit((1 << _LOW) - 1).cast("long")
-    counts = map_arrow(blocks, run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return (counts.select((F.col("key") - F.col("key").bitwiseAND(low)).alias("word"),
-                          F.col("key").bitwiseAND(low).cast("int").alias("cls"), "n")
-            .groupBy("word").agg(F.sort_array(F.collect_list(F.struct("cls", "n"))).alias("e"))
-            .select("word", F.col("e.cls").alias("cls"), F.col("e.n").alias("n")))
-
-
-@dataclass
-class Totals:
-    """What the sweeps exchange. Customers and tables per class, and of the root."""
-    customers: np.ndarray
-    tables: np.ndarray
-    root_customers: float
-    root_tables: float
+        return Block(docs[0], docs[1] > 0, np.frombuffer(row["held"], np.uint8) > 0, bounds, tokens, len(row["vocab"]) // 8)
 
 
 @dataclass
@@ -177,131 +134,6 @@ class Settings:
     unseen: float               # base share of an unseen word
 
 
-def _uniform(word: np.ndarray, salt: int) -> np.ndarray:
-    return (mix(word + U64(salt * 0x9E3779B97F4A7C15 & (2**64 - 1))) >> U64(11)).astype(np.float64) / (1 << 53)
-
-
-def seat(n: np.ndarray, fresh: np.ndarray, discount: float, word: np.ndarray, salt: int) -> np.ndarray:
-    """Tables after seating n customers who order the same dish, one after the other.
-
-    A customer opens a table with weight ``fresh`` (its restaurant's new-table mass times the
-    parent's probability), or joins one of t tables of m customers with weight
-    m - discount * t. From 16 customers on, blocks of an eighth of those seated are
-    drawn at once: the expected number of new tables, rounded at random.
-    """
-    tables, seated = np.minimum(n, 1).astype(np.float64), np.minimum(n, 1).astype(np.float64)
-    live, step = np.flatnonzero(n > 1), 0
-    while len(live):
-        step += 1
-        m, t = seated[live], tables[live]
-        size = np.minimum(np.where(m < 16, 1, np.floor(m / 8)), n[live] - m)
-        p = fresh[live] / (fresh[live] + m - discount * t)
-        tables[live] = t + np.floor(size * p + _uniform(word[live], salt * 1000 + step))
-        seated[live] = m + size
-        live = live[seated[live] < n[live]]
-    return tables
-
-
-def reseat(word: np.ndarray, at: np.ndarray, cls: np.ndarray, n: np.ndarray, past: Totals, s: Settings, sweep: int):
-    """One sweep over some words: tables per (word, class) entry, and the words' root customers and tables.
-
-    ``at`` is each entry's word position; the draws depend on word, class, sweep and step only.
-    """
-    entry = mix(word[at] + cls.astype(U64) * U64(0xD1B54A32D192ED03))
-    mass = STRENGTH + s.discount * past.tables[cls]
-    base = (1 - s.unseen) / max(1, s.words)
-    root_mass = STRENGTH + s.root_discount * past.root_tables
-    t = np.ones(len(n))
-    for inner in range(INNER):
-        customers = np.bincount(at, t, len(word))
-        tables = seat(customers, np.full(len(word), root_mass * base), s.root_discount, word, 4 * sweep + 2 * inner)
-        p = (customers - s.root_discount * tables + root_mass * base) / (STRENGTH + past.root_customers)
-        t = seat(n.astype(np.float64), mass * p[at], s.discount, entry, 4 * sweep + 2 * inner + 1)
-    customers = np.bincount(at, t, len(word))
-    tables = seat(customers, np.full(len(word), root_mass * base), s.root_discount, word, 4 * sweep + 3 + 1_000_000)
-    return t, customers, tables
-
-
-def _entries(batch: pa.RecordBatch):
-    word = batch.column("word").to_numpy().view(U64)
-    size = batch.column("cls").value_lengths().to_numpy()
-    return (word, np.repeat(np.arange(len(word)), size), batch.column("cls").flatten().to_numpy().astype(np.int64),
-            batch.column("n").flatten().to_numpy())
-
-
-def sweep_totals(vocab: DataFrame, past: Totals, s: Settings, sweep: int) -> Totals:
-    """The restaurants' totals after a sweep; CLASSES + 3 numbers reach the driver."""
-    def run(batches):
-        tables, root = np.zeros(CLASSES + 1), np.zeros(2)
-        for batch in batches:
-            if batch.num_rows:
-                word, at, cls, n = _entries(batch)
-                t, c, rt = reseat(word, at, cls, n, past, s, sweep)
-                tables += np.bincount(cls, t, CLASSES + 1)
-                root += (c.sum(), rt.sum())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(CLASSES + 3), pa.int64()), pa.array(np.concatenate([tables, root]))], ["k", "v"])
-    rows = vocab.mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
-    v = np.zeros(CLASSES + 3)
-    for r in rows:
-        v[r["k"]] = r["v"]
-    return Totals(past.customers, v[:CLASSES + 1], float(v[CLASSES + 1]), float(v[CLASSES + 2]))
-
-
-def settings(vocab: DataFrame) -> tuple[Settings, Totals]:
-    """Corpus totals and the discounts n1 / (n1 + 2 n2) from the counts of counts."""
-    e = vocab.select("word", F.explode(F.arrays_zip("cls", "n")).alias("e")).select("e.cls", "e.n")
-    by = {r["cls"]: r for r in e.groupBy("cls").agg(
-        F.sum("n").alias("customers"), F.count(F.lit(1)).alias("entries"), F.sum((F.col("n") == 1).cast("long")).alias("one"),
-        F.sum((F.col("n") == 2).cast("long")).alias("two")).collect()}     # one row per class
-    of = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)
-    w = vocab.select(of.alias("n")).agg(
-        F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens"), F.sum((F.col("n") == 1).cast("long")).alias("one"),
-        F.sum((F.col("n") == 2).cast("long")).alias("two")).first()
-
-    def discount(one: int, two: int) -> float:
-        return min(0.95, max(0.05, one / max(1, one + 2 * two)))
-    customers, entries = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    for c, r in by.items():
-        customers[c], entries[c] = r["customers"], r["entries"]
-    one, two = (sum(r[k] for r in by.values()) for k in ("one", "two"))
-    words, tokens = w["words"], w["tokens"] or 0
-    d, d0 = discount(one, two), discount(w["one"] or 0, w["two"] or 0)
-    # an unseen word's share of the base: the new-word mass that the words seen once call for
-    past = Totals(customers, entries, float(entries.sum()), float(words))
-    leave = (STRENGTH + d * past.tables) / (STRENGTH + customers)
-    share = float((leave * customers).sum() / max(1, tokens))
-    new = (STRENGTH + d0 * past.root_tables) / (STRENGTH + past.root_customers)
-    unseen = min(0.99, max(0.01, (w["one"] or 0) / max(1, tokens) / max(1e-12, share * new))) if words else 1.0
-    return Settings(words, tokens, d, d0, unseen), past
-
-
-def predictive(vocab: DataFrame, kept: list[tuple[int, Totals, Totals]], s: Settings) -> DataFrame:
-    """(word, c, payload): a word's training count, and packed: its root probability in each kept
-    sweep (float32), the classes it was seen in (uint8), its averaged probability there (float32)."""
-    def run(batch):
-        word, at, cls, n = _entries(batch)
-        count = np.bincount(at, n, len(word)).astype(np.int64)
-        base = (1 - s.unseen) / max(1, s.words)
-        root, seen = np.empty((len(word), len(kept)), np.float32), np.zeros(len(n))
-        for k, (sweep, past, now) in enumerate(kept):
-            t, c, rt = reseat(word, at, cls, n, past, s, sweep)
-            p = (c - s.root_discount * rt + (STRENGTH + s.root_discount * now.root_tables) * base) / (STRENGTH + now.root_customers)
-            root[:, k] = p
-            seen += (n - s.discount * t + (STRENGTH + s.discount * now.tables[cls]) * p[at]) / (STRENGTH + now.customers[cls])
-        seen = (seen / len(kept)).astype(np.float32)
-        kind = cls.astype(np.uint8)
-        first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(word)))])
-        payload = [root[i].tobytes() + kind[first[i]:first[i + 1]].tobytes() + seen[first[i]:first[i + 1]].tobytes()
-                   for i in range(len(word))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("word"), pa.array(count), pa.array(payload, pa.binary())], ["word", "c", "payload"])
-    return map_arrow(vocab, run, "word long, c long, payload binary")
-
-
-# --------------------------------------------------------------------------- #
-# One restaurant per previous word
-# --------------------------------------------------------------------------- #
 @lru_cache(maxsize=4)
 def _log_stirling(discount: float, most: int) -> np.ndarray:
     """Logarithms of the generalised Stirling numbers S(n, t): seatings of n customers at t tables."""

@@ -181,27 +181,6 @@ def test_hpy_model(docs, empty):
     assert all(r["train_tokens"] == n and r["score"] < 0 for r in rows)
 
 
-def test_hpy_is_normalised(docs):
-    """The predictive probabilities of all words and the unseen one add up to 1 in every context."""
-    from bazaar.llm import hpy_model as H
-    vocab = H.count_words(H.encode_blocks(docs.select("doc_id", "text"), 7, 2))
-    s, past = H.settings(vocab)
-    now = H.sweep_totals(vocab, past, s, 0)
-    root, seen = 0.0, np.zeros(H.CLASSES + 1)
-    gap = np.ones(H.CLASSES + 1)
-    leave = (H.STRENGTH + s.discount * now.tables) / (H.STRENGTH + now.customers)
-    for r in H.predictive(vocab, [(0, past, now)], s).collect():
-        p = np.frombuffer(r["payload"][:4], np.float32)[0]
-        m = (len(r["payload"]) - 4) // 5
-        kinds, values = list(r["payload"][4:4 + m]), np.frombuffer(r["payload"][4 + m:], np.float32)
-        root += p
-        for k, q in zip(kinds, values):
-            seen[k] += q - leave[k] * p
-    unseen = (H.STRENGTH + s.root_discount * now.root_tables) * s.unseen / (H.STRENGTH + now.root_customers)
-    assert abs(root + unseen - 1) < 1e-4
-    assert np.allclose(leave * (root + unseen) + seen, gap, atol=1e-3)
-
-
 def test_fingerprints(docs, empty, monkeypatch):
     from bazaar.llm import fingerprints as P
     assert P.fingerprints(empty).count() == 0
