@@ -253,8 +253,8 @@ class _Rows:
         ok &= ~self.mixed[i] | (self.own[i] != self.own[j])
         i, j = i[ok], j[ok]
         kept = []
-        for at in range(0, len(i), 1 << 16):
-            a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+        for at in range(0, len(i), 1 << 13):
+            a, b = i[at:at + (1 << 13)], j[at:at + (1 << 13)]
             apart = np.abs(self.cells[a].astype(np.int16) - self.cells[b]).sum(1)
             kept.append(apart <= (100 - t) * (n[a] + n[b]) // (100 + t))
         ok = np.concatenate(kept) if kept else np.empty(0, bool)
@@ -348,7 +348,7 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     common = np.zeros((len(sets), len(sets)), np.int64)     # callers multiply it: float32 would round
     order = np.argsort(at, kind="stable")
     at, row = at[order], row[order]
-    width = min(1 << 13, len(universe))
+    width = min(1 << 11, len(universe))
     for first in range(0, len(universe), width):
         i, j = np.searchsorted(at, [first, first + width])
         part = np.zeros((len(sets), width), np.float32)
