@@ -361,7 +361,7 @@ def return_rate_by_category(df: Source) -> DataFrame:
 
 
 def rating_box_by_return(df: DataFrame) -> DataFrame:
-    return stats.box_summary(df, ["return_status"], "customer_rating")
+    return stats.box_summary(df, ["return_status"], "customer_rating", few_values=True)
 
 
 def _value_histogram(df: Source, value: str, bins: int) -> DataFrame:

@@ -102,12 +102,31 @@ def fixed_edge_histogram(df: DataFrame, value: str, edges: list[float]) -> DataF
         "bin_lo", "bin_hi", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-def box_summary(df: DataFrame, keys: list[str], value: str, whis: float = 1.5) -> DataFrame:
+def _box_of_counts(df: DataFrame, keys: list[str], value: str, whis: float) -> DataFrame:
+    """``box_summary`` from one (group, value, count) table: one scan, nothing written."""
+    v = F.col(value)
+    counts = df.where(_not_null(keys + [value]) & ~F.isnan(v.cast("double"))) \
+        .groupBy(*keys, v.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    q = counts.groupBy(*keys).agg(F.sum("_c").alias("n"), F.percentile("_v", [0.25, 0.5, 0.75], F.col("_c")).alias("_q"))
+    q = q.select(*keys, "n", *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(("q1", "median", "q3"))])
+    reach = whis * (F.col("q3") - F.col("q1"))
+    inside = (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach)
+    return counts.join(q, keys).groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in ("n", "q1", "median", "q3")],
+        F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"), F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).alias("outliers"))
+
+
+def box_summary(df: DataFrame, keys: list[str], value: str, whis: float = 1.5, few_values: bool = False) -> DataFrame:
     """Box-plot numbers per group: quartiles (linear), whiskers at the most
     extreme values inside [q1 - whis*IQR, q3 + whis*IQR], and outlier count.
 
     Columns: keys, n, q1, median, q3, whisker_lo, whisker_hi, outliers.
+    ``few_values`` says that the domain bounds a group's distinct values (ratings): then everything
+    comes from one table of their counts.
     """
+    if few_values:
+        return _box_of_counts(df, keys, value, whis)
     q = exact_quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     # one row per group, written once: read by the fact join and the output
     fences = materialize(q.select(

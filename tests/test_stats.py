@@ -52,9 +52,10 @@ def test_fixed_edge_histogram_matches_numpy(spark):
     assert got["count"].tolist() == counts.tolist()
 
 
-def test_box_summary_matches_pandas(spark, sample):
+@pytest.mark.parametrize("few_values", [False, True])
+def test_box_summary_matches_pandas(spark, sample, few_values):
     pdf, sdf = sample
-    got = stats.box_summary(sdf, ["g"], "v").toPandas().set_index("g").sort_index()
+    got = stats.box_summary(sdf, ["g"], "v", few_values=few_values).toPandas().set_index("g").sort_index()
     for g, s in pdf.dropna().groupby("g")["v"]:
         q1, q3 = s.quantile(0.25), s.quantile(0.75)
         lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
