@@ -13,9 +13,11 @@ need no such file; its size is that of one vocabulary.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
+import string
 
 import numpy as np
 import public_tokenizers
@@ -35,6 +37,8 @@ _WIDE = 64          # longer fragments are merged one by one
 # An optional space and a run of non-spaces, or white space as the pre-tokeniser's pattern
 # takes it: every match is a union of whole pieces.
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+# Signs that follow a word as one piece; not the apostrophe, which may begin a contraction.
+_SIGNS = string.punctuation.replace("'", "")
 # White space to Python's re, but not to the pre-tokeniser.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -189,7 +193,7 @@ class ByteBpe:
     @staticmethod
     def _is_word(chunk: str) -> bool:
         """Whether a chunk is surely a single piece."""
-        return (chunk[1:] if chunk[0] == " " else chunk).isalpha()
+        return chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha())
 
     def _split(self, text: str) -> list[str]:
         """The chunks of a text in order; a special token is a chunk."""
@@ -211,7 +215,11 @@ class ByteBpe:
             if c in known.old:
                 known[c]
             elif c not in self.special:
-                mine = [c] if self._is_word(c) else self.piece.findall(c)
+                word = c.rstrip(_SIGNS)
+                if not word or not self._is_word(word):
+                    mine = self.piece.findall(c)
+                else:
+                    mine = [c] if len(word) == len(c) else [word, c[len(word):]]
                 held.append((c, len(mine)))
                 pieces += mine
         if held:
@@ -267,8 +275,13 @@ def _per_text(docs: DataFrame, fn, schema: str, types: list[pa.DataType], path:
             while at + len(held) < batch.num_rows and len(held) < _SLICE and chars < _CHARS:
                 held.append(texts[at + len(held)].as_py() or "")
                 chars += len(held[-1])
+            gc.disable()        # many small objects and no cycles: the collector would only walk the memo
+            try:
+                rows = fn(encoder, held)
+            finally:
+                gc.enable()
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, len(held)).cast(pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*fn(encoder, held)), types)]], names)
+                [ids.slice(at, len(held)).cast(pa.int64()), *[pa.array(c, t) for c, t in zip(zip(*rows), types)]], names)
             at += len(held)
     return map_arrow(with_defaults(docs, "doc_id", "text"), run, schema)
 

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from bazaar.llm import bpe
 
 PARTS = ["the", "Word", "word,", "don't", "  ", "\n\n", "\t", "\x1c", " ", "é", "straße", "漢字", "😀", "12345", "...!?", "_x_", "<|endoftext|>",
-         "a" * 70, "ab" * 150, "Ω≈ç√", "\x85", "(see", "e.g.", "'ll", "​", "́", "½", "thaterororenble"]
+         "a" * 70, "ab" * 150, "Ω≈ç√", "\x85", "(see", "e.g.", "'ll", "​", "́", "½", "thaterororenble", "word%%%", "eau***,", "end.)\"", "Wort$$$", "a_b", "x'", "y's.", "z'll,", "été!"]
 
 
 def test_equal_to_the_library_over_batches():
