@@ -11,7 +11,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.operators.joins import lookup_join
@@ -196,7 +196,10 @@ def linear_forecast(points: DataFrame, x: str, y: str, horizon: int = 3,
                       (F.col("intercept") + F.col("slope") * F.col(x)).alias(f"forecast_{y}"))
 
 
-def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1, oversample: int = 8) -> DataFrame:
+_PREFIX_DIGITS = 5      # hexadecimal digits of a sample's histogram: 2^20 buckets at most
+
+
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
     """At most ``n`` rows chosen by a seeded hash of ``key``: the same rows
     on any partitioning.
 
@@ -205,26 +208,15 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1, oversample: int
     the key are ordered by all remaining columns.
 
     A plain top-n keeps n candidates per task and merges them all in one
-    place (tasks x n rows). Here, rows are first kept only when the 32-bit
-    prefix of their hash (whose order is the hash order) is below a cut
-    chosen for about ``oversample`` x n rows. When at least n rows pass, the
-    n smallest hashes are all among them, so the result is exact; otherwise
-    the plain top-n over all rows is taken. The cost is one extra counting
-    pass, fully parallel, instead of a merge of tasks x n rows in one place.
-    The small result is written once under the checkpoint folder. A NULL key
-    hashes like an empty one, so it passes the cut like any other row."""
+    place (tasks x n rows). Here the rows are first counted by the leading digits
+    of their hash, whose order is the hash order; the first bucket by which n rows
+    are reached is the cut (none, if there are fewer rows), and the top-n is taken of the rows
+    up to it: n and one bucket, a millionth of the rows. One plan for every size,
+    and nothing runs before the query does. A NULL key hashes like an empty one."""
     h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{seed}")))
     rest = [c for c in df.columns if c != key]
-
-    def top(frame: DataFrame) -> DataFrame:
-        return frame.orderBy(h, F.col(key), *rest).limit(n)
-
-    total = df.count()
-    if total <= oversample * n:
-        return materialize(top(df), "sample")
-    cut = int((1 << 32) * oversample * n / total)
-    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
-    picked = materialize(top(df.where(prefix < F.lit(cut))), "sample")
-    if picked.count() >= n:
-        return picked
-    return materialize(top(df), "sample")
+    prefix = F.substring(h, 1, _PREFIX_DIGITS)
+    running = F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0))   # of the buckets
+    cut = df.groupBy(prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_run", running) \
+        .agg(F.min(F.when(F.col("_run") >= n, F.col("_p")))).scalar()
+    return df.where(prefix <= F.coalesce(cut, F.lit("g"))).orderBy(h, F.col(key), *rest).limit(n)

@@ -119,13 +119,13 @@ def test_approx_options_are_close_to_exact(spark):
     assert row.e == 5000 and abs(row.a - 5000) <= 0.15 * 5000
 
 
-@pytest.mark.parametrize("oversample", [4, 0.01])   # prefilter path, forced fallback path
-def test_sample_rows_equals_brute_force_md5_order(spark, oversample):
+@pytest.mark.parametrize("n", [1, 25, 2999, 3000, 5000])
+def test_sample_rows_equals_brute_force_md5_order(spark, n):
     import hashlib
     from pyspark.sql import functions as F
     df = spark.range(3000).select((F.col("id") % 1700).cast("string").alias("k"),
                                   (F.col("id") % 7).cast("double").alias("x"))
-    got = [tuple(r) for r in stats.sample_rows(df, 25, "k", seed=3, oversample=oversample).collect()]
+    got = [tuple(r) for r in stats.sample_rows(df, n, "k", seed=3).collect()]
     rows = [(str(i % 1700), float(i % 7)) for i in range(3000)]
-    exp = sorted(rows, key=lambda r: (hashlib.md5(f"{r[0]}#3".encode()).hexdigest(), r[0], r[1]))[:25]
+    exp = sorted(rows, key=lambda r: (hashlib.md5(f"{r[0]}#3".encode()).hexdigest(), r[0], r[1]))[:n]
     assert sorted(got) == sorted(exp)
