@@ -62,19 +62,22 @@ def _hits(counts: DataFrame, within: list[str], wants: Column) -> DataFrame:
 
 
 def radix_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    names: list[str] | None = None) -> DataFrame:
+                    names: list[str] | None = None, written: bool = False) -> DataFrame:
     """Exact quantiles per group with linear interpolation between order statistics
     (h = (n - 1) * p), the numpy/pandas default: keys, n and ``names`` (default q0, q1, ...).
 
-    Rows with a NULL key or a missing value are ignored, like a pandas group-by. The input is read
-    three times; the buckets wanted by a round, one row per group and wanted rank
-    at most, are written, and broadcast when their measured size allows it.
+    Rows with a NULL key or a missing value are ignored, like a pandas group-by. The keys and the value
+    are written once and read three times, so that what ``df`` is made from (joins) runs
+    once; ``written=True`` says that ``df`` already reads a written table. The buckets wanted by a
+    round, one row per group and wanted rank at most, are written, and broadcast when their measured
+    size allows it.
     """
     names = names or [f"q{i}" for i in range(len(probs))]
     group = [f"_k{i}" for i in range(len(keys))] or ["_g"]
     named = [F.col(k).alias(g) for k, g in zip(keys, group)] if keys else [F.lit(0).alias("_g")]
     v = F.col(value).cast("double")
-    rows = df.where(_present(keys, v)).select(*named, v.alias("_v")).withColumn("_k", order_key(F.col("_v")))
+    rows = df.where(_present(keys, v)).select(*named, v.alias("_v"))
+    rows = (rows if written else materialize(rows, "radix-rows", codec="zstd")).withColumn("_k", order_key(F.col("_v")))
 
     counts = rows.groupBy(*group, F.shiftright("_k", SHIFTS[0]).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     counts = counts.withColumn("_n", F.sum("_c").over(Window.partitionBy(*group)))

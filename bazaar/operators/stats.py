@@ -127,14 +127,15 @@ def box_summary(df: DataFrame, keys: list[str], value: str, whis: float = 1.5, f
     """
     if few_values:
         return _box_of_counts(df, keys, value, whis)
-    q = exact_quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    v = F.col(value)
+    # the keys and the value, written once: read by the quantiles and by the join with the fences
+    body = materialize(df.where(_not_null(keys + [value])).select(*keys, v.alias("_v")), "box-rows", codec="zstd")
+    q = exact_quantiles(body, keys, "_v", [0.25, 0.5, 0.75], ["q1", "median", "q3"], written=True)
     # one row per group, written once: read by the fact join and the output
     fences = materialize(q.select(
         *keys, "n", "q1", "median", "q3",
         (F.col("q1") - whis * (F.col("q3") - F.col("q1"))).alias("_lf"),
         (F.col("q3") + whis * (F.col("q3") - F.col("q1"))).alias("_hf")), "fences")
-    v = F.col(value)
-    body = df.where(_not_null(keys + [value])).select(*keys, v.alias("_v"))
     # broadcast after a size check, so the fact is not shuffled onto few keys
     joined = lookup_join(body, fences.select(*keys, "_lf", "_hf"), keys, "inner", written=True)
     inside = (F.col("_v") >= F.col("_lf")) & (F.col("_v") <= F.col("_hf"))

@@ -85,3 +85,19 @@ def test_box_reads_no_values_twice_into_a_shuffle(table):
         inside = s[(s >= lo) & (s <= hi)]
         assert got.loc[g, "outliers"] == len(s) - len(inside)
         assert got.loc[g, "whisker_lo"] == inside.min() and got.loc[g, "whisker_hi"] == inside.max()
+
+
+def test_the_input_is_made_once(spark):
+    """A join below the quantiles and the box runs once: the values come from a written copy."""
+    made = spark.sparkContext.accumulator(0)
+    src = spark.createDataFrame([(g, float(i)) for g in "ab" for i in range(50)], "g string, v double")
+
+    def seen(it):
+        for batch in it:
+            made.add(batch.num_rows)
+            yield batch
+    df = src.mapInArrow(seen, src.schema)
+    got = {r["g"]: r["q0"] for r in S.radix_quantiles(df, ["g"], "v", [0.5]).collect()}
+    assert got == {"a": 24.5, "b": 24.5} and made.value == 100
+    assert {r["g"]: r["outliers"] for r in stats.box_summary(df, ["g"], "v").collect()} == {"a": 0, "b": 0}
+    assert made.value == 200
