@@ -23,6 +23,8 @@ def product_dim(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     order = order or ["transaction_id"]
     cols = [c for c in PRODUCT_COLUMNS if c in df.columns]
     payload = [c for c in cols if c != "product_id"]
+    if not payload:
+        return df.select("product_id").distinct()
     picked = df.groupBy("product_id").agg(F.min_by(F.struct(*payload), _order(order)).alias("_r"))
     return picked.select("product_id", *[F.col(f"_r.{c}").alias(c) for c in payload])
 
@@ -34,14 +36,14 @@ def _first_non_null(col: str, order: list[str]) -> Column:
 
 def customer_dim(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """L2: first non-NULL city/state/tier/age group, Prime if any order was,
-    order count and total spend, one aggregation per customer."""
+    order count and total spend, one aggregation per customer. Absent columns are left out."""
     order = order or ["transaction_id"]
-    return df.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        *[_first_non_null(c, order).alias(c)
-          for c in ("customer_city", "customer_state", "customer_tier", "age_group")],
-        F.bool_or("is_prime_member").alias("is_prime_member"),
-        F.count("transaction_id").alias("total_orders"),
-        F.coalesce(money_sum("final_amount_inr"), F.lit(0.0)).alias("total_spend"))
+    aggs = {c: _first_non_null(c, order) for c in ("customer_city", "customer_state", "customer_tier", "age_group")} | {
+        "is_prime_member": F.bool_or("is_prime_member")}
+    aggs = {c: agg for c, agg in aggs.items() if c in df.columns} | {"total_orders": F.count("transaction_id")}
+    if "final_amount_inr" in df.columns:
+        aggs["total_spend"] = F.coalesce(money_sum("final_amount_inr"), F.lit(0.0))
+    return df.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(*[a.alias(c) for c, a in aggs.items()])
 
 
 def time_dim(df: DataFrame, date_col: str = "order_date") -> DataFrame:

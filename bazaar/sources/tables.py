@@ -28,10 +28,10 @@ def days_between(later: Column, earlier: Column) -> Column:
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean fact in the dictionary's column order and types.
 
-    Join order keeps the small dimension chain (customer x nation x region)
-    apart from the fact; nation and region are planned as broadcast joins by
-    their file statistics, the fact joins shuffle on their keys (AQE splits a
-    skewed key partition).
+    Join order: a shuffle of line items carries what was joined before it, so the parts come
+    first, and orders meet their customers (nation and region are broadcast by their file
+    statistics) before the line items, which are shuffled by part and by order only. AQE splits a
+    skewed key partition.
     """
     li = spread(table(spark, sf_dir, "lineitem"))
     o = table(spark, sf_dir, "orders")
@@ -42,9 +42,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cust = (c.join(n, c.c_nationkey == n.n_nationkey)
              .join(r, n.n_regionkey == r.r_regionkey))
-    fact = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(cust, o.o_custkey == cust.c_custkey)
-              .join(p, li.l_partkey == p.p_partkey))
+    placed = o.join(cust, o.o_custkey == cust.c_custkey)
+    fact = (li.join(p, li.l_partkey == p.p_partkey)
+              .join(placed, li.l_orderkey == o.o_orderkey))
 
     month = F.month("o_orderdate")
     festive = month.isin(10, 11)

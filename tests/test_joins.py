@@ -89,3 +89,36 @@ def test_salted_join_multi_column_key_equals_plain_join(spark, how):
     plain = sorted(tuple(r) for r in fact.join(look, ["a", "b"], how).collect())
     salted = sorted(tuple(r) for r in salted_join(fact, look, ["a", "b"], how, 7).collect())
     assert plain == salted
+
+
+def _scans_of_lineitem(spark, build):
+    """How often the jobs of ``build`` scan the line items, from the plans of its queries."""
+    import pyspark.sql.readwriter as rw
+    count, plain = [0], rw.DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kw):
+        count[0] += self._df._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey") > 0
+        return plain(self, path, *args, **kw)
+    rw.DataFrameWriter.parquet = parquet
+    try:
+        out = build()
+    finally:
+        rw.DataFrameWriter.parquet = plain
+    return count[0], "l_orderkey" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_queries_of_several_passes_join_the_fact_once(spark):
+    from bazaar.plans import catalog
+    from sf_paths import SF_SMALL
+    for name in ("pk_violations", "keep_first_loads", "price_box_by_category", "category_median_price"):
+        assert _scans_of_lineitem(spark, lambda: catalog.queries()[name](spark, SF_SMALL)) == (1, False), name
+
+
+def test_line_items_are_joined_with_placed_orders(spark):
+    """Orders meet their customers before the line items, which are shuffled by part and by order only."""
+    import re
+    from bazaar.sources.tables import sales
+    from sf_paths import SF_SMALL
+    plan = sales(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = re.findall(r"Join Inner, \(+([a-z]_[a-z]+)#\d+L? = ([a-z]_[a-z]+)#", plan)
+    assert joins[:2] == [("l_orderkey", "o_orderkey"), ("l_partkey", "p_partkey")] and ("o_custkey", "c_custkey") in joins
