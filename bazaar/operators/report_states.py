@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.functions import discount_band, money_avg, money_parts, money_sum, money_total
+from bazaar.functions import discount_band, money_avg, money_limbs, money_of_limbs, money_sum, money_total
 from bazaar.operators import dictionary
 from bazaar.sources.scratch import materialize
 
@@ -89,17 +89,23 @@ def report_states(fact: DataFrame) -> DataFrame:
         fact = fact.withColumn("band", discount_band("discount_percent"))
     sets = {name: [*FILTER_KEYS, *keys] for name, keys in SETS.items() if set(keys) <= set(fact.columns)}
     cols = list(dict.fromkeys(c for keys in sets.values() for c in keys))
-    exact, odd = money_parts(AMOUNT)
+    # whatever needs one row only is done before the row is repeated for every set
+    amount = F.col(AMOUNT).cast("double")
+    limbs, odd = money_limbs(AMOUNT)
+    fact = fact.select(
+        *[F.col(c) for c in cols], *[limb.alias(f"_limb{i}") for i, limb in enumerate(limbs)], odd.alias("_odd"),
+        F.coalesce(_returned(), F.lit(False)).alias("_returned"), (amount.isNotNull() & ~F.isnan(amount)).alias("_priced"),
+        F.col("transaction_id").isNotNull().alias("_order"), F.col("delivery_days").alias("_days"), F.col("order_date").alias("_date"))
     # bit i of the grouping id (from the left) is set where column i is not in the set
     number = {sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys): name for name, keys in sets.items()}
     named = F.coalesce(*[F.when(F.col("_set") == n, F.lit(name)) for n, name in number.items()])
     return fact.groupingSets([[F.col(c) for c in keys] for keys in sets.values()], *[F.col(c) for c in cols]).agg(
         F.grouping_id().alias("_set"),
-        F.count(F.lit(1)).alias("rows"), F.count("transaction_id").alias("orders"),
-        exact.alias("exact"), odd.alias("odd"), F.count(F.nanvl(F.col(AMOUNT).cast("double"), F.lit(None))).alias("priced"),
-        F.count_if(F.coalesce(_returned(), F.lit(False))).alias("returned"),
-        F.count("delivery_days").alias("delivered"), F.sum("delivery_days").alias("days"),
-        F.max("order_date").alias("last")).withColumn("report_set", named).drop("_set")
+        F.count(F.lit(1)).alias("rows"), F.count_if("_order").alias("orders"),
+        money_of_limbs(*[F.sum(f"_limb{i}") for i in range(len(limbs))]).alias("exact"), F.sum("_odd").alias("odd"),
+        F.count_if("_priced").alias("priced"), F.count_if("_returned").alias("returned"),
+        F.count("_days").alias("delivered"), F.sum("_days").alias("days"),
+        F.max("_date").alias("last")).withColumn("report_set", named).drop("_set")
 
 
 def filter_condition(years: tuple[int, int] | None = None, categories: list[str] | None = None,

@@ -166,3 +166,18 @@ def test_parse_date_grid_matches_python(spark):
     got = {r["v"]: r["d"] for r in df.select("v", Fn.parse_date("v", None).alias("d")).collect()}
     bad = [(t, got[t], _python_parse_date(t)) for t in texts if got[t] != _python_parse_date(t)]
     assert not bad, bad[:10]
+
+
+def test_money_limbs_sum_like_money_parts(spark):
+    from pyspark.sql import functions as F
+    from bazaar.functions import money_limbs, money_of_limbs, money_parts
+    values = [0.0, 1e-4, -1e-4, 9e-5, 99999998.99, 99999999.0, 1e8, -123456789.12, 9.999999999999998e16, 1e17, 12.3456, None,
+              float("inf"), float("nan"), -31234567890123.25]
+    df = spark.createDataFrame(list(enumerate(values)), "g int, v double")
+    exact, odd = money_parts("v")
+    limbs, rest = money_limbs("v")
+    parts = df.select("g", *[x.alias(f"l{i}") for i, x in enumerate(limbs)], rest.alias("o"))
+    sums = money_of_limbs(*[F.sum(f"l{i}") for i in range(3)])
+    for keys in ([], ["g"]):
+        want = {tuple(r) for r in df.groupBy(*keys).agg(exact.alias("e"), odd.alias("o")).collect()}
+        assert {tuple(r) for r in parts.groupBy(*keys).agg(sums.alias("e"), F.sum("o").alias("o")).collect()} == want
