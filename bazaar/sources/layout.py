@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.operators.joins import lookup_join
+from bazaar.operators.joins import broadcast_threshold, lookup_join, measured_bytes
 from bazaar.sources.scratch import materialize
 
 BITS = 6                # of a column on the curve: 64 places
@@ -24,7 +24,11 @@ def curve_places(df: DataFrame, col: str, bits: int = BITS) -> DataFrame:
 
     Sorted in ranges; the shares below a range are a running sum over one row per range.
     """
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    return _places(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n")), col, bits)
+
+
+def _places(counts: DataFrame, col: str, bits: int) -> DataFrame:
+    """:func:`curve_places` from the rows of every value (col, _n)."""
     counts = materialize(counts.orderBy(col).withColumn("_at", F.monotonically_increasing_id()), "curve") \
         .withColumn("_part", F.shiftright("_at", _IN_PARTITION))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,16 +51,36 @@ def z_value(places: list[Column], bits: int = BITS) -> Column:
     return out
 
 
+def _placed(df: DataFrame, col: str, places: DataFrame, name: str) -> DataFrame:
+    """``df`` with the place of ``col`` as ``name`` (NULL for NULL). A table of values beyond the
+    broadcast bound is cut down to the smallest value of every place, 2^bits rows: a place rises with
+    the value, so these tell it, and the rows are not shuffled for a join with the values."""
+    places = materialize(places.withColumnRenamed("place", name), "curve-places")
+    bound = broadcast_threshold(df.sparkSession)
+    if 0 <= measured_bytes(places) <= bound:
+        return lookup_join(df, places, col, "left", written=True)
+    cuts = places.groupBy(name).agg(F.min(col).alias("_from")) \
+        .withColumn("_to", F.lead("_from").over(Window.orderBy(name)))
+    inside = (F.col(col) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(col) < F.col("_to")))
+    return df.join(F.broadcast(cuts), inside, "left").drop("_from", "_to")
+
+
 def along_curve(df: DataFrame, cols: list[str], first: list[str] | None = None, bits: int = BITS) -> DataFrame:
     """``df`` dealt and sorted by ``first``, then along the curve over ``cols``. A row hash ends
-    the key, so a combination that holds a third of all rows spans many tasks. NULL is place 0."""
-    first, laid, places = first or [], df, []
+    the key, so a combination that holds a third of all rows spans many tasks. NULL is place 0.
+
+    One aggregation counts the values of all ``cols``.
+    """
+    first, laid = first or [], df
+    counts = materialize(df.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")), "curve-counts")
     for i, c in enumerate(cols):
-        places.append(F.coalesce(F.col(f"_place{i}"), F.lit(0)))
-        laid = lookup_join(laid, curve_places(df, c, bits).withColumnRenamed("place", f"_place{i}"), c, "left",
-                           label="curve-places")
+        # bit i of the grouping id (from the left) is clear in the set of column i
+        own = (1 << len(cols)) - 1 - (1 << (len(cols) - 1 - i))
+        values = counts.where((F.col("_set") == own) & F.col(c).isNotNull()).select(c, "_n")
+        laid = _placed(laid, c, _places(values, c, bits), f"_place{i}")
     plain = [F.col(f"`{c}`") for c in df.columns]
-    laid = laid.select(*plain, z_value(places, bits).alias("_z"))
+    laid = laid.select(*plain, z_value([F.coalesce(F.col(f"_place{i}"), F.lit(0)) for i in range(len(cols))], bits).alias("_z"))
     row_hash = F.xxhash64(*plain)
     return laid.repartitionByRange(*first, "_z", row_hash).sortWithinPartitions(*first, "_z", *cols).drop("_z")
 

@@ -143,3 +143,20 @@ def test_manifests(spark, scratch):
     reader = v.read("t", made[2])
     assert v.retire(keep=3) == made[:2] and reader.count() == 3
     assert sorted(os.listdir(os.path.join(scratch, "versions"))) == sorted(made[2:])
+
+
+def test_large_place_tables_are_cut_to_their_bounds(spark):
+    """Beyond the broadcast bound a row's place comes from the smallest value of every place."""
+    df = spark.createDataFrame([(f"v{i * i % 997:04d}", i % 3) for i in range(3000)] + [(None, 1)], "c string, n int")
+    places = L.curve_places(df, "c", 4)
+    want = {r["c"]: r["place"] for r in places.collect()} | {None: None}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1KB")
+    try:
+        got = L._placed(df, "c", places, "p")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" in plan
+    assert len(rows) == 3001 and {r["c"]: r["p"] for r in rows} == want
