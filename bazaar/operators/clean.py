@@ -121,12 +121,15 @@ def clean_payments(df: DataFrame, col: str = "payment_method") -> DataFrame:
 def dedup_keep_first(df: DataFrame, key: str = "transaction_id",
                      order: list[str] | None = None) -> DataFrame:
     """CL8: one row per ``key`` (NULL keys collapse to one), the first in
-    ``order``. ``min_by`` combines map-side, so a key repeated across the
+    ``order``. ``min`` and ``min_by`` combine map-side, so a key repeated across the
     whole table is reduced in every task before the shuffle."""
-    order = order or [c for c in df.columns if c != key]
     payload = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(
-        F.min_by(F.struct(*payload), F.struct(*order)).alias("_row"))
+    order = order or payload
+    if set(order) - {key} == set(payload):      # the order holds the whole row: it is carried once
+        first = F.min(F.struct(*[c for c in order if c != key]))
+    else:
+        first = F.min_by(F.struct(*payload), F.struct(*order))
+    picked = df.groupBy(key).agg(first.alias("_row"))
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 

@@ -46,6 +46,20 @@ def test_dedup_hot_key_is_combined_map_side(spark):
     assert "partial_min_by" in plan or "partial_" in plan
 
 
+def test_dedup_carries_the_row_once(spark):
+    """Where the order is the whole row, it is not shuffled a second time beside the row."""
+    rows = [("a", 2, None, 1.5), ("a", None, "x", 2.5), ("a", None, "x", 0.5), (None, 7, "n", None), (None, 7, None, 3.0),
+            ("b", 1, "y", 1.0), ("b", 1, "y", 1.0)]
+    df = spark.createDataFrame(rows, "transaction_id string, seq int, note string, price double")
+    want = {(None, 7, None, 3.0), ("a", None, "x", 0.5), ("b", 1, "y", 1.0)}        # NULLs come first
+    out = C.dedup_keep_first(df)
+    assert out.columns == df.columns and {tuple(r) for r in out.collect()} == want and out.count() == 3
+    assert "min_by" not in out._jdf.queryExecution().executedPlan().toString()
+    other = C.dedup_keep_first(df, order=["price", "seq", "note", "transaction_id"])  # another order, with the key
+    assert {tuple(r) for r in other.collect()} == {(None, 7, "n", None), ("a", None, "x", 0.5), ("b", 1, "y", 1.0)}
+    assert "min_by" in C.dedup_keep_first(df, order=["seq"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_alias_round_trip(spark):
     """clean(inject(x)) == x for every canonical value with variants."""
     rows = [(i, c) for i, c in enumerate(list(CITY_VARIANTS) * 40)]
