@@ -96,7 +96,11 @@ def money_of_limbs(low: Column, middle: Column, high: Column) -> Column:
     # room for two carries: a wider type would give up decimals in the addition
     places = ((low, "0.0000000001", "decimal(10,10)"), (middle, "0.1", "decimal(1,1)"), (high, "100000000", "decimal(9,0)"))
     parts = [(limb.cast("decimal(19,0)") * F.lit(value).cast(kind)).cast("decimal(36,10)") for limb, value, kind in places]
-    return (parts[0] + parts[1] + parts[2]).cast(MONEY_DECIMAL)
+    whole = (parts[0] + parts[1] + parts[2]).cast(MONEY_DECIMAL)
+    # nearly all sums fit one BIGINT of units: one decimal operation instead of eleven
+    small = (high == 0) & (F.abs(middle) < 10 ** 8) & (F.abs(low) < 10 ** 17)
+    units = F.when(small, middle * 10 ** 9 + low).cast("decimal(18,0)")
+    return F.coalesce((units * F.lit("0.0000000001").cast("decimal(10,10)")).cast(MONEY_DECIMAL), whole)
 
 
 def money_total(exact: Column, odd: Column) -> Column:

@@ -181,3 +181,20 @@ def test_money_limbs_sum_like_money_parts(spark):
     for keys in ([], ["g"]):
         want = {tuple(r) for r in df.groupBy(*keys).agg(exact.alias("e"), odd.alias("o")).collect()}
         assert {tuple(r) for r in parts.groupBy(*keys).agg(sums.alias("e"), F.sum("o").alias("o")).collect()} == want
+
+
+def test_money_of_limbs_where_one_bigint_ends(spark):
+    """The sums of one BIGINT of units and those beyond it agree with decimal arithmetic, and the
+    first take one decimal operation."""
+    from decimal import Decimal
+    from bazaar.functions import money_of_limbs
+    edges = [0, 1, -1, 10 ** 8 - 1, 10 ** 8, -10 ** 8, 10 ** 8 + 1, 10 ** 17 - 1, 10 ** 17, -10 ** 17 + 1, -10 ** 17, 9 * 10 ** 17]
+    rows = [(a, b, c) for a in edges for b in edges for c in (0, 1, -3)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    out = df.select("*", money_of_limbs(F.col("a"), F.col("b"), F.col("c")).alias("m"))
+    assert out.schema["m"].dataType.simpleString() == "decimal(38,10)"
+    for a, b, c, m in out.collect():
+        want = None if a is None else (a + b * 10 ** 9 + c * 10 ** 18)
+        assert (m is None) == (want is None) and (m is None or int(m * Decimal(10 ** 10)) == want), (a, b, c, m)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(18,0)" in plan
