@@ -23,7 +23,8 @@ order of their 64-bit hashes). The join runs in these steps:
 5. **Two rounds.** Round one verifies, per path, only the pairs with a pivot drawn for
    that path; a group of near copies is connected by them. Round two looks for all remaining
    candidates *between different components* of round one. Short sets with a candidate are
-   sent to the path's unit and verified there; a unit writes only links that join two
+   sent to the path's unit and verified there, each pair in the unit of the smallest path that
+   both have; a unit writes only links that join two
    components. Long sets, too large to send along every path, are verified as pairs. No
    pair that could join components is left out, and no group's pairs are ever written.
 6. **Link counts.** All links lie inside components; each pair of blocks of a
@@ -223,17 +224,32 @@ def _contents(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
     return map_arrow(rows, run, "dig long, n long, items binary")
 
 
-def _units(shared: DataFrame, block: int) -> DataFrame:
+def _with_smaller(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``shared`` with n, cells, part (the component of ``labels``, else the set) and below: the smaller
+    shared paths of a short set (none for a long one)."""
+    none = F.array().cast("array<bigint>")
+    own = (shared.groupBy("dig").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+           .join(nodes.select("dig", "n", "cells"), "dig")
+           .join(labels.withColumnRenamed("node", "dig"), "dig", "left")
+           .withColumn("part", F.coalesce("component", "dig"))
+           .withColumn("known", F.when(F.col("n") <= _SHORT, F.col("paths")).otherwise(none)))
+    return (own.select("dig", "n", "cells", "part", "known", F.posexplode("paths").alias("at", "path"))
+            .select("path", "dig", "n", "cells", "part", F.slice("known", F.lit(1), F.col("at")).alias("below")))
+
+
+def _units(shared: DataFrame, block: int, paths: DataFrame | None = None) -> DataFrame:
     """The rows of each shared path by unit: one unit per path, or per pair of
-    blocks where more than ``block`` sets share the path."""
-    hot = (shared.groupBy("path").count().where(F.col("count") > block)
+    blocks where more than ``block`` sets share the path (``paths``: a plain table to count them from)."""
+    below = [c for c in ("below",) if c in shared.columns]
+    hot = ((shared if paths is None else paths).groupBy("path").count().where(F.col("count") > block)
            .select("path", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    return (shared.join(hot, "path", "left")
+    # at most one hot path in ``block`` rows: the rows with their cells need not be shuffled by path for it
+    return (shared.join(F.broadcast(hot), "path", "left")
             .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
             .withColumn("own", F.pmod(F.hash("dig"), F.col("blocks")))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("unit", F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")))
-            .select("unit", (F.col("own") != F.col("other")).alias("mixed"), "own", "dig", "n", "cells", "part"))
+            .select("unit", (F.col("own") != F.col("other")).alias("mixed"), "own", "dig", "n", "cells", "part", *below))
 
 
 class _Rows:
@@ -245,6 +261,29 @@ class _Rows:
         self.mixed = table.column("mixed").to_numpy()
         self.cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), np.uint8).reshape(-1, _CELLS)
         self.percent = percent
+        if "below" in table.column_names:
+            below = table.column("below").combine_chunks()
+            self.below = below.flatten().to_numpy(zero_copy_only=False)
+            self.ends = np.cumsum(below.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            self.starts = np.r_[0, self.ends[:-1]]
+
+    def first_meeting(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """True for the pairs that have no smaller path in common: they meet in no earlier unit."""
+        size = self.ends[i] - self.starts[i]
+        pair = np.repeat(np.arange(len(i)), size)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
+        path = self.below[self.starts[i][pair] + at]
+        low, high = self.starts[j][pair], self.ends[j][pair]
+        end = high
+        while (open_ := low < high).any():      # binary search of each path in the other row's list
+            middle = np.where(open_, (low + high) // 2, 0)
+            less = self.below[middle] < path
+            low, high = np.where(open_ & less, middle + 1, low), np.where(open_ & ~less, middle, high)
+        met = low < end
+        met[met] = self.below[low[met]] == path[met]
+        first = np.ones(len(i), bool)
+        first[pair[met]] = False
+        return first
 
     def close(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs of different parts (and blocks) within the size and count bounds."""
@@ -271,8 +310,8 @@ class _Rows:
         return self.close(pivot[rest], rest)
 
     def candidates(self) -> tuple[np.ndarray, np.ndarray]:
-        """(rows with a candidate where both sets are short, all other candidates as
-        distinct pairs of digests)."""
+        """(rows with a candidate where both sets are short and that no smaller path of both has
+        shown, all other candidates as distinct pairs of digests)."""
         found, pairs = np.zeros(len(self.unit), bool), [np.empty((0, 2), np.int64)]
         live, k = np.arange(len(self.unit)), 0
         while len(live):
@@ -281,7 +320,11 @@ class _Rows:
             live = live[self.unit[live] == self.unit[live + k]]
             i, j = self.close(live, live + k)
             short = np.maximum(self.n[i], self.n[j]) <= _SHORT
-            found[i[short]] = found[j[short]] = True
+            new = short & ~(found[i] & found[j])
+            if new.any():
+                a, b = i[new], j[new]
+                first = self.first_meeting(a, b)
+                found[a[first]] = found[b[first]] = True
             a, b = self.dig[i[~short]], self.dig[j[~short]]
             pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
         return np.flatnonzero(found), np.unique(np.concatenate(pairs), axis=0)
@@ -320,15 +363,17 @@ def _pivot_pairs(shared: DataFrame, percent: int, salt: int, block: int = _BLOCK
             .mapInArrow(run, "a long, b long").distinct())
 
 
-def _suspects(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame:
+def _suspects(shared: DataFrame, percent: int, block: int = _BLOCK, paths: DataFrame | None = None) -> DataFrame:
     """Candidates of different parts: rows (unit, mixed, own, dig, part) of short sets, and pairs
-    (dig, other) of long ones (unit NULL)."""
+    (dig, other) of long ones (unit NULL). ``shared`` also has below (:func:`_with_smaller`): sets that
+    share many paths are sent to one unit, not to all."""
     def run(batches):
         for table in _whole_units(batches):
             rows = _Rows(table, percent)
             at, pairs = rows.candidates()
             if len(at):
-                part, names = table.take(pa.array(at)), ["unit", "mixed", "own", "dig", "part"]
+                names = ["unit", "mixed", "own", "dig", "part"]
+                part = table.select(names).take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c).combine_chunks() for c in names], pa.nulls(len(at), pa.int64())], [*names, "other"])
             if len(pairs):
@@ -336,7 +381,7 @@ def _suspects(shared: DataFrame, percent: int, block: int = _BLOCK) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [none, none.cast(pa.bool_()), none.cast(pa.int32()), pa.array(pairs[:, 0]), none, pa.array(pairs[:, 1])],
                     ["unit", "mixed", "own", "dig", "part", "other"])
-    return (_units(shared, block).repartition("unit").sortWithinPartitions("unit", "dig")
+    return (_units(shared, block, paths).repartition("unit").sortWithinPartitions("unit", "dig")
             .mapInArrow(run, "unit long, mixed boolean, own int, dig long, part long, other long"))
 
 
@@ -518,13 +563,9 @@ def _grouped(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
         contents = contents_of(pairs.select(F.col("a").alias("dig")).union(pairs.select("b")))
         return materialize(_verify(pairs, contents, percent), "jaccard-links")
 
-    def parted(labels: DataFrame) -> DataFrame:
-        return (rows.join(labels.withColumnRenamed("node", "dig"), "dig", "left")
-                .withColumn("part", F.coalesce("component", "dig")).drop("component"))
-
     links = verified(materialize(_pivot_pairs(rows.withColumn("part", F.col("dig")), percent, 1), "jaccard-pairs"))
     labels = components(links)
-    suspects = materialize(_suspects(parted(labels), percent), "jaccard-suspects")
+    suspects = materialize(_suspects(_with_smaller(shared, nodes, labels), percent, paths=shared), "jaccard-suspects")
     short = suspects.where("other is null").drop("other")
     long = suspects.where("other is not null").select(F.col("dig").alias("a"), F.col("other").alias("b")).distinct()
     links = (links.union(materialize(_joining_links(short, contents_of(short.select("dig")), percent), "jaccard-links"))
