@@ -1,6 +1,7 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-Codes are cut into m segments of about log2(n) bits, and every segment of every code is
+Codes are cut into m segments of at most log2(n) bits (so that a segment has no more values than there
+are codes to meet: wider ones would be probed mostly in vain), and every segment of every code is
 indexed. The search radius grows segment by segment: step (r, s) probes all values at
 Hamming distance r from an open query's own value in segment s. After it, a code that
 has not been met differs by r + 1 bits or more in segments 0 .. s and by r or more in the
@@ -10,7 +11,6 @@ best distance is within that. Equal codes are searched as one.
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,10 +37,10 @@ def binary_code(vector: Column, bits: int) -> Column:
 
 def segments(bits: int, rows: int) -> list[tuple[int, int, int]]:
     """(word, shift, width) of the segments for an index of ``rows`` codes."""
-    out, size = [], max(1.0, math.log2(max(2, rows)))
+    out, size = [], max(2, rows).bit_length() - 1            # floor(log2(rows)), 1 at least
     for word in range(-(-bits // 64)):
         here = min(64, bits - 64 * word)
-        m = max(1, round(here / size), -(-here // 20))      # 20 bits at most
+        m = min(here, max(1, -(-here // size), -(-here // 20)))      # 20 bits at most
         shift = 0
         for i in range(m):
             width = here * (i + 1) // m - here * i // m
