@@ -15,7 +15,7 @@ def test_near_pairs_are_sent_to_one_unit(spark, monkeypatch):
         base = [f"f{family}w{i}" for i in range(503)]
         for copy in range(2):
             words = list(base)
-            for at in rng.choice(99, 5, replace=False) * 5 + 4:
+            for at in rng.choice(99, 5 + copy, replace=False) * 5 + 4:
                 words[at] = f"c{copy}x{at}"
             rows.append((len(rows), " ".join(words), "en"))
     rows += [(len(rows), rows[0][1] + " and more", "en")]
