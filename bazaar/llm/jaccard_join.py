@@ -22,9 +22,10 @@ order of their 64-bit hashes). The join runs in these steps:
    subtree when the overlap so far plus what can remain misses the bound.
 5. **Two rounds.** Round one verifies, per path, only the pairs with a pivot drawn for
    that path; a group of near copies is connected by them. Round two looks for all remaining
-   candidates *between different components* of round one. Short sets with a candidate are
-   sent to the path's unit and verified there, each pair in the unit of the smallest path that
-   both have; a unit writes only links that join two
+   candidates *between different components* of round one. A pair is a candidate in the unit of
+   the smallest path that both have; in later units it is passed over if that path is among
+   the ``_KNOWN`` smallest of both. Short sets with a candidate are sent to the unit and
+   verified there; a unit writes only links that join two
    components. Long sets, too large to send along every path, are verified as pairs. No
    pair that could join components is left out, and no group's pairs are ever written.
 6. **Link counts.** All links lie inside components; each pair of blocks of a
@@ -55,6 +56,7 @@ _CELLS = 128          # ranges of the count filter
 _BLOCK = 1024         # sets compared at once within one shared path
 _SHORT = 512          # elements of a set that is verified inside its units
 _FAN = 256            # candidates per trie
+_KNOWN = 32           # smallest shared paths that a set's rows carry, to tell where a pair has met
 
 
 def size_class(n: int) -> int:
@@ -225,14 +227,13 @@ def _contents(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
 
 
 def _with_smaller(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``shared`` with n, cells, part (the component of ``labels``, else the set) and below: the smaller
-    shared paths of a short set (none for a long one)."""
-    none = F.array().cast("array<bigint>")
+    """``shared`` with n, cells, part (the component of ``labels``, else the set) and below: the set's
+    shared paths that are smaller, of its ``_KNOWN`` smallest."""
     own = (shared.groupBy("dig").agg(F.sort_array(F.collect_list("path")).alias("paths"))
            .join(nodes.select("dig", "n", "cells"), "dig")
            .join(labels.withColumnRenamed("node", "dig"), "dig", "left")
            .withColumn("part", F.coalesce("component", "dig"))
-           .withColumn("known", F.when(F.col("n") <= _SHORT, F.col("paths")).otherwise(none)))
+           .withColumn("known", F.slice("paths", F.lit(1), F.lit(_KNOWN))))
     return (own.select("dig", "n", "cells", "part", "known", F.posexplode("paths").alias("at", "path"))
             .select("path", "dig", "n", "cells", "part", F.slice("known", F.lit(1), F.col("at")).alias("below")))
 
@@ -268,7 +269,7 @@ class _Rows:
             self.starts = np.r_[0, self.ends[:-1]]
 
     def first_meeting(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """True for the pairs that have no smaller path in common: they meet in no earlier unit."""
+        """False for the pairs that are known to have a smaller path in common: they have met there."""
         size = self.ends[i] - self.starts[i]
         pair = np.repeat(np.arange(len(i)), size)
         at = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
@@ -310,8 +311,8 @@ class _Rows:
         return self.close(pivot[rest], rest)
 
     def candidates(self) -> tuple[np.ndarray, np.ndarray]:
-        """(rows with a candidate where both sets are short and that no smaller path of both has
-        shown, all other candidates as distinct pairs of digests)."""
+        """(rows with a candidate where both sets are short, all other candidates as distinct pairs
+        of digests); without the pairs that a smaller path has shown."""
         found, pairs = np.zeros(len(self.unit), bool), [np.empty((0, 2), np.int64)]
         live, k = np.arange(len(self.unit)), 0
         while len(live):
@@ -325,8 +326,11 @@ class _Rows:
                 a, b = i[new], j[new]
                 first = self.first_meeting(a, b)
                 found[a[first]] = found[b[first]] = True
-            a, b = self.dig[i[~short]], self.dig[j[~short]]
-            pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+            if not short.all():
+                a, b = i[~short], j[~short]
+                first = self.first_meeting(a, b)
+                a, b = self.dig[a[first]], self.dig[b[first]]
+                pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
         return np.flatnonzero(found), np.unique(np.concatenate(pairs), axis=0)
 
 
@@ -366,7 +370,7 @@ def _pivot_pairs(shared: DataFrame, percent: int, salt: int, block: int = _BLOCK
 def _suspects(shared: DataFrame, percent: int, block: int = _BLOCK, paths: DataFrame | None = None) -> DataFrame:
     """Candidates of different parts: rows (unit, mixed, own, dig, part) of short sets, and pairs
     (dig, other) of long ones (unit NULL). ``shared`` also has below (:func:`_with_smaller`): sets that
-    share many paths are sent to one unit, not to all."""
+    share many paths meet in one unit, not in all."""
     def run(batches):
         for table in _whole_units(batches):
             rows = _Rows(table, percent)

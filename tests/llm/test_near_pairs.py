@@ -32,6 +32,36 @@ def test_near_pairs_are_sent_to_one_unit(spark, monkeypatch):
     assert len(sent) >= 2 and max(r["count"] for r in sent) <= 2
 
 
+def test_long_near_pairs_are_written_once(spark, monkeypatch):
+    from bazaar.llm import jaccard_join as J
+    rng = np.random.default_rng(5)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(903)]
+        for copy in range(2):
+            words = list(base)
+            for at in rng.choice(179, 9 + copy, replace=False) * 5 + 4:
+                words[at] = f"c{copy}x{at}"
+            rows.append((len(rows), " ".join(words), "en"))
+    seen, write = {}, J.materialize
+
+    def spy(df, label, **kw):
+        seen[label] = write(df, label, **kw)
+        return seen[label]
+    monkeypatch.setattr(J, "materialize", spy)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(size)
+    spark.conf.set(size, 4)       # a task of a large table has many batches: equal pairs of one batch are one
+    try:
+        got = J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()
+    finally:
+        spark.conf.set(size, was)
+    assert key([tuple(r) for r in got]) == key(brute_jaccard(rows, 4, 85))
+    # each pair passes the count filter and shares many paths, but is written in one unit only
+    sent = seen["jaccard-suspects"].where("other is not null").groupBy("dig", "other").count().collect()
+    assert len(sent) >= 2 and all(r["count"] == 1 for r in sent)
+
+
 def test_near_families_and_blocks_lose_no_link(spark, monkeypatch):
     from bazaar.llm import jaccard_join as J
     monkeypatch.setattr(J, "_SHORT", 90)
