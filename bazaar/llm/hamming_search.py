@@ -6,7 +6,8 @@ indexed. The search radius grows segment by segment: step (r, s) probes all valu
 Hamming distance r from an open query's own value in segment s. After it, a code that
 has not been met differs by r + 1 bits or more in segments 0 .. s and by r or more in the
 others, so all codes up to distance m * r + s are verified; a query closes when its k-th
-best distance is within that. Equal codes are searched as one.
+best distance is within that. Codes beyond the k-th best distance so far are dropped where they
+are met. Equal codes are searched as one.
 """
 
 from __future__ import annotations
@@ -78,6 +79,23 @@ def _first_hit(a: Column, b: Column, seg: Column, parts: list[tuple[int, int, in
     return ok
 
 
+def _distance(a: Column, b: Column, bits: int) -> Column:
+    return sum((F.bit_count(a[w].bitwiseXOR(b[w])) for w in range(-(-bits // 64))), F.lit(0)).cast("int")
+
+
+def _met(open_: DataFrame, index: DataFrame, parts: list[tuple[int, int, int]], radius: int, at: list[int], bits: int) -> DataFrame:
+    """(q, distance, ids) of the codes that step (``radius``, ``at``) shows for the first time, up to a
+    query's ``reach``: the join itself drops the others, so they are neither sorted nor shuffled."""
+    own = F.array(*[_value(F.col("q"), p) for p in parts])
+    probes = (open_.select("q", "reach", own.alias("own"), F.inline(_probes(parts, radius, at)))
+              .select("q", "reach", "seg", F.get("own", F.col("seg")).bitwiseXOR(F.col("mask")).alias("value")))
+    distance = _distance(F.col("q"), F.col("code"), bits)
+    # the optimiser does not see how many rows the probes become: keep it from broadcasting them
+    return (probes.hint("merge").join(index, ["seg", "value"])
+            .where((distance <= F.col("reach")) & _first_hit(F.col("q"), F.col("code"), F.col("seg"), parts, radius))
+            .select("q", distance.alias("distance"), "ids"))
+
+
 def top_k(rows: DataFrame, queries: DataFrame, bits: int, k: int = K) -> DataFrame:
     """(query_id, rank, neighbor_id, distance) of tables (id, code): the k rows of the smallest
     Hamming distance to each query, ties by id.
@@ -95,25 +113,20 @@ def top_k(rows: DataFrame, queries: DataFrame, bits: int, k: int = K) -> DataFra
     entries = F.array(*[F.struct(F.lit(i).alias("seg"), _value(F.col("code"), p).alias("value")) for i, p in enumerate(parts)])
     index = materialize(codes.select("code", "ids", F.inline(entries)), "hamming-index")
     queries = queries.where("id is not null and code is not null")
-    open_ = materialize(queries.select(F.col("code").alias("q")).distinct(), "hamming-open")
+    # reach: a code beyond this distance is not among the k
+    open_ = materialize(queries.select(F.col("code").alias("q"), F.lit(bits).alias("reach")).distinct(), "hamming-open")
     best = None
     for radius, at in _steps(parts):
         if not any(radius <= parts[i][2] for i in at):
             continue
-        own = F.array(*[_value(F.col("q"), p) for p in parts])
-        probes = (open_.select("q", own.alias("own"), F.inline(_probes(parts, radius, at)))
-                  .select("q", "seg", F.get("own", F.col("seg")).bitwiseXOR(F.col("mask")).alias("value")))
-        # the optimiser does not see how many rows the probes become: keep it from broadcasting them
-        found = (probes.hint("merge").join(index, ["seg", "value"])
-                 .where(_first_hit(F.col("q"), F.col("code"), F.col("seg"), parts, radius)))
-        distance = sum((F.bit_count(F.col("q")[w].bitwiseXOR(F.col("code")[w])) for w in range(-(-bits // 64))), F.lit(0))
-        new = found.select("q", distance.cast("int").alias("distance"), F.explode("ids").alias("id"))
+        new = _met(open_, index, parts, radius, at, bits).select("q", "distance", F.explode("ids").alias("id"))
         every = new if best is None else new.union(best.select("q", "distance", "id"))
         order = Window.partitionBy("q").orderBy("distance", "id")
         best = materialize(every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "hamming-best")
         proven = m * radius + at[-1]
-        closed = best.where((F.col("rank") == k) & (F.col("distance") <= proven)).select("q")
-        open_ = materialize(open_.join(closed, "q", "left_anti"), "hamming-open")
+        last = best.where(F.col("rank") == k).select("q", F.col("distance").alias("last"))
+        open_ = materialize(open_.join(last, "q", "left").where(F.col("last").isNull() | (F.col("last") > proven))
+                            .select("q", F.coalesce("last", "reach").alias("reach")), "hamming-open")
         if not open_.limit(1).count():
             break
     return (queries.join(best, queries.code == best.q)

@@ -91,3 +91,26 @@ def test_a_segment_has_no_more_values_than_codes():
             parts = segments(bits, rows)
             assert sum(p[2] for p in parts) == bits
             assert all(1 <= p[2] <= max(1, math.log2(rows)) for p in parts)
+
+
+def test_codes_out_of_reach_are_dropped_where_they_are_met(spark, monkeypatch):
+    from bazaar.llm import hamming_search as H
+    rng = np.random.default_rng(6)
+    codes = [int(c) for c in rng.integers(-2**63, 2**63, 400, dtype=np.int64)]
+    codes[7] = codes[350] = codes[0]
+    df = spark.createDataFrame([(i, [c]) for i, c in enumerate(codes)], "id long, code array<bigint>").repartition(2)
+    met, plain = [], H._met
+
+    def spy(*a):
+        out = plain(*a)
+        met.append(out.count())
+        return out
+    monkeypatch.setattr(H, "_met", spy)
+    got = {(r["query_id"], r["rank"]): (r["distance"], r["neighbor_id"]) for r in H.top_k(df, df.where("id % 50 = 0"), 64, 5).collect()}
+    want = {}
+    for q in range(0, 400, 50):
+        near = sorted((((codes[q] ^ c) & (2**64 - 1)).bit_count(), i) for i, c in enumerate(codes))[:5]
+        want |= {(q, rank): hit for rank, hit in enumerate(near, 1)}
+    assert got == want
+    # without the reach half of all pairs and more come out of the joins
+    assert sum(met) < 0.25 * 8 * 400
