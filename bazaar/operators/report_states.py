@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.functions import discount_band, money_avg, money_limbs, money_of_limbs, money_sum, money_total
 from bazaar.operators import dictionary
-from bazaar.sources.scratch import materialize
+from bazaar.sources.scratch import materialize, scratch_path
 
 AMOUNT = "final_amount_inr"
 FILTER_KEYS = ["order_year", "category", "customer_tier"]
@@ -39,6 +40,15 @@ SETS: dict[str, list[str]] = {
     "customer": ["customer_id"],
 }
 
+#: Sets of few keys that :meth:`ReportStates.build` first counts jointly: the fact's rows are repeated once for
+#: all sets of a joint, whose few groups then give each set. The rest is counted from the fact by itself.
+JOINTS: dict[str, list[str]] = {
+    "joint-payment": ["cell", "payment", "age", "spending"],
+    "joint-brand": ["brand", "rating"],
+    "joint-place": ["place", "band"],
+    "joint-delivery": ["delivery", "prime"],
+}
+
 #: Measures by name, over the rows of the fact and over states. The revenue of nothing but missing
 #: amounts is 0, their mean is NULL.
 Measures = dict[str, Callable[[], Column]]
@@ -78,6 +88,24 @@ STATES: Measures = {
 }
 
 
+def _with_band(fact: DataFrame) -> DataFrame:
+    return fact if "band" in fact.columns else fact.withColumn("band", discount_band("discount_percent"))
+
+
+def _sets_of(columns: list[str]) -> dict[str, list[str]]:
+    """The sets whose keys are all among ``columns``, with the filter keys."""
+    return {name: [*FILTER_KEYS, *keys] for name, keys in SETS.items() if set(keys) <= set(columns)}
+
+
+def _grouped(rows: DataFrame, sets: dict[str, list[str]], cols: list[str], *states: Column) -> DataFrame:
+    """One aggregation of ``rows`` by all ``sets``, with report_set."""
+    # bit i of the grouping id (from the left) is set where column i is not in the set
+    number = {sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys): name for name, keys in sets.items()}
+    named = F.coalesce(*[F.when(F.col("_set") == n, F.lit(name)) for n, name in number.items()])
+    return (rows.groupingSets([[F.col(c) for c in keys] for keys in sets.values()], *[F.col(c) for c in cols])
+            .agg(F.grouping_id().alias("_set"), *states).withColumn("report_set", named).drop("_set"))
+
+
 def report_states(fact: DataFrame) -> DataFrame:
     """The states of all report sets in one aggregation of ``fact``: report_set, the keys of
     all sets (NULL where a set has not the key), rows, orders, exact and odd (sums of amounts),
@@ -85,10 +113,12 @@ def report_states(fact: DataFrame) -> DataFrame:
 
     Absent optional columns leave their set out. A NULL key is a group of its own.
     """
-    if "band" not in fact.columns:
-        fact = fact.withColumn("band", discount_band("discount_percent"))
-    sets = {name: [*FILTER_KEYS, *keys] for name, keys in SETS.items() if set(keys) <= set(fact.columns)}
-    cols = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    fact = _with_band(fact)
+    return _states_by(fact, _sets_of(fact.columns))
+
+
+def _states_by(fact: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
+    cols = list(dict.fromkeys(c for keys in _sets_of(fact.columns).values() for c in keys))
     # whatever needs one row only is done before the row is repeated for every set
     amount = F.col(AMOUNT).cast("double")
     limbs, odd = money_limbs(AMOUNT)
@@ -96,16 +126,37 @@ def report_states(fact: DataFrame) -> DataFrame:
         *[F.col(c) for c in cols], *[limb.alias(f"_limb{i}") for i, limb in enumerate(limbs)], odd.alias("_odd"),
         F.coalesce(_returned(), F.lit(False)).alias("_returned"), (amount.isNotNull() & ~F.isnan(amount)).alias("_priced"),
         F.col("transaction_id").isNotNull().alias("_order"), F.col("delivery_days").alias("_days"), F.col("order_date").alias("_date"))
-    # bit i of the grouping id (from the left) is set where column i is not in the set
-    number = {sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys): name for name, keys in sets.items()}
-    named = F.coalesce(*[F.when(F.col("_set") == n, F.lit(name)) for n, name in number.items()])
-    return fact.groupingSets([[F.col(c) for c in keys] for keys in sets.values()], *[F.col(c) for c in cols]).agg(
-        F.grouping_id().alias("_set"),
+    return _grouped(
+        fact, sets, cols,
         F.count(F.lit(1)).alias("rows"), F.count_if("_order").alias("orders"),
         money_of_limbs(*[F.sum(f"_limb{i}") for i in range(len(limbs))]).alias("exact"), F.sum("_odd").alias("odd"),
         F.count_if("_priced").alias("priced"), F.count_if("_returned").alias("returned"),
         F.count("_days").alias("delivered"), F.sum("_days").alias("days"),
-        F.max("_date").alias("last")).withColumn("report_set", named).drop("_set")
+        F.max("_date").alias("last"))
+
+
+def _joints_of(sets: dict[str, list[str]]) -> dict[str, dict[str, list[str]]]:
+    """The sets of each joint, of those there are (one by itself is no joint)."""
+    joints = {joint: {name: sets[name] for name in names if name in sets} for joint, names in JOINTS.items()}
+    return {joint: own for joint, own in joints.items() if len(own) > 1}
+
+
+def _write_states(fact: DataFrame, path: str) -> None:
+    """Writes :func:`report_states`, and the joints beside them: the sets that are not of a joint and the joints from
+    one scan of ``fact``, then the sets of the joints from those."""
+    fact = _with_band(fact)
+    sets = _sets_of(fact.columns)
+    joints = _joints_of(sets)
+    first = {name: keys for name, keys in sets.items() if not any(name in own for own in joints.values())}
+    first |= {joint: list(dict.fromkeys(c for keys in own.values() for c in keys)) for joint, own in joints.items()}
+    _states_by(fact, first).write.mode("overwrite").partitionBy("report_set").parquet(path)
+    written = fact.sparkSession.read.parquet(path)
+    cols = [c for c in written.columns if any(c in keys for keys in sets.values())]
+    counts = [F.sum(c).alias(c) for c in ("rows", "orders", "exact", "odd", "priced", "returned", "delivered", "days")]
+    parts = [_grouped(written.where(F.col("report_set") == joint).drop("report_set"), own, cols, *counts, F.max("last").alias("last"))
+             for joint, own in joints.items()]
+    if parts:
+        reduce(DataFrame.unionByName, parts).write.mode("append").partitionBy("report_set").parquet(path)
 
 
 def filter_condition(years: tuple[int, int] | None = None, categories: list[str] | None = None,
@@ -124,21 +175,19 @@ def filter_condition(years: tuple[int, int] | None = None, categories: list[str]
 class ReportStates:
     """Written states, read per set; reports take it in place of the fact."""
 
-    table: DataFrame            # report_states, partitioned by report_set
+    table: DataFrame            # report_states and the joints, partitioned by report_set
     bits: DataFrame | None      # filter keys, bucket, bits: customers of every cell
     columns: tuple[str, ...]    # columns that reports can be grouped by
 
     @classmethod
     def build(cls, fact: DataFrame, path: str | None = None, customers: bool = True) -> ReportStates:
-        """One scan of ``fact``, then one of the customer states for the bitmaps (not with
+        """One scan of ``fact`` and its joints, then one of the customer states for the bitmaps (not with
         ``customers=False``: then no report can count distinct customers). ``path`` keeps the
         tables (:meth:`open` reads them); without it they are intermediates."""
-        spark, states = fact.sparkSession, report_states(fact)
-        if path is None:
-            table = materialize(states, "states", partition_by=["report_set"])
-        else:
-            states.write.mode("overwrite").partitionBy("report_set").parquet(f"{path}/states")
-            table = spark.read.parquet(f"{path}/states")
+        spark = fact.sparkSession
+        to = scratch_path(spark, "states") if path is None else f"{path}/states"
+        _write_states(fact, to)
+        table = spark.read.parquet(to)
         if not customers:
             return cls._of(table, None)
         members = table.where("report_set = 'customer'")

@@ -35,13 +35,19 @@ def owned(spark: SparkSession):
             p.getFileSystem(conf).delete(p, True)
 
 
-def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None, codec: str | None = None) -> DataFrame:
-    """Writes ``df`` and reads it back. ``codec`` replaces the session's Parquet codec, for rows of a whole fact."""
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the checkpoint folder, deleted at the end of an :func:`owned` block."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/bazaar-{label}-{uuid.uuid4().hex}"
     paths = _OWNED.get()
     if paths is not None:
         paths.append(path)
+    return path
+
+
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None, codec: str | None = None) -> DataFrame:
+    """Writes ``df`` and reads it back. ``codec`` replaces the session's Parquet codec, for rows of a whole fact."""
+    path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by, compression=codec)
     return df.sparkSession.read.parquet(path)
 

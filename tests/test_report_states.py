@@ -109,6 +109,17 @@ def test_sets_of_absent_columns_are_left_out(fact):
     assert {r[0] for r in report_states(few).select("report_set").distinct().collect()} == set(SETS) - {"spending", "brand"}
 
 
+@pytest.mark.parametrize("gone", [[], ["customer_spending_tier", "brand"]])
+def test_joints_give_the_states_of_every_set(fact, monkeypatch, gone):
+    from bazaar.operators import report_states as S
+    few, repeated, plain = fact.drop(*gone), [], S._states_by
+    want = _rows(report_states(few))
+    monkeypatch.setattr(S, "_states_by", lambda rows, sets: repeated.append(len(sets)) or plain(rows, sets))
+    table = ReportStates.build(few, customers=False).table.where(~F.col("report_set").startswith("joint-"))
+    assert _rows(table) == want
+    assert len(repeated) == 1 and repeated[0] <= 7      # the fact's rows are not repeated for each of the 13 sets
+
+
 def test_dense_ids(spark):
     df = spark.createDataFrame([(f"c{i % 500}",) for i in range(3000)] + [(None,)], "c string").repartition(6)
     ids = sorted((r["c"], r["id"]) for r in K.dense_ids(df, "c").collect())
