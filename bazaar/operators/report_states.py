@@ -1,7 +1,7 @@
 """All additive reports from one scan, also after a filter.
 
 One grouping-sets aggregation turns the fact into a long table of states: per report set its
-keys, and counts and exact sums that add up. Every set also carries the three filter
+keys, and counts and exact sums that add up (some sets by way of a joint set, see ``JOINTS``). Every set also carries the three filter
 keys (year, category, tier), so a filtered report is an aggregation over the states of one
 set; the fact is not read again. Distinct customers, which do not add up, are kept as
 bitmaps per filter cell.
